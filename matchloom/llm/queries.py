@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from matchloom.llm import sharding
+from matchloom.llm import packing, sharding, tokens
 
 
 def queries() -> dict:
     return {
+        "op4_byte_bpe": tokens.op4_byte_bpe,
+        "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
         "op10_histogram_shards": sharding.op10_histogram_shards,
     }
 
