@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from matchloom.llm import packing, sharding, tokens
+from matchloom.llm import packing, quality, secrets, sharding, tokens
 
 
 def queries() -> dict:
     return {
         "op4_byte_bpe": tokens.op4_byte_bpe,
+        "op6_credential_links": secrets.op6_credential_links,
         "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
+        "op9_robust_outliers": quality.op9_robust_outliers,
         "op10_histogram_shards": sharding.op10_histogram_shards,
     }
 
