@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from matchloom.llm import packing, quality, secrets, sharding, tokens
+from matchloom.llm import archives, packing, quality, secrets, sharding, tokens
+
+REVISITS = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to
+FROM g
+"""
 
 
 def queries() -> dict:
@@ -10,10 +19,11 @@ def queries() -> dict:
         "op4_byte_bpe": tokens.op4_byte_bpe,
         "op6_credential_links": secrets.op6_credential_links,
         "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
+        "op8_revisits": archives.op8_revisits,
         "op9_robust_outliers": quality.op9_robust_outliers,
         "op10_histogram_shards": sharding.op10_histogram_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_revisits": REVISITS}
