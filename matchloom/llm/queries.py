@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import archives, packing, quality, secrets, sharding, tokens
+from matchloom.llm import archives, packing, pii, quality, secrets, sharding, tokens
 
 REVISITS = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -17,6 +17,7 @@ FROM g
 def queries() -> dict:
     return {
         "op4_byte_bpe": tokens.op4_byte_bpe,
+        "op5_boosted_pii": pii.op5_boosted_pii,
         "op6_credential_links": secrets.op6_credential_links,
         "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
         "op8_revisits": archives.op8_revisits,
