@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         if not batch.num_rows:
             continue
         column_ = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column_), 0).cast(pa.int64()))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(column_), 0).cast(pa.int64()))
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
@@ -65,7 +66,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The concatenated UTF-8 bytes of a string array (null: empty) and the n + 1 offsets."""
-    column = pa.compute.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+    column = pc.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
