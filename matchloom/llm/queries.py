@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import archives, minhash, packing, pii, quality, secrets, sharding, tokens, vectors
+from matchloom.llm import archives, minhash, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
 
 REVISITS = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -18,6 +18,7 @@ def queries() -> dict:
     return {
         "op1_minhash": minhash.op1_minhash,
         "op2_sorted_projections": vectors.op2_sorted_projections,
+        "op3_suffix_dedup": suffixes.op3_suffix_dedup,
         "op4_byte_bpe": tokens.op4_byte_bpe,
         "op5_boosted_pii": pii.op5_boosted_pii,
         "op6_credential_links": secrets.op6_credential_links,
