@@ -5,6 +5,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 @F.pandas_udf(StringType())
-def whole_characters(kept: "pd.Series") -> "pd.Series":  # noqa: F821, UP037
+def whole_characters(kept: pd.Series) -> pd.Series:
     return kept.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
 
 

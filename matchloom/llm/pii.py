@@ -9,6 +9,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -247,9 +248,7 @@ def redact_documents(docs: DataFrame, text: str = "text", examples: int = 3000)
     trees, limits = model(examples)
 
     @F.pandas_udf("string")
-    def clean(column: "pd.Series") -> "pd.Series":  # noqa: F821, UP037
-        import pandas as pd
-
+    def clean(column: pd.Series) -> pd.Series:
         texts = [x or "" for x in column]
         found = choose(texts, [base_spans(t) for t in texts], trees, limits)
         return pd.Series([None if x is None else redact(t, s) for x, t, s in zip(column, texts, found, strict=True)])
