@@ -9,30 +9,33 @@ from matchloom.llm.shared import materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round on edges (a, b). Large: the greater neighbours of a node are tied to its least; small: the lesser ones and itself."""
-    if large:
-        both = edges.union(edges.select("b", "a"))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    both = materialize(both.where("a != b").distinct(), "star-edges")
-    # the least neighbour is aggregated before the shuffle; a node with very many edges is joined as a plain, divisible exchange
-    least = materialize(both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("m")), "star-least")
+    """One round on edges (a > b). Large: the greater neighbours of a node are tied to its least; small: the lesser ones and itself.
+
+    The least neighbour is aggregated before its shuffle and written; a node of very many edges then meets it in a join of two plain
+    exchanges, which adaptive execution divides.
+    """
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
+    least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-least", narrow=True)
     met = both.join(least, "a")
     if large:
-        return met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    else:
+        out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+    return materialize(out.where("a != b").distinct(), "star-edges", narrow=True)
+
+
+def _settled(edges: DataFrame) -> bool:
+    """All nodes hang on a root, and on one only."""
+    roles = edges.select(F.col("a").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = roles.groupBy("x").agg(F.sum("child").alias("child"), F.max("root").alias("root")).where("child > 1 OR (child > 0 AND root > 0)")
+    return odd.isEmpty()
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """id and root (the least id of its component) of every node of the edges (a, b: long). Self-loops and repeated edges do no harm."""
-    edges = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
+    """id and root (the least id of its component) of every node of the written edges (a, b: long). Self-loops and repeated edges do no harm."""
+    edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     for _ in range(rounds):
-        edges = materialize(_star(_star(edges, True), False).where("a != b").distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
-            break
-        seen = now
-    else:
-        raise RuntimeError("the components did not settle")
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+        edges = _star(_star(edges, True), False)
+        if _settled(edges):
+            return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+    raise RuntimeError("the components did not settle")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.components import connected_components
-from matchloom.llm.shared import materialize, only, slices, text_bytes
+from matchloom.llm.shared import materialize, only, partitions, slices, text_bytes
 
 WORDS = 5
 #: Positions of a signature, its chunks, and the errors enumerated within a chunk. Pairs that differ in fewer than
@@ -20,7 +20,8 @@ POSITIONS, CHUNKS, ERRORS = 64, 16, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-BLOCK = 1024
+#: Classes of a key, and documents of a neighbourhood, in one block: two blocks are compared in one task.
+BLOCK, SET_BLOCK = 1024, 160
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -133,133 +134,131 @@ def index_keys(sets: DataFrame, key: str = "id") -> DataFrame:
     return sets.select(key, "sig").mapInArrow(run, "key long, id long")
 
 
-def _close(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, sig_a, sig_b) within the signature distance: a, b, distance."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                far = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1)
-                keep = pa.array(far <= DISTANCE)
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(far[far <= DISTANCE].astype(np.int32))], names=["a", "b", "distance"])
-
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, distance int")
-
-
-def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets overlap enough. Both sides of each join are plain exchanges, so a node of many pairs is divided."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                va, oa = shingle_sets(batch.column(2))
-                vb, ob = shingle_sets(batch.column(3))
-                row = lambda o: np.repeat(np.arange(len(o) - 1), np.diff(o))
-                value, owner = np.concatenate([va, vb]), np.concatenate([row(oa), row(ob)])
-                order = np.lexsort((value, owner))
-                value, owner = value[order], owner[order]
-                twice = (value[1:] == value[:-1]) & (owner[1:] == owner[:-1])
-                both = np.bincount(owner[1:][twice], minlength=batch.num_rows)
-                either = np.diff(oa) + np.diff(ob) - both
-                keep = pa.array((100 * both >= percent * either) & (either > 0))
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-    met = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
-
-
-def _cross(rows: DataFrame) -> DataFrame:
-    """Rows (tile, i, j, side, id, root, sig): the close pairs of each tile whose roots differ, as a < b."""
+def _groups(near: np.ndarray) -> np.ndarray:
+    """The first node of each node's component, from a symmetric matrix of links."""
+    root = np.full(len(near), -1)
+    for seed in range(len(near)):
+        if root[seed] < 0:
+            front = np.array([seed])
+            root[seed] = seed
+            while len(front):
+                front = np.nonzero(near[front].any(axis=0) & (root < 0))[0]
+                root[front] = seed
+    return root
+
+
+def _whole(near: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """The symmetric matrix of all n rows from that of the left against the right ones."""
+    out = np.zeros((n, n), bool)
+    out[np.ix_(left, right)] = near
+    return out | out.T
+
+
+def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to compare with each other: those of both blocks of a tile, or all of a single block."""
+    left, right = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
+    return (left, right) if len(right) else (left, left)
+
+
+def _by_signature(sig: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Which rows of a key are within the signature distance."""
+    left, right = _sides(side)
+    far = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(POSITIONS):
+        far += sig[left, k][:, None] != sig[right, k][None, :]
+    return _whole(far <= DISTANCE, left, right, len(sig))
+
+
+def _by_sets(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have full sets that overlap enough: the incidence of shared shingles, multiplied some thousand shingles at a time."""
+    n = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), n)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    left, right = _sides(side)
+    both = np.zeros((len(left), len(right)), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, 4096):
+        a, z = np.searchsorted(column, [at, at + 4096])
+        there = np.zeros((len(sets), min(4096, width - at)), np.float32)
+        there[row[a:z], column[a:z] - at] = 1
+        both += there[left] @ there[right].T
+    both = both.astype(np.int64)
+    near = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+    return _whole(near & (both > 0), left, right, len(sets))
+
+
+def _in_tiles(members: DataFrame, group: str, size: str, block_rows: int, judge, column: str) -> DataFrame:
+    """Edges (a, b) that join the rows of each group as its links do; never more than the rows of its tiles.
+
+    A group of more than ``block_rows`` rows is dealt into blocks, and each two blocks make a tile of their own; smaller groups share tiles.
+    ``judge`` gets the cells of ``column`` and the sides and gives the matrix of links.
+    """
+    spark = members.sparkSession
+    blocks = F.ceil(F.col(size) / block_rows)
+    block = F.pmod(F.xxhash64("id"), blocks)
+    tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
+    tile = F.when(blocks == 1, F.pmod(F.xxhash64(group), F.lit(8 * partitions(spark)))).otherwise(F.xxhash64(group, F.lit(1)))
+    tiled = members.withColumn("t", F.explode(tiles)).select(tile.alias("tile"), "t.i", "t.j", "t.side", F.col(group).alias("group"), "id", column)
 
     def run(table: pa.Table) -> pa.Table:
-        side, ids, root = (np.asarray(table.column(c)) for c in ("side", "id", "root"))
-        sig = _matrix(table.column("sig").combine_chunks())
-        left, right = (np.nonzero(side == s)[0] for s in (0, 1))
-        if not len(right):
-            right = left
-        found = []
-        for at in range(0, len(left), 64):
-            some = left[at : at + 64]
-            far = np.zeros((len(some), len(right)), np.int32)
-            for k in range(POSITIONS):
-                far += sig[some, k][:, None] != sig[right, k][None, :]
-            x, y = np.nonzero((far <= DISTANCE) & (root[some][:, None] != root[right][None, :]))
-            found.append((ids[some[x]], ids[right[y]]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0].astype(np.int64)), "b": pa.array(pairs[:, 1].astype(np.int64))})
-
-    return rows.groupBy("tile", "i", "j").applyInArrow(run, "a long, b long")
+        number, side, ids = (np.asarray(table.column(c)) for c in ("group", "side", "id"))
+        order = np.argsort(number, kind="stable")
+        cells = table.column(column).combine_chunks()
+        out: list[np.ndarray] = []
+        for some in np.split(order, np.nonzero(np.diff(number[order]))[0] + 1):
+            if len(some) > 1:
+                root = _groups(judge(cells.take(pa.array(some)), side[some]))
+                tied = root != np.arange(len(some))
+                out.append(np.stack([ids[some[root[tied]]], ids[some[tied]]], axis=1))
+        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return tiled.groupBy("tile", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: components of documents whose sets of five-word shingles overlap by ``percent`` or more.
 
     1. Equal sets become one class, whose least doc_id stands for it.
-    2. Classes meet by the keys of the multi-index Hamming join. In each key, one class leads; every class is confirmed, on full sets,
-       against the closest of its leaders, then against the others that are still in other components.
-    3. Keys that still hold several components are searched whole, in blocks, for close pairs across components; all are confirmed.
-    So no pair within the signature distance goes unlooked at unless it is connected already, and a group of copies costs no more
-    pairs than its size. A pair at just 75 % is beyond the signature distance with a probability of about 1e-5.
+    2. Classes meet by the keys of the multi-index Hamming join; those of a key are compared by signature. What the close pairs join is a
+       neighbourhood: no pair within the signature distance leaves it.
+    3. In each neighbourhood the full sets of all pairs are intersected, and the links join components.
+    Keys and neighbourhoods are compared within tasks, in blocks; a task gives at most as many edges as it has rows, so no pairs of a
+    crowd are ever written or shuffled. Comparing a neighbourhood of n different sets still takes n * n / 2 intersections, over
+    (n / SET_BLOCK) ** 2 / 2 tiles. A pair at just 75 % is beyond the signature distance with a probability of about 1e-5.
 
     Null and empty texts have empty sets and link with nothing; so do rows with a null doc_id, whose component_id is null. Repeated rows
     give repeated results. An empty table gives an empty result. Other columns are left out.
     """
-    spark = docs.sparkSession
     docs = only(docs, **{doc_id: "long", text: "string"}).toDF("doc_id", "text")
     sets = materialize(sketch(docs), "minhash-sets")
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
     classes = materialize(classes, "minhash-classes")
     keys = index_keys(classes)
-    lead = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("id"))).alias("first"), F.count(F.lit(1)).alias("n"))
-    lead = materialize(lead.where("n > 1").select("key", F.col("first.id").alias("leader"), "n"), "minhash-leaders")
-    met = materialize(keys.join(lead, "key"), "minhash-keys")  # key, id, leader, n: of keys that two classes share
-    sig = classes.select("id", "sig")
-
-    def named(frame: DataFrame, x: str) -> DataFrame:
-        return frame.withColumnsRenamed({"id": x, "sig": f"sig_{x}", "root": f"root_{x}"})
-
-    star = met.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    star = materialize(_close(star.join(named(sig, "a"), "a").join(named(sig, "b"), "b")), "minhash-star")
-    wanted = met.select("id").distinct()
-    texts = materialize(docs.join(wanted, docs["doc_id"] == wanted["id"]).select("id", "text").dropDuplicates(["id"]), "minhash-texts")
-    best = star.groupBy("b").agg(F.min(F.struct("distance", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    best = materialize(best, "minhash-best")
-    links = materialize(_confirm(best, texts, percent), "minhash-links")
-
-    def roots(of: DataFrame) -> DataFrame:
-        """id and root of every class."""
-        found = materialize(connected_components(of), "minhash-roots")
-        return materialize(classes.select("id").join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root")), "minhash-roots")
-
-    root = roots(links)
-    apart = star.select("a", "b").join(named(root, "a"), "a").join(named(root, "b"), "b").where("root_a != root_b").select("a", "b")
-    apart = materialize(apart.join(best, ["a", "b"], "left_anti"), "minhash-apart")
-    more = materialize(_confirm(apart, texts, percent), "minhash-links")
-    links = links.unionByName(more)
-    root = roots(links)
-    placed = met.select("key", "id").join(root, "id")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high").select("key", "n")
-    mixed = materialize(mixed, "minhash-mixed")
-    members = placed.join(mixed, "key").join(sig, "id")
-    # a key's classes in blocks of about BLOCK, and each two blocks in a tile
-    blocks = F.ceil(F.col("n") / BLOCK)
-    block = F.pmod(F.xxhash64("id"), blocks)
-    tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
-    small = F.when(blocks == 1, F.pmod("key", F.lit(1 << 62))).otherwise(F.col("key"))
-    tiled = members.withColumn("t", F.explode(tiles)).select(small.alias("tile"), "t.i", "t.j", "t.side", "id", "root", "sig")
-    cross = materialize(_cross(tiled).distinct(), "minhash-cross").join(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    cross = cross.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    last = materialize(_confirm(materialize(cross, "minhash-cross"), texts, percent), "minhash-links")
-    root = roots(links.unionByName(last))
-    of_class = materialize(classes.select("same", "id").join(root, "id").select("same", "root"), "minhash-of-class")
-    out = sets.select("doc_id", "n", "same").join(of_class, "same", "left")
+    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared", narrow=True)
+    met = keys.join(shared, "key").join(classes, "id").select("key", "n", "id", "sig")
+    close = materialize(_in_tiles(met, "key", "n", BLOCK, lambda cells, side: _by_signature(_matrix(cells), side), "sig").distinct(), "minhash-close", narrow=True)
+    around = materialize(connected_components(close), "minhash-around")
+    sizes = materialize(around.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "minhash-sizes", narrow=True)
+    texts = docs.join(around, docs["doc_id"] == around["id"]).select("id", "root", "text").dropDuplicates(["id"]).join(sizes, "root")
+    links = _in_tiles(texts, "root", "n", SET_BLOCK, lambda cells, side: _by_sets(_split(cells), side, percent), "text")
+    root = connected_components(materialize(links.distinct(), "minhash-links", narrow=True))
+    of_class = classes.select("same", "id").join(root, "id", "left").select("same", F.coalesce("root", "id").alias("root"))
+    out = sets.select("doc_id", "n", "same").join(materialize(of_class, "minhash-of-class"), "same", "left")
     lonely = F.col("n") == 0
     component = F.when(F.col("doc_id").isNotNull(), F.when(lonely, F.col("doc_id")).otherwise(F.col("root")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _split(texts: pa.Array) -> list[np.ndarray]:
+    values, offsets = shingle_sets(texts)
+    return np.split(values, offsets[1:-1])
+
+
 def op1_minhash(spark, sf_dir: str) -> DataFrame:
     """The query: all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
