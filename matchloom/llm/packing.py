@@ -28,7 +28,7 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
 
         bpe, part, total = load(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, limit=8 << 20):
             found = [x + end for x in bpe.encode(strings(batch.column(1)))]
             counts = np.array([len(x) // 4 for x in found], dtype=np.int64)
             before = total + np.cumsum(counts) - counts

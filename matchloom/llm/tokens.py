@@ -17,6 +17,8 @@ from matchloom.llm.shared import only, slices, strings
 _CUT = re.compile("(?= [^\\s\x85᠎​﻿])")
 _ODD = re.compile(" (?:[\\s\x85᠎​﻿]|\\Z)")
 
+_MARKS = ".,!?;:&%$*#"
+
 
 def byte_table() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the rest from U+0100 on."""
@@ -27,55 +29,83 @@ def byte_table() -> list[str]:
 
 
 class ByteBpe:
-    """A vocabulary file of the tokenizers library. Encodes each different word of a worker once and keeps its ids, up to ``keep`` words.
+    """A vocabulary file of the tokenizers library. Encodes each different word of a worker once and keeps its ids, in two generations of about ``keep`` words.
 
     A text is cut before each space that a word follows; the splitting pattern of byte-level BPE never joins across such a place,
     so the ids of the words in turn are the ids of the text.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merger = Tokenizer(self.tokenizer.model)  # the merges alone, for words that are letters throughout and so one piece
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        self.table = byte_table()
         self.tokenizer.encode_special_tokens = True
         self.keep = keep
-        self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # words with a space before them, named without it
+        self.older: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # those without
         back = {c: b for b, c in enumerate(byte_table())}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.pieces = [added[i].encode() if i in added else bytes(back[c] for c in self.tokenizer.id_to_token(i) or "") for i in range(size)]
         self.digits = [str(i) for i in range(size)]
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """The text in words, each with the space before it."""
-        if _ODD.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-
-    def learn(self, words: Iterable[str]) -> None:
-        new = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(new) > self.keep:
-            self.known.clear()
-            new = list(set(words))
-        alone = [w for w in new if w[:1] != " "]
-        for word, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[word] = np.asarray(found.ids, dtype="<u4").tobytes()
-        new = [w for w in new if w[:1] == " "]
-        for at in range(0, len(new), 2000):  # many words as one text: its ids are cut where the bytes of the words end
-            some = new[at : at + 2000]
-            ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) for w in some])) + 1
-            raw = ids.tobytes()
-            self.known |= zip(some, (raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True)
+    def _add(self, known: dict[str, bytes], words: list[str], space: str, letters: bool = False) -> None:
+        """Many words as one text: its ids are cut where the bytes of the words end. Without a space between, each word is a text."""
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            if space:
+                if letters:
+                    one, text = self.merger, " ".join([self.table[32] + (w if w.isascii() else w.encode().decode("latin-1").translate(self.table)) for w in some])
+                else:
+                    one, text = self.tokenizer, space + space.join(some)
+                ids = np.asarray(one.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+                ends = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) + 1 for w in some])) + 1).tolist()
+                raw = ids.tobytes()
+                known.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+            else:
+                found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+                known.update((w, np.asarray(f.ids, dtype="<u4").tobytes()) for w, f in zip(some, found, strict=True))
+
+    def _learn(self, spaced: set[str], bare: set[str]) -> None:
+        """Fills in what is missing. A letter and a mark after it are never one token's, so a word's last marks are taken off first."""
+        if len(self.spaced) > self.keep:  # words of the last generation stay at hand, and come over when they are met again
+            self.older, self.spaced = self.spaced, {}
+        if len(self.bare) > self.keep:
+            self.bare.clear()
+        new = [w for w in spaced if w not in self.spaced]
+        if self.older:
+            self.spaced.update((w, self.older[w]) for w in new if w in self.older)
+            new = [w for w in new if w not in self.spaced]
+        parts = [(w, core) for w in new if w[-1] in _MARKS and (core := w.rstrip(_MARKS)) and core[-1].isalpha()]
+        whole = {core for _, core in parts}.union(w for w in new if w[-1] not in _MARKS or not w.rstrip(_MARKS)[-1:].isalpha())
+        whole.difference_update(self.spaced.keys() & whole)
+        letters = [w for w in whole if w.isalpha()]
+        self._add(self.spaced, letters, " ", letters=True)
+        self._add(self.spaced, list(whole.difference(letters)), " ")
+        tails = {w[len(core) :] for w, core in parts}
+        self._add(self.bare, [w for w in bare | tails if w not in self.bare], "")
+        self.spaced.update((w, self.spaced[core] + self.bare[w[len(core) :]]) for w, core in parts)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self.words(x) for x in texts]
-        self.learn([w for ws in split for w in ws])
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        split = []
+        for x in texts:  # the first piece has no space before it and may be empty
+            if _ODD.search(x):
+                first, *rest = _CUT.split(x)
+                split.append([first, *[y[1:] for y in rest]])
+            else:
+                split.append(x.split(" "))
+        head = [s[0] for s in split]
+        for s in split:
+            del s[0]
+        self._learn(set().union(*split), set(head))
+        get = self.spaced.__getitem__
+        return [self.bare[h] + b"".join(map(get, s)) for h, s in zip(head, split, strict=True)]
 
     def offsets(self, ids: bytes) -> np.ndarray:
         """Where each token's bytes end in the UTF-8 bytes of the text; tokens may end inside a character."""
@@ -110,7 +140,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=8 << 20):
             found = bpe.encode(strings(batch.column(1)))
             counts = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
             ids = np.frombuffer(b"".join(found), dtype="<i4")
@@ -143,7 +173,7 @@ def digest_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         digits, pieces = bpe.digits.__getitem__, bpe.pieces.__getitem__
-        for batch in slices(batches):
+        for batch in slices(batches, limit=8 << 20):
             counts, of_ids, of_bytes = [], [], []
             for raw in bpe.encode(strings(batch.column(1))):
                 ids = np.frombuffer(raw, dtype="<u4").tolist()
