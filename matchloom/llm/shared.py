@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
+#: Temporary folders by application, where none is set.
+_own: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Where it is unset, a temporary one, but only for a local master."""
@@ -24,8 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="matchloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="matchloom-")
+        _own[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 
