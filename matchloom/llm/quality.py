@@ -17,10 +17,11 @@ WINDOW = 5
 FEATURES = ("q_len", "q_word", "q_sym", "q_line", "q_rep")
 #: Fixed point of the transformed statistics.
 SCALE = 1000
-#: Least standard deviation of each, so that statistics that hardly vary reject nothing by a trifle.
-FLOORS = (0.7, 0.35, 0.6, 0.15, 0.12)
-#: Median of the chi-square distribution with as many degrees of freedom as there are statistics.
-CHI2_MEDIAN = 4.3515
+#: Least standard deviation of each, given those before it, so that statistics that hardly vary reject nothing by a trifle: about what
+#: one symbol, one repeated line or one repeated window adds in a text of a hundred words and ten lines, and the noise of its word length.
+FLOORS = (0.1, 0.05, 0.2, 0.1, 0.1)
+#: Medians of the chi-square distributions with 1, 2, … degrees of freedom.
+CHI2_MEDIANS = (0.4549, 1.3863, 2.366, 3.3567, 4.3515)
 
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -92,9 +93,9 @@ def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> DataFrame
     both = group.crossJoin(F.broadcast(every))
     weight = shrink / F.col("all_n").cast("double")
     both = both.select(*keys, *[((F.col(x).cast("double") + F.col(f"all_{x}").cast("double") * weight) / (F.col("n") + shrink)).alias(x) for x in names if x != "n"])
-    both = both.select(*keys, *[(F.col(f"s{i}") / SCALE).alias(f"m{i}") for i in p], *[((F.col(f"s{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}")) / SCALE**2 + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in p for j in p if j <= i])
+    both = both.select(*keys, *[(F.col(f"s{i}") / SCALE).alias(f"m{i}") for i in p], *[((F.col(f"s{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}")) / SCALE**2).alias(f"c{i}{j}") for i in p for j in p if j <= i])
     for j in p:  # Cholesky, column by column
-        diagonal = F.sqrt(F.greatest(F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0)), F.lit(1e-9)))
+        diagonal = F.sqrt(F.greatest(F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0)), F.lit(FLOORS[j] ** 2)))
         both = both.withColumn(f"l{j}{j}", diagonal)
         both = both.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}") for i in p if i > j} or {"_": F.lit(0)}).drop("_")
     return materialize(both.drop(*[f"c{i}{j}" for i in p for j in p if j <= i]), "quality-moments")
@@ -121,7 +122,8 @@ def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang"
     A row is rejected if it fails the fixed limits, or if its transformed statistics lie further than ``cutoff`` (the 0.9999 quantile of chi-square) from its group's
     robust centre. The centre and spread of each group are of the ``part`` of its rows with the smallest distances, found by
     ``steps`` concentration steps from medians and quartiles (minimum covariance determinant); they are drawn towards those of all rows
-    with the weight of ``shrink`` rows, so that small groups act like large ones. Rows that fail the fixed limits take no part in the fit.
+    with the weight of ``shrink`` rows, so that small groups act like large ones, and no standard deviation is below its ``FLOORS``.
+    Distances are scaled by their median over all rows. Rows that fail the fixed limits take no part in the fit.
     Null keys form a group of their own; null and empty texts fail; repeated rows count as often as they come; an empty table gives
     an empty result. Columns of ``docs`` named like an added one are replaced. Without ``with_text`` the text is left out.
     """
@@ -134,18 +136,21 @@ def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang"
     scaled = [((F.col(f) - F.col(f"p_{f}")[1]) / F.greatest((F.col(f"p_{f}")[2] - F.col(f"p_{f}")[0]) / 1.349, F.lit(low * SCALE))) ** 2 for f, low in zip(FEATURES, FLOORS, strict=True)]
     ranked = first.withColumn("d", sum(scaled, F.lit(0.0))).select(*keys, *FEATURES, "d")
     moments = None
-    for step in range(steps + 1):
+    for _ in range(steps):
         ranked = ranked.withColumn("d", _bin(F.col("d")))
-        limit = materialize(ranked.groupBy(*keys).agg(F.expr(f"percentile(d, array(0.5d, {part}d))").alias("limit")), "quality-limits")
-        if step == steps:
-            break
-        inner = _same(ranked, limit, keys).where(F.col("d") <= F.col("limit")[1])
+        limit = materialize(ranked.groupBy(*keys).agg(F.expr(f"percentile(d, {part}d)").alias("limit")), "quality-limits")
+        inner = _same(ranked, limit, keys).where(F.col("d") <= F.col("limit"))
         moments = _moments(inner, keys, shrink)
         ranked = _distance(rows, moments, keys, "d")
-    # the core's spread understates that of all rows: scale it so that the median distance is as of a normal distribution
-    factor = F.greatest(F.expm1(F.col("limit")[0] / 1000) / CHI2_MEDIAN, F.lit(1.0))
-    out = _same(_distance(stats, moments, keys, "distance"), limit, keys)
-    out = out.withColumn("distance", F.when(~F.col("base_failed"), F.col("distance") / factor)).drop("limit", *FEATURES)
+    # the core's spread understates that of all rows: scale it so that the median distance is as of a normal distribution in the
+    # statistics that most rows vary in; the others add nothing to a typical distance. Below 1 it would undo the least deviations
+    varying = first.agg(sum((F.coalesce(F.avg((F.col(f) != F.col(f"p_{f}")[1]).cast("double")) > 0.5, F.lit(False)).cast("int") for f in FEATURES), F.lit(0)).alias("_varying"))
+    typical = ranked.groupBy(_bin(F.col("d")).alias("d")).agg(F.count(F.lit(1)).alias("n")).agg(F.expr("percentile(d, 0.5d, n)").alias("_typical"))
+    scale = materialize(varying.crossJoin(typical), "quality-scale")
+    median = F.get(F.array(*[F.lit(x) for x in CHI2_MEDIANS]), F.greatest(F.col("_varying"), F.lit(1)) - 1)
+    factor = F.greatest(F.expm1(F.col("_typical") / 1000) / median, F.lit(1.0))
+    out = _distance(stats, moments, keys, "distance").crossJoin(F.broadcast(scale))
+    out = out.withColumn("distance", F.when(~F.col("base_failed"), F.col("distance") / factor)).drop("_typical", "_varying", *FEATURES)
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
 
 

@@ -156,6 +156,18 @@ def test_quality(spark, corpus):
     assert quality.quality(docs.limit(0)).count() == 0
 
 
+def test_one_sided_junk_is_rejected_and_clean_text_stays(spark):
+    r = random.Random(5)
+    words = ["".join(r.choice("aeinorst") for _ in range(r.choice((2, 3, 4, 5, 6, 7, 9)))) for _ in range(500)]
+    prose = lambda sep=" ": sep.join(r.choice(words) for _ in range(int(r.lognormvariate(5, 0.6)) + 30))
+    rows = [(i, prose() + ("." if i % 9 else " #1")) for i in range(1000)] + [(2000 + i, prose(" | ")) for i in range(30)]
+    docs = frame(spark, rows).withColumns({"lang": F.lit("en"), "source": F.when(F.col("doc_id") % 2 == 0, "s")})
+    got = [x for x in quality.quality(docs).collect() if not x.base_failed]
+    junk, clean = ([x.kept for x in got if (x.doc_id >= 2000) == side] for side in (True, False))
+    assert len(junk) > 20 and not any(junk)
+    assert len(clean) > 900 and sum(clean) > 0.99 * len(clean)
+
+
 def test_shards(spark, corpus):
     rows = corpus * 5 + EDGES + [(1 << 62, "far"), (-5, "neg")] + [(77, "same key")] * 300
     got = sharding.shard_documents(frame(spark, rows), shards=4).collect()
