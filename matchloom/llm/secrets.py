@@ -17,7 +17,7 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex")
 #: Weak parts, each too common to report alone: an identifier, a secret, an endpoint.
 WEAK_ID = r"(?<![A-Za-z0-9])(?:A[A-Z]{3}[A-Z0-9]{12,}|(?i:client|user|account|access|key|app)[_-]?(?i:id|name|key)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9._-]{6,})"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,99}[0-9])(?=[A-Za-z0-9+/_-]{0,99}[A-Z])(?=[A-Za-z0-9+/_-]{0,99}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,99}[0-9])(?=[A-Za-z0-9+/_-]{0,99}[A-Z])(?=[A-Za-z0-9+/_-]{0,99}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
 WEAK_ENDPOINT = r"(?i)\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[^\s\x22'<>]{4,}|(?i)\b(?:host|endpoint|server|url)[\x22']?\x20*[:=]\x20*[\x22']?[a-z0-9][a-z0-9.-]*\.[a-z]{2,}"
 #: Code points within which complementary parts belong together.
 SCOPE = 200
