@@ -78,6 +78,8 @@ GENERATORS = (
     (2, re.compile(r"(?<![0-9])[0-9]{3,6}(?:[\x20._/-]{1,2}[0-9]{2,6}){2,5}(?![0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])")),
     (3, re.compile(r"(?<![0-9+.])(?:\(?0{1,2}[0-9]{1,3}\)?[\x20./-]?)?\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3,4}[\x20./-]?[0-9]{3,5}(?![0-9])")),
 )
+#: What every candidate of an e-mail address holds.
+_AT_SIGN = re.compile(_AT, re.I)
 #: Words of the context that speak for a kind, or for something else.
 WORDS = {
     0: ("mail", "contact", "write", "reach", "correo", "courriel", "send"),
@@ -123,10 +125,10 @@ def features(text: str, start: int, end: int, kind: int) -> list[float]:
 
 def candidates(text: str) -> list[Span]:
     out = []
-    lower_hint = "dot" in text or "DOT" in text or "Dot" in text or "＠" in text or "(at)" in text or "[at]" in text
+    at = _AT_SIGN.search(text) is not None
     digit = _DIGIT.search(text) is not None
     for kind, pattern in GENERATORS:
-        if lower_hint if kind == 0 else (":" in text if kind == 1 else digit):
+        if at if kind == 0 else (":" in text if kind == 1 else digit):
             out += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
     return out
 

@@ -145,6 +145,13 @@ def test_base_pii_of_random_texts():
         assert pii.base_spans(text) == base_pii(text)
 
 
+def test_email_candidates_do_not_depend_on_the_rest_of_the_text():
+    for at in ("[AT]", "(At)", "{at}", "<at>", " [ at ] ", " ( AT ) ", " at ", " AT ", "＠"):
+        text = f"write to jane.mill{at}example.com soon"
+        want = [s for s in pii.candidates(text + " with an anecdote") if s[1] == 0]
+        assert [s for s in pii.candidates(text) if s[1] == 0] == want == [(9, 0, len(text) - 5)]
+
+
 def test_pii(spark, docs):
     rows = [*docs, (9100, "mail jo [at] mill [dot] org, call (310) 555-4510 now"), (9101, "order 310-555-4510 of 2024-01-02, the cat at home dot")]
     got = pii.find_pii(frame(spark, rows), redacted=True).collect()
