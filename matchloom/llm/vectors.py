@@ -17,6 +17,9 @@ COSINE = 0.93
 WINDOW = 48
 #: Vectors whose window is compared in one task, and vectors of a block when a component is counted.
 SPAN, BLOCK = 2048, 1024
+#: Share of links at just the limit that a vector may miss in all passes; vectors that may miss more are compared exactly, in blocks of CROWD.
+#: If they are more than CROWDED of a label, all of the label are: there, the codes that seem rare are just those near a plane.
+MISSED, CROWD, CROWDED = 1e-3, 4096, 0.01
 #: Passes that share one sort.
 AT_ONCE = 8
 
@@ -77,13 +80,29 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits at the start that rows of bytes have in common."""
+    differ = np.unpackbits(a ^ b, axis=1)
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1])
+
+
 def _windows(placed: DataFrame, window: int, cosine: float) -> DataFrame:
-    """Links within ``window`` places of each block's order; only as many as its vectors need to hang together."""
+    """Links within ``window`` places of each block's order; only as many as its vectors need to hang together.
+
+    Besides, in rows with ``bits``: the bits of its code that a vector (a) shares with those ``window`` places off, -1 where the label ends
+    before. What agrees with it in more bits than that stands in its window.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         order = np.argsort(np.asarray(table.column("rank")), kind="stable")
-        ids, label = (np.asarray(table.column(c))[order] for c in ("id", "label"))
+        ids, label, which = (np.asarray(table.column(c))[order] for c in ("id", "label", "pass"))
         x = _unit(_rows(table.column("v").combine_chunks())[order])
+        code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
+        bits = np.full(len(ids), -1, np.int32)
+        if len(ids) > window:
+            far = np.where(label[:-window] == label[window:], _shared_bits(code[:-window], code[window:]), -1)
+            bits[:-window] = far
+            bits[window:] = np.maximum(bits[window:], far)
         left, right = [], []
         for step in range(1, min(window, len(ids) - 1) + 1):
             near = np.nonzero((np.einsum("ij,ij->i", x[:-step], x[step:]) >= cosine) & (label[:-step] == label[step:]))[0]
@@ -91,9 +110,44 @@ def _windows(placed: DataFrame, window: int, cosine: float) -> DataFrame:
             right.append(near + step)
         edges = _forest(np.concatenate(left), np.concatenate(right)) if left else []
         pairs = ids[np.array(edges, dtype=np.int64).reshape(-1, 2)]
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        links = pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "pass": pa.nulls(len(pairs), pa.int32()), "bits": pa.nulls(len(pairs), pa.int32())})
+        return pa.concat_tables([links, pa.table({"a": pa.array(ids), "b": pa.nulls(len(ids), pa.int64()), "pass": pa.array(which), "bits": pa.array(bits)})])
+
+    return placed.groupBy("block").applyInArrow(run, "a long, b long, pass int, bits int")
+
 
-    return placed.groupBy("block").applyInArrow(run, "a long, b long")
+def _crowded(found: DataFrame, cosine: float) -> DataFrame:
+    """The ids of the vectors that may miss more than ``MISSED`` of their links, by the bits that their windows took in each pass."""
+    agree = 1 - math.acos(cosine) / math.pi
+    by_pass = found.where("bits IS NOT NULL").groupBy("a", "pass").agg(F.max("bits").alias("bits"))
+    # where the label ends within the window, the window has all that agrees in none
+    log_missed = F.sum(F.log1p(-F.least(F.pow(F.lit(agree), F.col("bits") + 1), F.lit(1 - 1e-9))))
+    return by_pass.groupBy(F.col("a").alias("id")).agg(log_missed.alias("m")).where(F.col("m") > math.log(MISSED)).select("id")
+
+
+def _exact_links(vectors: DataFrame, cosine: float) -> DataFrame:
+    """Links between different roots among all vectors (id, root, label, v) of a label, in tiles of blocks; as many as join something."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, root, ids = (np.asarray(table.column(c)) for c in ("side", "root", "id"))
+        x = _unit(_rows(table.column("v").combine_chunks()))
+        left = np.nonzero(side == 0)[0]
+        right = np.nonzero(side == 1)[0] if (side == 1).any() else left
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(left), 512):
+            some = left[at : at + 512]
+            i, j = np.nonzero((x[some] @ x[right].T >= cosine) & (root[some][:, None] != root[right][None, :]))
+            a.append(some[i])
+            b.append(right[j])
+        edges = np.array(_forest(root[np.concatenate(a)], root[np.concatenate(b)]), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
+
+    sizes = vectors.groupBy("label", F.size("v").alias("d")).agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("blocks"))
+    placed = vectors.withColumn("d", F.size("v")).join(sizes, ["label", "d"])
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    tiles = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
+    tiled = placed.withColumn("t", F.explode(tiles)).select("label", "d", "t.i", "t.j", "t.side", "root", "id", "v")
+    return tiled.groupBy("label", "d", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def _pass_links(vectors: DataFrame, passes: range, bits: int, window: int, cosine: float, seed: int) -> DataFrame:
@@ -101,7 +155,7 @@ def _pass_links(vectors: DataFrame, passes: range, bits: int, window: int, cosin
     spark = vectors.sparkSession
     coded = _codes(vectors, passes, bits, seed)
     order = coded.repartitionByRange(partitions(spark), "pass", "label", "code", "id").sortWithinPartitions("pass", "label", "code", "id")
-    placed = materialize(order.withColumn("at", F.monotonically_increasing_id()).drop("code"), "vector-order")
+    placed = materialize(order.withColumn("at", F.monotonically_increasing_id()), "vector-order")
     part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a number for each partition
     base, below = [], 0
@@ -113,7 +167,7 @@ def _pass_links(vectors: DataFrame, passes: range, bits: int, window: int, cosin
     home = F.floor(F.col("rank") / SPAN)
     # the first rows of a block also end the block before
     blocks = F.when((F.col("rank") % SPAN < window) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    return _windows(ranked.withColumn("block", F.explode(blocks)).select("block", "rank", "id", F.struct("pass", "label").alias("group"), "v").withColumn("label", F.xxhash64("group")).drop("group"), window, cosine)
+    return _windows(ranked.withColumn("block", F.explode(blocks)).select("block", "rank", "id", "pass", "code", F.struct("pass", "label").alias("group"), "v").withColumn("label", F.xxhash64("group")).drop("group"), window, cosine)
 
 
 def _count_links(members: DataFrame, cosine: float) -> DataFrame:
@@ -147,8 +201,10 @@ def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "e
     Equal vectors become one, with a weight. Each pass sorts by label and the concatenated bits of random projections and compares each
     vector with ``window`` neighbours; the links of all passes are united. The number of passes follows from that of the vectors
     (``passes_for``). A window bounds what a pass compares, not what is found: the links within each component are then counted exactly,
-    in blocks, so a crowd denser than the window keeps all its links. Only a link that would have joined two components and fell
-    into no window is missed.
+    in blocks, so a crowd denser than the window keeps all its links. Where vectors of a label share a direction, their codes agree in
+    many bits and a window holds few of those near: vectors whose windows, by the bits they took, may miss more than ``MISSED`` of
+    their links are compared with each other exactly, in blocks, and where they are more than ``CROWDED`` of a label, so are all of it;
+    that takes the square of their number. Only a link outside these that would have joined two components and fell into no window is missed.
 
     Vectors that are null, empty or zero, or hold null or non-finite components, and those with a null label or vec_id, link with nothing
     (component_id is the vec_id). Repeated rows are others to each other: they link, and have one vec_id. Vectors of other lengths than
@@ -160,14 +216,21 @@ def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "e
     fit = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = materialize(rows.withColumns({"fit": fit, "same": F.when(fit, F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("v", lambda x: F.hex(F.encode(x.cast("string"), "utf-8"))), ",")), 256))}), "vectors")
     unique = materialize(rows.where("fit").groupBy("same").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors-unique")
-    links = None
+    found_all = None
     for d, n in [(r.d, r.n) for r in unique.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]:  # a row for each length
         own, todo = unique.where(F.size("v") == d), passes or passes_for(n, window, cosine)
         for at in range(0, todo, AT_ONCE):
             found = materialize(_pass_links(own, range(at, min(at + AT_ONCE, todo)), 64, window, cosine, seed), "vector-links")
-            links = found if links is None else links.unionByName(found)
-    links = links if links is not None else spark.createDataFrame([], "a long, b long")
+            found_all = found if found_all is None else found_all.unionByName(found)
+    found_all = found_all if found_all is not None else spark.createDataFrame([], "a long, b long, pass int, bits int")
+    links = found_all.where("bits IS NULL").select("a", "b")
     roots = materialize(connected_components(links), "vector-roots")
+    dense = materialize(unique.select("id", "label", "v").join(_crowded(found_all, cosine).withColumn("dense", F.lit(1)), "id", "left"), "vector-dense")
+    share = dense.groupBy("label").agg((F.count("dense") > CROWDED * F.count(F.lit(1))).alias("whole"))
+    crowd = dense.join(share, "label").where("whole OR dense = 1").join(roots, "id", "left").select("id", "label", "v", F.coalesce("root", "id").alias("root"))
+    more = materialize(_exact_links(materialize(crowd, "vector-crowd"), cosine), "vector-more")
+    if not more.isEmpty():
+        roots = materialize(connected_components(links.unionByName(more)), "vector-roots")
     sizes = materialize(roots.groupBy("root").agg(F.count(F.lit(1)).alias("c")), "vector-sizes")
     inside = roots.join(sizes, "root").join(unique.select("id", "weight", "v"), "id")
     blocks = F.ceil(F.col("c") / BLOCK)
