@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from matchloom.functions.clients import Embedder, LanguageModel
 from matchloom.functions.text import is_ascii_text, quote
+from matchloom.schemas import EMBEDDING_LOOKUP
+from matchloom.sources.intermediate import materialize
 
 #: P(English) from this on counts.
 ENGLISH = 0.8
@@ -69,6 +71,13 @@ def embed_values(values: DataFrame, embedder: Embedder) -> DataFrame:
     return _batched(values, "array<float>", embedder.embed)
 
 
+def embedding_lookup(values: DataFrame, embedder: Embedder) -> DataFrame:
+    """norm and emb of each different non-null ``value``, written once: whatever reads the vectors later, a value is embedded once."""
+    different = values.where(F.col("value").isNotNull()).select("value").distinct()
+    found = embed_values(different, embedder).select(F.col("value").alias("norm"), F.col("result").cast("array<float>").alias("emb"))
+    return materialize(found.select(*[f.name for f in EMBEDDING_LOOKUP.fields]), "embeddings")
+
+
 #: Transforms by name: expressions only, so that nothing a model says is ever run as code.
 TRANSFORMS: Mapping[str, Callable[[Column], Column]] = {
     "identity": lambda c: c,

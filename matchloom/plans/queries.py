@@ -346,14 +346,6 @@ def fuzzy_match_rows(spark, sf_dir):
     return rowmatch.match_fuzzy(e, m, _MAPPING, "supplier", 60, "customer").withColumn("avg_similarity", F.round("avg_similarity", 4)).drop("similarity")
 
 
-def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _read(spark, sf_dir, "embeddings")
-    e = v.select(F.col("vec_id").alias("enrichment_row_index"), "label", F.col("embedding").alias("ev"))
-    m = v.select(F.col("vec_id").alias("master_row_index"), "label", F.col("embedding").alias("mv"))
-    out = e.join(m, "label").where("enrichment_row_index != master_row_index")
-    return out.select("enrichment_row_index", "master_row_index", F.lit("vectors").alias("enrichment_dataset"), sim.cosine(F.col("ev"), F.col("mv")).alias("avg_similarity"))
-
-
 _COSINE_SQL = """WITH p AS (SELECT e.vec_id AS enrichment_row_index, m.vec_id AS master_row_index, list_cosine_similarity(e.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS c
   FROM embeddings e JOIN embeddings m ON e.label = m.label AND e.vec_id <> m.vec_id),
 top AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY enrichment_row_index ORDER BY round(c, 9) DESC NULLS LAST, master_row_index) <= 3)
@@ -361,13 +353,18 @@ top AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY enrichment_row_i
 
 
 def _top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rounded = _vectors(spark, sf_dir).withColumn("avg_similarity", F.round("avg_similarity", 9))
-    return rowmatch.top_matches(rounded, 3, ["enrichment_dataset", "enrichment_row_index"], ["master_row_index"])
+    """The three nearest others of each vector with its label; avg_similarity to nine places, as it is ranked, and cosine as it is."""
+    v = _read(spark, sf_dir, "embeddings").where("label IS NOT NULL")
+    e = v.select(F.col("vec_id").alias("enrichment_row_index"), F.array(F.col("label").cast("string")).alias("e"), F.col("embedding").alias("e_v0"))
+    m = v.select(F.col("vec_id").alias("master_row_index"), F.array(F.col("label").cast("string")).alias("m"), F.col("embedding").alias("m_v0"))
+    others = rowmatch.nearest_rows(e, m, [0], 1, 4).where("enrichment_row_index != master_row_index")  # itself may be among the four
+    scored = others.select("enrichment_row_index", "master_row_index", F.lit("vectors").alias("enrichment_dataset"), F.col("scores")[0].alias("cosine")).withColumn("avg_similarity", F.round("cosine", 9))
+    return rowmatch.top_matches(scored, 3, ["enrichment_row_index"], ["master_row_index"])
 
 
 @_query(_COSINE_SQL + "SELECT enrichment_row_index, master_row_index, round(c, 6) AS avg_similarity FROM top")
 def embed_cosine_topn(spark, sf_dir):
-    return _top_vectors(spark, sf_dir).select("enrichment_row_index", "master_row_index", F.round("avg_similarity", 6).alias("avg_similarity"))
+    return _top_vectors(spark, sf_dir).select("enrichment_row_index", "master_row_index", F.round("cosine", 6).alias("avg_similarity"))
 
 
 _SCORES = "CASE WHEN s_suppkey % {k} = 0 THEN NULL ELSE CAST((s_suppkey * {k}) % 101 AS DOUBLE) END"

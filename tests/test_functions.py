@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -49,10 +51,21 @@ def test_udfs_and_cosine(spark):
     assert rows[0].c == pytest.approx(0.5**0.5) and [r.c for r in rows[1:]] == [None, None] and [r.d for r in rows[1:]] == [0.0, 0.0]
 
 
-def test_bound_holds(spark):
-    df = spark.createDataFrame([("acme", "acme corp"), ("", ""), ("a", "bbbb")], "a string, b string")
-    for r in df.select("a", "b", sim.ratio_bound(F.col("a"), F.col("b")).alias("top")).collect():
-        assert sim.ratio(r.a, r.b) <= r.top
+def test_token_set_bounds_hold(spark):
+    r = random.Random(4)
+    words = ["a", "ab", "acme", "corp", "corporation", "of", "x9", "zz"]
+    text_ = lambda: " ".join(r.choice(words) for _ in range(r.randint(0, 5)))
+    rows = [(text_(), text_()) for _ in range(400)] + [(None, "a"), ("a", None), ("", ""), ("a", "")]
+    x = sim.token_set_bounds(F.col("a"), F.col("b"))
+    settled = 0
+    for row in spark.createDataFrame(rows, "a string, b string").select("a", "b", x.alias("x")).collect():
+        if row.a is None or row.b is None:
+            assert row.x is None
+            continue
+        score = sim.token_set_ratio(row.a, row.b)
+        assert row.x.least <= score <= row.x.most
+        settled += row.x.least >= row.x.most
+    assert settled > 100
 
 
 def test_normalize_and_evidence(spark):
