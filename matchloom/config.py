@@ -58,10 +58,12 @@ class Config:
     models: ModelSettings = field(default_factory=ModelSettings)
     adjudication: Adjudication = field(default_factory=Adjudication)
     num_examples: int = 10
-    typing_sample: int = 1000
+    #: Rows of each dataset whose values show its types and examples; None: all.
+    typing_sample: int | None = 1000
     transform_examples: int = 50
     master: str = "Master"
     #: Score the transformed values instead of the original ones.
     use_transformed: bool = False
-    #: Cross joins of more row pairs than this are refused.
+    #: Cross joins of more row pairs than this are refused, and so are blocks that together give more.
     max_cross_pairs: int = 50_000_000
+    max_pairs: int = 10**12

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from matchloom.config import ModelSettings
 from matchloom.functions.similarity import token_set_ratio
+from matchloom.functions.text import json_safe
 
 
 class LanguageModel(Protocol):
@@ -23,6 +27,10 @@ class LanguageModel(Protocol):
 
     def judge_rows(self, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]: ...
 
+    def choose_transform(self, enrichment: Sequence[str], master: Sequence[str], hits: dict[str, int]) -> str:
+        """The name of a transform, a key of ``hits``: after each, so many of the frequent enrichment values are frequent master values."""
+        ...
+
 
 class Embedder(Protocol):
     width: int
@@ -42,9 +50,92 @@ def strip_fence(text: str) -> str:
     return re.sub(r"^\s*```[a-z]*\s*|\s*```\s*$", "", text)
 
 
+def parse_object(reply: str) -> dict:
+    """The JSON object of a reply, whatever fence or words stand around it; empty if there is none."""
+    text = strip_fence(reply)
+    for candidate in (text, text[text.find("{") : text.rfind("}") + 1]):
+        try:
+            found = json.loads(candidate)
+        except ValueError:
+            continue
+        if isinstance(found, dict):
+            return found
+    return {}
+
+
+def parse_judgement(reply: str) -> tuple[str, str]:
+    """Decision and justification of a structured reply, or of one in plain lines."""
+    found = parse_object(reply)
+    if "decision" not in found:
+        return parse_decision(strip_fence(reply))
+    decision = parse_decision(str(found["decision"]))[0]
+    return decision, str(found.get("justification") or "")
+
+
+#: What a column without a description of its own gets.
+UNDESCRIBED = "No description available."
+
+
+@dataclass(frozen=True)
+class PromptModel:
+    """A language model behind one function: ``complete(prompt, settings)`` sends a prompt with the hyper-parameters and returns the reply.
+
+    The function must be picklable. A call that raises is tried again ``retries`` times, after ``wait`` seconds, twice that, and so on.
+    Replies are structured: JSON objects, read whatever stands around them; what can't be read is No, or no description.
+    """
+
+    complete: Callable[[str, ModelSettings], str]
+    settings: ModelSettings = field(default_factory=ModelSettings)
+    retries: int = 3
+    wait: float = 1.0
+
+    def _ask(self, prompt: str) -> str:
+        for k in range(self.retries + 1):
+            try:
+                return self.complete(prompt, self.settings) or ""
+            except Exception:
+                if k == self.retries:
+                    raise
+                time.sleep(self.wait * 2**k)
+        return ""
+
+    def describe(self, columns: Sequence[dict]) -> list[str]:
+        """One call for each dataset."""
+        by_dataset: dict[str, dict] = {}
+        for c in columns:
+            shown = [json_safe(v, c["data_type"]) for v in c["example_values"] or []]
+            by_dataset.setdefault(c["dataset"], {})[c["column_name"]] = {"data_type": c["data_type"], "examples": shown}
+        told = {}
+        for name, meta in by_dataset.items():
+            prompt = f"Describe in one sentence what each column of the dataset {name} holds. Reply with one JSON object, from column name to description.\n{json.dumps(meta, ensure_ascii=False)}"
+            told[name] = parse_object(self._ask(prompt))
+        return [str(told[c["dataset"]].get(c["column_name"]) or UNDESCRIBED) for c in columns]
+
+    def judge_columns(self, pairs: Sequence[dict]) -> list[tuple[str, str]]:
+        out = []
+        for p in pairs:
+            sides = {s: {k: p.get(f"{s}_{k}") for k in ("dataset", "column", "description", "data_type")} | {"examples": list(p.get(f"{s}_example_values") if p.get(f"{s}_example_values") is not None else [])} for s in ("master", "enrichment")}
+            prompt = f'Do these two columns hold the same thing? Reply with a JSON object: {{"decision": "Yes" or "No", "justification": one line}}.\n{json.dumps(sides, ensure_ascii=False, default=str)}'
+            decision, reason = parse_judgement(self._ask(prompt))
+            out.append(("Yes" if decision == "Yes" else "No", reason))
+        return out
+
+    def translate(self, values: Sequence[str]) -> list[str]:
+        return [strip_fence(self._ask(f"Translate this value into English. Reply with the translation alone.\n{v}")).strip() or v for v in values]
+
+    def judge_rows(self, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+        ask = 'Do these two records name the same entity? Reply with a JSON object: {{"decision": "Yes", "No" or "Maybe", "justification": one line}}.\nA: {}\nB: {}'
+        return [parse_judgement(self._ask(ask.format(a, b))) for a, b in pairs]
+
+    def choose_transform(self, enrichment: Sequence[str], master: Sequence[str], hits: dict[str, int]) -> str:
+        prompt = f"Which transform makes values of the first list look like those of the second? Reply with one name of: {', '.join(hits)}.\n{json.dumps([list(enrichment), list(master)], ensure_ascii=False)}"
+        words = re.findall(r"[a-z0-9_]+", strip_fence(self._ask(prompt)).lower())
+        return next((w for w in words if w in hits), "identity")
+
+
 @dataclass(frozen=True)
 class OfflineModel:
-    """Rules in place of a model: templates, similar names and values, a dictionary, and similar evidence."""
+    """Rules in place of a model: templates, similar names and values, a dictionary, similar evidence, and the transform with most hits."""
 
     dictionary: dict[str, str] = field(default_factory=dict)
     yes: float = 80.0
@@ -71,6 +162,29 @@ class OfflineModel:
             out.append(("Yes" if score >= self.yes else "Maybe" if score >= self.maybe else "No", f"evidence {score:.0f}"))
         return out
 
+    def choose_transform(self, enrichment: Sequence[str], master: Sequence[str], hits: dict[str, int]) -> str:
+        return max(hits, key=lambda name: (hits[name], -list(hits).index(name)))
+
+
+def connect(settings: ModelSettings, complete: Callable[[str, ModelSettings], str] | None = None, dictionary: dict[str, str] | None = None) -> LanguageModel:
+    """The client of a run: a model behind ``complete``, called with these settings, or the offline rules."""
+    return PromptModel(complete, settings) if complete else OfflineModel(dictionary or {})
+
+
+@dataclass(frozen=True)
+class CharacterCounts:
+    """Vectors of how often each character of ``characters`` comes in a text: plain enough to check by hand. Texts without any have no vector."""
+
+    characters: str = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+    @property
+    def width(self) -> int:
+        return len(self.characters)
+
+    def embed(self, texts: Sequence[str]) -> list[list[float] | None]:
+        found = [[float(x.count(c)) for c in self.characters] for x in (t or "" for t in texts)]
+        return [v if any(v) else None for v in found]
+
 
 @dataclass(frozen=True)
 class HashedNgrams:

@@ -23,6 +23,16 @@ def safe_name(text: str, max_len: int = 80) -> str:
     return out if out and not out[0].isdigit() else f"c_{out}"
 
 
+def json_safe(value: str | None, data_type: str) -> int | float | str | None:
+    """An example value as it is shown in JSON: numbers of numerical columns as numbers, whole ones without a point; all else as text."""
+    if value is None or data_type != "numerical":
+        return value
+    try:
+        return float(value) if "." in value or "e" in value.lower() else int(value)
+    except ValueError:
+        return value
+
+
 def normalize(column: Column, unicode_words: bool = False) -> Column:
     """Lower case, no punctuation, single spaces, no space at either end; null becomes empty.
 

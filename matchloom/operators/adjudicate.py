@@ -60,5 +60,11 @@ def adjudicate(matches: DataFrame, client: LanguageModel, settings: Adjudication
     return judge(routed.where("route = 'llm'").drop("route"), client).unionByName(low)
 
 
+def as_object(judged: DataFrame) -> DataFrame:
+    """Decision and justification as one object, ``final_llm``, and its JSON text, ``final_llm_json``, in place of the two columns."""
+    both = F.struct(F.col("final_llm_decision").alias("decision"), F.col("final_llm_justification").alias("justification"))
+    return judged.withColumns({"final_llm": both, "final_llm_json": F.to_json(both)}).drop("final_llm_decision", "final_llm_justification")
+
+
 def tally(judged: DataFrame) -> DataFrame:
     return judged.groupBy("final_llm_decision").agg(F.count(F.lit(1)).alias("n"))

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.functions.clients import Embedder, LanguageModel
-from matchloom.functions.text import is_ascii_text, quote
+from matchloom.functions.english import probability
+from matchloom.functions.similarity import fuzzy_ratio, fuzzy_token_set_ratio, fuzzy_token_sort_ratio
+from matchloom.functions.text import ASCII_TEXT, is_ascii_text, quote
 from matchloom.schemas import EMBEDDING_LOOKUP
 from matchloom.sources.intermediate import materialize
 
@@ -19,26 +21,41 @@ from matchloom.sources.intermediate import materialize
 ENGLISH = 0.8
 
 
-def is_english(column: Column, detector: Callable[[str], float] | None = None) -> Column:
-    """True for null and plain ASCII; other texts ask the detector for the probability of English, and are not English without one.
-
-    A detector that fails on a text says no.
-    """
-    plain = is_ascii_text(column)
-    if detector is None:
-        return plain
+def english_udf(detector: Callable[[str], float] = probability):
+    """A UDF: null and plain ASCII are English, and texts whose probability of English, by the detector, is above ``ENGLISH``. A detector that
+    fails on a text says no."""
+    plain = re.compile(ASCII_TEXT)
 
     @F.pandas_udf(T.BooleanType())
     def ask(values: pd.Series) -> pd.Series:
         def one(x: str | None) -> bool:
             try:
-                return x is None or detector(x) > ENGLISH
+                return x is None or plain.search(x) is not None or detector(x) > ENGLISH
             except Exception:  # a detector's verdict on odd text
                 return False
 
-        return values.map(one)
+        return values.map(one).astype(bool)
+
+    return ask
+
+
+def is_english(column: Column, detector: Callable[[str], float] | None = probability) -> Column:
+    """True for null and plain ASCII; other texts ask the detector for the probability of English, and are not English without one."""
+    plain = is_ascii_text(column)
+    return plain if detector is None else F.when(plain, F.lit(True)).otherwise(english_udf(detector)(F.when(~plain, column)))
+
 
-    return F.when(plain, F.lit(True)).otherwise(ask(column))
+def register_functions(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Registers the scalar functions for SQL and for calls by name, and returns their names."""
+    found = {"is_english": english_udf(), "fuzzy_ratio": fuzzy_ratio, "token_sort_ratio": fuzzy_token_sort_ratio, "token_set_ratio": fuzzy_token_set_ratio}
+    for name, f in found.items():
+        spark.udf.register(prefix + name, f)
+    return [prefix + name for name in found]
+
+
+def call_by_name(name: str, *columns: str) -> Column:
+    """A registered or built-in function by its name."""
+    return F.call_function(name, *[F.col(quote(c)) for c in columns])
 
 
 def on_distinct(df: DataFrame, column: str, apply: Callable[[DataFrame], DataFrame], wanted: Column | None = None) -> DataFrame:
@@ -60,7 +77,7 @@ def _batched(values: DataFrame, kind: str, call: Callable[[list[str]], list]) ->
     return values.mapInPandas(run, f"value string, result {kind}")
 
 
-def translate_column(df: DataFrame, column: str, client: LanguageModel, detector: Callable[[str], float] | None = None) -> DataFrame:
+def translate_column(df: DataFrame, column: str, client: LanguageModel, detector: Callable[[str], float] | None = probability) -> DataFrame:
     """Replaces the values that aren't English by their translation; each different one is translated once."""
     out = on_distinct(df, column, lambda v: _batched(v, "string", client.translate), ~is_english(F.col("value"), detector))
     return out.withColumn(column, F.coalesce("result", F.col(quote(column)).cast("string"))).drop("result")
@@ -78,7 +95,7 @@ def embedding_lookup(values: DataFrame, embedder: Embedder) -> DataFrame:
     return materialize(found.select(*[f.name for f in EMBEDDING_LOOKUP.fields]), "embeddings")
 
 
-#: Transforms by name: expressions only, so that nothing a model says is ever run as code.
+#: Transforms by name: expressions only, so that nothing a model says is ever run as code. Ties go to the first.
 TRANSFORMS: Mapping[str, Callable[[Column], Column]] = {
     "identity": lambda c: c,
     "lower": lambda c: F.lower(F.trim(c)),
@@ -90,19 +107,21 @@ TRANSFORMS: Mapping[str, Callable[[Column], Column]] = {
 }
 
 
-def choose_transform(enrichment: list[str], master: list[str]) -> str:
-    """The transform after which most of the frequent enrichment values are master values; ties go to the first."""
-    plain = {
-        "identity": lambda x: x,
-        "lower": lambda x: x.strip(" ").lower(),
-        "no_punctuation": lambda x: re.sub(r"[^\w\s]", "", x, flags=re.ASCII).strip(" "),
-        "no_company_suffix": lambda x: re.sub(r"(?i)[\s,]+(inc|llc|ltd|corp|co|gmbh|sa|plc)\.?\s*$", "", x).strip(" "),
-        "digits": lambda x: re.sub(r"\D", "", x),
-        "zero_padded_9": lambda x: re.sub(r"\D", "", x)[:9].rjust(9, "0"),
-        "domain": lambda x: (m[1].lower() if (m := re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:www\.)?([^/:?#\s]+)", x)) else ""),
-    }
-    targets = set(master)
-    return max(plain, key=lambda name: (sum(plain[name](x) in targets for x in enrichment), -list(plain).index(name)))
+def transform_hits(top: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict[tuple[str, str], dict[str, int]]:
+    """For each pair of an enrichment and a master column, how many of the one's frequent values each transform turns into the other's.
+
+    ``top`` has dataset (e or m), column_name and value, a few for each column. The transforms are the very expressions that change the
+    columns later, so what is counted is what will happen. One job for all pairs.
+    """
+    spark = top.sparkSession
+    wanted = spark.createDataFrame(list(dict.fromkeys(pairs)), "e_column string, m_column string")
+    e = top.where("dataset = 'e'").select(F.col("column_name").alias("e_column"), F.explode(F.create_map(*[x for name, f in TRANSFORMS.items() for x in (F.lit(name), f(F.col("value")))])).alias("transform", "value"))
+    m = top.where("dataset = 'm'").select(F.col("column_name").alias("m_column"), "value").distinct()
+    met = wanted.join(e, "e_column").join(m, ["m_column", "value"]).groupBy("e_column", "m_column", "transform").agg(F.count(F.lit(1)).alias("n"))
+    out = {pair: dict.fromkeys(TRANSFORMS, 0) for pair in pairs}
+    for r in met.collect():  # at most one for each mapped pair and transform
+        out[r.e_column, r.m_column][r["transform"]] = r.n
+    return out
 
 
 def transform_column(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -111,17 +130,15 @@ def transform_column(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def describe_columns(metadata: DataFrame, client: LanguageModel) -> DataFrame:
-    """Adds a description to each column of the metadata; one call for each batch of columns."""
+    """Adds a description to each column of the metadata; one call for each dataset, with all its columns."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                rows = batch.to_dict("records")
-                for r in rows:
-                    r["example_values"] = list(r["example_values"]) if r["example_values"] is not None else []
-                yield batch.assign(description=client.describe(rows))
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = batch.to_dict("records")
+        for r in rows:
+            r["example_values"] = list(r["example_values"]) if r["example_values"] is not None else []
+        return batch.assign(description=client.describe(rows))
 
-    return metadata.mapInPandas(run, T.StructType([*metadata.schema.fields, T.StructField("description", T.StringType())]))
+    return metadata.groupBy("dataset").applyInPandas(run, T.StructType([*metadata.schema.fields, T.StructField("description", T.StringType())]))
 
 
 def judge_column_pairs(features: DataFrame, client: LanguageModel) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.similarity import cosine, fuzzy_ratio, fuzzy_token_set_ratio, fuzzy_token_sort_ratio
 from matchloom.operators.profile import KEYS, catalog, column_stats, value_counts
 from matchloom.schemas import PAIR_FEATURES
+from matchloom.sources.intermediate import materialize
 
 SIDES = ("master", "enrichment")
 
@@ -51,11 +52,14 @@ def gaps(pairs: DataFrame, stats: DataFrame, master: str = "Master") -> DataFram
     return out.withColumns({"avg_length_diff": F.abs(F.col("master_avg_length") - F.col("enrichment_avg_length")), "entropy_gap": F.abs(F.col("master_entropy") - F.col("enrichment_entropy"))})
 
 
-def pair_features(datasets: Mapping[str, DataFrame], described: DataFrame, master: str = "Master") -> DataFrame:
-    """All features of all pairs. ``described`` has dataset, column_name, data_type, example_values, description and vector (array<float>)."""
+def pair_features(datasets: Mapping[str, DataFrame], described: DataFrame, master: str = "Master", counts: DataFrame | None = None) -> DataFrame:
+    """All features of all pairs. ``described`` has dataset, column_name, data_type, example_values, description and vector (array<float>).
+
+    ``counts`` are the value counts of all cells where they are there already; else they are made here, and written once.
+    """
     spark = next(iter(datasets.values())).sparkSession
     columns = catalog(spark, datasets)
-    counts = value_counts(datasets).persist()
+    counts = materialize(value_counts(datasets), "value-counts") if counts is None else counts
     pairs = column_pairs(columns, master)
     out = gaps(overlap(counts, master, pairs), column_stats(counts, columns), master)
     for side in SIDES:

@@ -73,15 +73,18 @@ def detect_types(counts: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """At most n rows, the same ones each time: those whose values hash lowest."""
-    order = F.xxhash64(F.lit(seed), *[F.col(quote(c)).cast("string") for c in df.columns])
-    return df.withColumn("_order", order).orderBy("_order", *[quote(c) for c in df.columns]).limit(n).drop("_order")
+    """At most n rows, the same ones each time: those whose values, as text, have the least MD5."""
+    values = [F.coalesce(F.col(quote(c)).cast("string"), F.lit("")) for c in df.columns]
+    return df.withColumn("_order", F.md5(F.concat_ws("|", F.lit(str(seed)), *values))).orderBy("_order", *[quote(c) for c in df.columns]).limit(n).drop("_order")
 
 
-def metadata(datasets: Mapping[str, DataFrame], k: int = 10, sample: int | None = 1000) -> DataFrame:
-    """dataset, column_name, data_type, example_values (the k most frequent), of a sample of each dataset, or of all rows without ``sample``."""
+def metadata(datasets: Mapping[str, DataFrame], k: int = 10, sample: int | None = 1000, counts: DataFrame | None = None) -> DataFrame:
+    """dataset, column_name, data_type, example_values (the k most frequent), of a sample of each dataset, or of all rows without ``sample``.
+
+    Without ``sample``, ``counts`` are the value counts of all rows where they are there already.
+    """
     seen = {d: sample_rows(df, sample) for d, df in datasets.items()} if sample else datasets
-    counts = value_counts(seen)
+    counts = value_counts(seen) if sample or counts is None else counts
     examples = top_values(counts, k).groupBy(*KEYS).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]).alias("example_values"))
     types = detect_types(counts).select(*KEYS, "data_type")
     spark = next(iter(datasets.values())).sparkSession

@@ -2,40 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from matchloom.config import Config
-from matchloom.functions.clients import Embedder, HashedNgrams, LanguageModel, OfflineModel
+from matchloom.config import Config, ModelSettings
+from matchloom.functions.clients import Embedder, HashedNgrams, LanguageModel, connect
+from matchloom.functions.english import probability
+from matchloom.functions.text import quote
 from matchloom.operators import adjudicate, language, pairs, profile, rowmatch, select
+from matchloom.schemas import CLASSIFIED_PAIRS, COLUMN_MATCHES, JUDGED_MATCHES, METADATA, PAIR_FEATURES, ROW_MATCHES
+from matchloom.sources.intermediate import materialize, scratch
+from matchloom.sources.tables import load_into, namespace, save, with_decision
 
 
-def align_columns(datasets: Mapping[str, DataFrame], config: Config | None = None, client: LanguageModel | None = None, embedder: Embedder | None = None) -> DataFrame:
-    """The column map of the master and the other datasets."""
-    config, client, embedder = config or Config(), client or OfflineModel(), embedder or HashedNgrams()
-    described = language.describe_columns(profile.metadata(datasets, config.num_examples, config.typing_sample), client)
-    described = language.on_distinct(described, "description", lambda v: language.embed_values(v, embedder)).withColumnRenamed("result", "vector").persist()
-    features = pairs.pair_features(datasets, described, config.master)
-    kept = select.filter_pairs(features, config.thresholds)
-    judged = language.judge_column_pairs(kept, client).persist()
-    counts = profile.value_counts(datasets)
+def align_columns(datasets: Mapping[str, DataFrame], config: Config | None = None, client: LanguageModel | None = None, embedder: Embedder | None = None, keep: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
+    """The column map of the master and the other datasets. What a model says is written before it is used, so that it is asked once.
+
+    ``keep`` gets the tables between the steps by name: metadata, pair_features and classified_pairs.
+    """
+    config = config or Config()
+    client, embedder = client or connect(config.models), embedder or HashedNgrams(config.models.embedding_width)
+    counts = materialize(profile.value_counts(datasets), "value-counts")
+    seen = profile.metadata(datasets, config.num_examples, config.typing_sample, counts)
+    described = materialize(language.describe_columns(seen, client), "metadata")
+    vectors = language.on_distinct(described, "description", lambda v: language.embed_values(v, embedder)).withColumnRenamed("result", "vector")
+    features = materialize(pairs.pair_features(datasets, vectors, config.master, counts), "pair-features")
+    judged = materialize(language.judge_column_pairs(select.filter_pairs(features, config.thresholds), client), "classified-pairs")
+    for name, df, schema in (("metadata", described, METADATA), ("pair_features", features, PAIR_FEATURES), ("classified_pairs", judged, CLASSIFIED_PAIRS)):
+        if keep:
+            keep(name, load_into(df, schema))
     return select.column_matches(judged, pairs.overlap(counts, config.master), config.weights, config.master)
 
 
-def prepare_values(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tuple[str, str, bool]]], config: Config, client: LanguageModel, detector=None) -> dict[str, DataFrame]:
-    """Translates the mapped columns and adds the transformed ones; the transform of a column follows from both sides' frequent values."""
+def prepare_values(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tuple[str, str, bool]]], config: Config, client: LanguageModel, detector: Callable[[str], float] | None = probability) -> dict[str, DataFrame]:
+    """Translates the mapped columns and adds the transformed ones; the client chooses the transform of a column by both sides' frequent values.
+
+    A dataset is written once its columns are translated: nothing later asks the model again. The master's values are counted once for all.
+    """
     out = dict(datasets)
+    masters = sorted({p[1] for pairs_ in mapping.values() for p in pairs_})
+    if not masters:
+        return out
+    known = materialize(profile.top_values(profile.value_counts({"m": datasets[config.master].select(*[quote(c) for c in masters])}), config.transform_examples), "master-values")
     for name, pairs_ in mapping.items():
-        for column, master_column, _ in pairs_:
+        for column in dict.fromkeys(p[0] for p in pairs_):
             out[name] = language.translate_column(out[name], column, client, detector)
-        seen = profile.value_counts({"e": out[name].select(*[p[0] for p in pairs_]), "m": datasets[config.master].select(*{p[1] for p in pairs_})})
+        out[name] = materialize(out[name], "translated")
+        own = profile.value_counts({"e": out[name].select(*[quote(c) for c in dict.fromkeys(p[0] for p in pairs_)])})
+        seen = materialize(profile.top_values(own, config.transform_examples).unionByName(known), "frequent-values")
+        hits = language.transform_hits(seen, [(e, m) for e, m, _ in pairs_])
         top: dict[tuple[str, str], list[str]] = {}
-        for r in profile.top_values(seen, config.transform_examples).orderBy("rank").collect():  # at most 50 values for each mapped column
+        for r in seen.orderBy("rank").collect():  # at most 50 values for each mapped column
             top.setdefault((r.dataset, r.column_name), []).append(r.value)
-        for column, master_column, _ in pairs_:
-            chosen = language.choose_transform(top.get(("e", column), []), top.get(("m", master_column), []))
+        for (column, master_column), n in hits.items():
+            chosen = client.choose_transform(top.get(("e", column), []), top.get(("m", master_column), []), n)
             out[name] = language.transform_column(out[name], column, chosen)
     return out
 
@@ -50,22 +71,49 @@ def match_rows(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tup
         if config.use_transformed:
             pairs_ = [(f"{e}__TRANSFORMED" if f"{e}__TRANSFORMED" in rows.columns else e, m, f) for e, m, f in pairs_]
         if embedder is None:
-            parts.append(rowmatch.match_fuzzy(rows, master, pairs_, name, config.thresholds.fuzzy_similarity, config.master, config.max_cross_pairs))
+            parts.append(rowmatch.match_fuzzy(rows, master, pairs_, name, config.thresholds.fuzzy_similarity, config.master, config.max_cross_pairs, config.max_pairs))
         else:
             parts.append(rowmatch.match_embedded(rows, master, pairs_, name, embedder, config.thresholds.embedding_top_n, config.master, config.max_cross_pairs))
     return rowmatch.union_matches(parts, datasets[config.master].sparkSession)
 
 
-def resolve(datasets: Mapping[str, DataFrame], config: Config | None = None, client: LanguageModel | None = None, embedder: Embedder | None = None, detector=None) -> DataFrame:
-    """Everything: judged row pairs of all datasets against the master."""
-    config, client = config or Config(), client or OfflineModel()
-    mapping = select.column_map(align_columns(datasets, config, client), config.thresholds.overlap_percent)
+def resolve(datasets: Mapping[str, DataFrame], config: Config | None = None, client: LanguageModel | None = None, embedder: Embedder | None = None, detector: Callable[[str], float] | None = probability, complete: Callable[[str, ModelSettings], str] | None = None, keep: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
+    """Everything: judged row pairs of all datasets against the master, as a written table.
+
+    ``complete`` plugs in a language model: it gets each prompt with the settings of ``config.models``. Every value, column and pair is asked
+    once, however often the result is read. ``keep`` gets the tables between the steps by name.
+    """
+    config = config or Config()
+    client = client or connect(config.models, complete)
+    found = materialize(align_columns(datasets, config, client, keep=keep), "column-matches")
+    mapping = select.column_map(found, config.thresholds.overlap_percent)
     prepared = prepare_values(datasets, mapping, config, client, detector)
-    matches = match_rows(prepared, mapping, config, embedder)
+    matches = materialize(match_rows(prepared, mapping, config, embedder), "row-matches")
     if embedder is None:
-        return adjudicate.judge(matches, client)
-    return adjudicate.adjudicate(matches, client, config.adjudication, config.thresholds.embedding_top_n)
+        judged = adjudicate.judge(matches, client)
+    else:
+        judged = adjudicate.adjudicate(matches, client, config.adjudication, config.thresholds.embedding_top_n)
+    judged = materialize(judged, "judged-matches")
+    for name, df, schema in (("column_matches", found, COLUMN_MATCHES), ("row_matches", matches, ROW_MATCHES), ("judged_matches", judged, JUDGED_MATCHES)):
+        if keep:
+            keep(name, load_into(df, schema))
+    return judged
 
 
-def sorted_matches(judged: DataFrame) -> DataFrame:
-    return judged.orderBy(F.desc_nulls_last("avg_similarity"), "enrichment_dataset", "enrichment_row_index", "master_row_index")
+def resolve_to_tables(datasets: Mapping[str, DataFrame], database: str | None = None, config: Config | None = None, **options) -> dict[str, DataFrame]:
+    """``resolve`` with a table for each step, in ``database`` or the current one, overwritten, and one of the pairs that are judged Yes.
+
+    What is written in between is deleted at the end. Options are those of ``resolve``.
+    """
+    spark = next(iter(datasets.values())).sparkSession
+    home = namespace(database, spark.catalog.currentDatabase())
+    out: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame) -> None:
+        out[name] = save(df, f"{quote(home)}.{quote(name)}")
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(home)}")
+    with scratch():
+        resolve(datasets, config, keep=keep, **options)
+        keep("confirmed_matches", with_decision(out["judged_matches"]))
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchloom.config import Adjudication, Config, Thresholds, Weights
 from matchloom.functions import similarity as sim
-from matchloom.functions.clients import HashedNgrams, OfflineModel
+from matchloom.functions.clients import CharacterCounts, HashedNgrams, OfflineModel
 from matchloom.functions.text import evidence, is_ascii_text, normalize
 from matchloom.operators import adjudicate as adj
 from matchloom.operators import language, pairs, profile, quality, rowmatch, select
@@ -280,24 +280,50 @@ def translate_join(spark, sf_dir):
     return out.select("doc_id", F.coalesce("result", "lang").alias("lang"))
 
 
-def _name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _read(spark, sf_dir, "part").select("p_name").distinct()
-    return names.select(F.col("p_name").alias("a"), F.split("p_name", " ")[0].alias("k")).join(names.select(F.col("p_name").alias("b"), F.split("p_name", " ")[0].alias("k")), "k").drop("k")
+def _lcs_sql(pairs: str) -> str:
+    """CTEs (of a WITH RECURSIVE) after which ``lcs`` has a, b and n, the length of their longest common subsequence, for the relation ``pairs``."""
+    return f"""step(a, b, i, r) AS (SELECT DISTINCT a, b, 0, list_transform(range(1, length(b) + 2), lambda x: 0) FROM {pairs}
+  UNION ALL SELECT a, b, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT a, b, i, list_transform(range(1, length(b) + 2), lambda j: CASE WHEN j = 1 THEN 0 ELSE greatest(r[j], r[j - 1] + CASE WHEN b[j - 1] = a[i + 1] THEN 1 ELSE 0 END) END) AS c FROM step WHERE i < length(a))),
+lcs AS (SELECT a, b, r[len(r)] AS n FROM step WHERE i = length(a))"""
 
 
-@_query()
+def _set_sql(pairs: str) -> str:
+    """CTEs after which ``token_set`` has x, y and score for the relation ``pairs`` of x and y, texts with single spaces."""
+    tokens = lambda x: f"list_sort(list_distinct(list_filter(string_split({x}, ' '), lambda t: t <> '')))"
+    return f"""sides AS (SELECT DISTINCT x, y, {tokens("x")} AS l, {tokens("y")} AS r FROM {pairs}),
+joined AS (SELECT x, y, len(l) AS nl, len(r) AS nr, list_filter(l, lambda t: list_contains(r, t)) AS c, list_filter(l, lambda t: NOT list_contains(r, t)) AS ol, list_filter(r, lambda t: NOT list_contains(l, t)) AS o_r FROM sides),
+whole AS (SELECT *, array_to_string(c, ' ') AS both_, array_to_string(list_concat(c, ol), ' ') AS a, array_to_string(list_concat(c, o_r), ' ') AS b FROM joined),
+{_lcs_sql("whole")},
+token_set AS (SELECT x, y, CASE WHEN nl = 0 OR nr = 0 THEN 0::DOUBLE WHEN len(c) > 0 AND (len(ol) = 0 OR len(o_r) = 0) THEN 100::DOUBLE ELSE greatest(200::DOUBLE * n / (length(a) + length(b)),
+    CASE WHEN len(c) > 0 THEN 200::DOUBLE * length(both_) / (length(both_) + length(a)) ELSE 0 END, CASE WHEN len(c) > 0 THEN 200::DOUBLE * length(both_) / (length(both_) + length(b)) ELSE 0 END) END AS score FROM whole JOIN lcs USING (a, b))"""
+
+
+_NEXT_SQL = """texts AS (SELECT p_partkey, p_name || ' ' || p_type || ' ' || p_brand AS t FROM part),
+named AS (SELECT x.p_partkey, x.t AS x, y.t AS y FROM texts x JOIN texts y ON y.p_partkey = x.p_partkey + 1)"""
+_SORTED = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
+_RATIO = "round(200::DOUBLE * n / (length(a) + length(b)), 4) AS score"
+
+
+def _next_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's text with that of the next part."""
+    t = _read(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("t"))
+    return t.withColumnRenamed("t", "a").join(t.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("t").alias("b")), "p_partkey")
+
+
+@_query(f"WITH RECURSIVE {_NEXT_SQL}, pairs AS (SELECT p_partkey, x AS a, y AS b FROM named), {_lcs_sql('pairs')} SELECT p_partkey, {_RATIO} FROM pairs JOIN lcs USING (a, b)")
 def fuzzy_ratio(spark, sf_dir):
-    return _name_pairs(spark, sf_dir).select("a", "b", F.round(sim.fuzzy_ratio("a", "b"), 4).alias("score"))
+    return _next_parts(spark, sf_dir).select("p_partkey", F.round(sim.fuzzy_ratio("a", "b"), 4).alias("score"))
 
 
-@_query()
+@_query(f"WITH RECURSIVE {_NEXT_SQL}, pairs AS (SELECT p_partkey, {_SORTED.format('x')} AS a, {_SORTED.format('y')} AS b FROM named), {_lcs_sql('pairs')} SELECT p_partkey, {_RATIO} FROM pairs JOIN lcs USING (a, b)")
 def token_sort_ratio(spark, sf_dir):
-    return _name_pairs(spark, sf_dir).select("a", "b", F.round(sim.fuzzy_token_sort_ratio("a", "b"), 4).alias("score"))
+    return _next_parts(spark, sf_dir).select("p_partkey", F.round(sim.fuzzy_token_sort_ratio("a", "b"), 4).alias("score"))
 
 
-@_query()
+@_query(f"WITH RECURSIVE {_NEXT_SQL}, {_set_sql('named')} SELECT p_partkey, round(score, 4) AS score FROM named JOIN token_set USING (x, y)")
 def token_set_ratio(spark, sf_dir):
-    return _name_pairs(spark, sf_dir).select("a", "b", F.round(sim.fuzzy_token_set_ratio("a", "b"), 4).alias("score"))
+    return _next_parts(spark, sf_dir).select("p_partkey", F.round(sim.fuzzy_token_set_ratio("a", "b"), 4).alias("score"))
 
 
 def _parties(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -340,7 +366,17 @@ def evidence_strings(spark, sf_dir):
     return m.select("master_row_index", evidence([(c, F.col(c)) for c in ("nation", "zone", "c_name")]).alias("master_evidence"))
 
 
-@_query()
+def _evidence_sql(x: str, name: str) -> str:
+    return f"'nation: ' || coalesce({x}.nation, 'nan') || '; zone: ' || coalesce({x}.zone, 'nan') || '; c_name: ' || coalesce({x}.{name}, 'nan')"
+
+
+_BLOCKED_SQL = _PARTIES_SQL.replace("WITH e", "WITH RECURSIVE e") + f""", blocked AS (SELECT enrichment_row_index, master_row_index, {_norm_sql("s_name")} AS x, {_norm_sql("c_name")} AS y, {_evidence_sql("e", "s_name")} AS enrichment_evidence, {_evidence_sql("m", "c_name")} AS master_evidence
+  FROM e JOIN m USING (nation) WHERE e.zone IS NULL OR m.zone IS NULL OR lower(trim(e.zone)) = lower(trim(m.zone)))"""
+_FUZZY_SQL = f"""{_BLOCKED_SQL}, {_set_sql("blocked")},
+f AS (SELECT enrichment_row_index, master_row_index, 'customer' AS master_dataset, 'supplier' AS enrichment_dataset, enrichment_evidence, master_evidence, round(score, 4) AS avg_similarity FROM blocked JOIN token_set USING (x, y) WHERE score >= 60)"""
+
+
+@_query(f"{_FUZZY_SQL} SELECT * FROM f")
 def fuzzy_match_rows(spark, sf_dir):
     e, m = _parties(spark, sf_dir)
     return rowmatch.match_fuzzy(e, m, _MAPPING, "supplier", 60, "customer").withColumn("avg_similarity", F.round("avg_similarity", 4)).drop("similarity")
@@ -413,7 +449,7 @@ def row_index(spark, sf_dir):
     return rowmatch.row_index(_read(spark, sf_dir, "customer"), "row_index", ["c_name", "c_custkey"]).select("c_custkey", "row_index")
 
 
-@_query()
+@_query("SELECT * FROM customer ORDER BY md5(concat_ws('|', '42', c_custkey::VARCHAR, coalesce(c_name, ''), coalesce(c_nationkey::VARCHAR, ''), coalesce(c_acctbal::VARCHAR, ''), coalesce(c_mktsegment, ''))) LIMIT 1000")
 def sample_hash(spark, sf_dir):
     return profile.sample_rows(_read(spark, sf_dir, "customer"), 1000)
 
@@ -465,14 +501,27 @@ def transform_domain(spark, sf_dir):
     return language.transform_column(_read(spark, sf_dir, "pages").select("page_id", "url"), "url", "domain").select("page_id", F.col("url__TRANSFORMED").alias("domain"))
 
 
-@_query()
+_DESCRIBED_SQL = f"""{_counts_sql(SHARED)},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY dataset, column_name ORDER BY n DESC, value) AS rank FROM counts WHERE value IS NOT NULL),
+examples AS (SELECT dataset, column_name, list(value ORDER BY rank) AS l FROM ranked WHERE rank <= 10 GROUP BY ALL),
+typed AS (SELECT dataset, column_name, sum(n) FILTER (WHERE value IS NOT NULL) AS n, sum(n) FILTER (WHERE regexp_full_match(trim(value), '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?')) AS d FROM counts GROUP BY ALL),
+described AS (SELECT dataset, column_name, CASE WHEN n IS NULL THEN 'unknown' WHEN d = n THEN 'numerical' ELSE 'text' END AS data_type, l FROM typed LEFT JOIN examples USING (dataset, column_name)),
+told AS (SELECT *, column_name || ': ' || data_type || ', e.g. ' || coalesce(nullif(array_to_string(l, ', '), ''), 'no values') AS description FROM described)"""
+
+
+def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and examples of all rows, with descriptions."""
+    return language.describe_columns(profile.metadata(_datasets(spark, sf_dir, SHARED), sample=None), OfflineModel())
+
+
+@_query(f"{_DESCRIBED_SQL} SELECT dataset, column_name, data_type, array_to_string(l, '|') AS examples, description FROM told")
 def describe_columns(spark, sf_dir):
-    return language.describe_columns(profile.metadata(_datasets(spark, sf_dir, SHARED)), OfflineModel())
+    return _metadata(spark, sf_dir).select("dataset", "column_name", "data_type", F.array_join("example_values", "|").alias("examples"), "description")
 
 
-def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = language.describe_columns(profile.metadata(_datasets(spark, sf_dir, SHARED)), OfflineModel())
-    return language.on_distinct(out, "description", lambda v: language.embed_values(v, HashedNgrams())).withColumnRenamed("result", "vector")
+def _described(spark: SparkSession, sf_dir: str, embedder=None) -> DataFrame:
+    found = embedder or HashedNgrams()
+    return language.on_distinct(_metadata(spark, sf_dir), "description", lambda v: language.embed_values(v, found)).withColumnRenamed("result", "vector")
 
 
 @_query()
@@ -480,28 +529,98 @@ def pair_features(spark, sf_dir):
     return pairs.pair_features(_datasets(spark, sf_dir, SHARED), _described(spark, sf_dir), "customer")
 
 
-@_query()
+_SPACED = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+_JUDGED_SQL = f"""{_OVERLAP_SQL.replace("WITH v", "WITH RECURSIVE v")}, columns_ AS (SELECT *, {_SPACED.format("master_column")} AS x, {_SPACED.format("enrichment_column")} AS y, coalesce(n_both::DOUBLE / nullif(n_master + n_enrichment - n_both, 0), 0) AS overlap_jaccard FROM o),
+{_set_sql("columns_")},
+j AS (SELECT master_column, enrichment_dataset, enrichment_column, overlap_jaccard, CASE WHEN score >= 80 OR overlap_jaccard >= 0.25 THEN 'Yes' ELSE 'No' END AS decision, format('names {{:.0f}}, shared values {{:.2f}}', score, overlap_jaccard) AS justification FROM columns_ JOIN token_set USING (x, y))"""
+
+
+@_query(f"{_JUDGED_SQL} SELECT master_column, enrichment_dataset, enrichment_column, decision, justification FROM j")
 def judge_pairs(spark, sf_dir):
     return language.judge_column_pairs(pair_features(spark, sf_dir), OfflineModel()).select("master_column", "enrichment_dataset", "enrichment_column", "decision", "justification")
 
 
-@_query()
+def _characters_sql(x: str) -> str:
+    """The vector of CharacterCounts."""
+    return f"list_transform(string_split('{CharacterCounts().characters}', ''), lambda c: length({x}) - length(replace({x}, c, '')))"
+
+
+@_query(f"SELECT n_name AS value, array_to_string({_characters_sql('lower(n_name)')}, ',') AS vector FROM (SELECT DISTINCT n_name FROM nation)")
 def embed_text(spark, sf_dir):
-    return language.embed_values(_read(spark, sf_dir, "nation").select(F.col("n_name").alias("value")), HashedNgrams(64))
+    values = _read(spark, sf_dir, "nation").select("n_name", F.lower("n_name").alias("value"))
+    found = rowmatch.embedding_lookup(values, CharacterCounts())
+    return values.join(found, F.col("value") == F.col("norm")).select(F.col("n_name").alias("value"), F.array_join(F.col("emb").cast("array<int>"), ",").alias("vector")).distinct()
 
 
-@_query()
+@_query(
+    f"""{_BLOCKED_SQL}, scored AS (SELECT enrichment_row_index, master_row_index, list_cosine_similarity({_characters_sql("x")}::DOUBLE[], {_characters_sql("y")}::DOUBLE[]) AS c FROM blocked)
+SELECT enrichment_row_index, master_row_index, round(c, 4) AS avg_similarity FROM scored QUALIFY row_number() OVER (PARTITION BY enrichment_row_index ORDER BY round(c, 9) DESC, master_row_index) <= 3"""
+)
 def embedding_match_rows(spark, sf_dir):
     e, m = _parties(spark, sf_dir)
-    return rowmatch.match_embedded(e, m, _MAPPING, "supplier", HashedNgrams(64), 3, "customer").select("enrichment_row_index", "master_row_index", F.round("avg_similarity", 4).alias("avg_similarity"))
+    return rowmatch.match_embedded(e, m, _MAPPING, "supplier", CharacterCounts(), 3, "customer").select("enrichment_row_index", "master_row_index", F.round("avg_similarity", 4).alias("avg_similarity"))
 
 
-@_query()
+@_query(
+    f"""{_FUZZY_SQL.replace("token_set AS", "names_set AS").replace("JOIN token_set", "JOIN names_set").replace("step", "names_step").replace("lcs", "names_lcs").replace("sides AS", "names_sides AS").replace("FROM sides", "FROM names_sides").replace("joined", "names_joined").replace("whole", "names_whole")},
+texts AS (SELECT enrichment_row_index, master_row_index, lower(enrichment_evidence) AS x, lower(master_evidence) AS y FROM f), {_set_sql("texts")}
+SELECT enrichment_row_index, master_row_index, CASE WHEN score >= 80 THEN 'Yes' WHEN score >= 60 THEN 'Maybe' ELSE 'No' END AS final_llm_decision, format('evidence {{:.0f}}', score) AS final_llm_justification FROM texts JOIN token_set USING (x, y)"""
+)
 def judge_rows(spark, sf_dir):
     return adj.judge(fuzzy_match_rows(spark, sf_dir), OfflineModel()).select("enrichment_row_index", "master_row_index", "final_llm_decision", "final_llm_justification")
 
 
+@_query(_COSINE_SQL + """SELECT enrichment_row_index, master_row_index, '{"decision":"' || CASE WHEN round(c, 9) >= 0.9 THEN 'Yes' ELSE 'No' END || '","justification":"LLM not called; backup threshold used"}' AS final_llm_json FROM top""")
+def judgement_object(spark, sf_dir):
+    return adj.as_object(adj.by_threshold(_top_vectors(spark, sf_dir))).select("enrichment_row_index", "master_row_index", "final_llm_json")
+
+
+@_query("SELECT p_partkey, upper(p_name) AS name, length(p_type) AS n FROM part")
+def functions_by_name(spark, sf_dir):
+    return _read(spark, sf_dir, "part").select("p_partkey", language.call_by_name("upper", "p_name").alias("name"), language.call_by_name("length", "p_type").cast("long").alias("n"))
+
+
+# The features of the pairs of the tables' own columns, for the queries that select.
+_REAL_SQL = f"""{_JUDGED_SQL.replace("SELECT master_column, enrichment_dataset, enrichment_column, overlap_jaccard,", "SELECT master_column, enrichment_dataset, enrichment_column, overlap_jaccard, n_both, n_master, n_enrichment,")},
+{_DESCRIBED_SQL.removeprefix("WITH ").replace("counts", "cell_counts").replace("typed", "kinds").replace("ranked", "cell_ranks")},
+lengths AS (SELECT dataset, column_name, avg(length(value)) AS len, sum(CASE WHEN value IS NULL THEN 0 ELSE n END)::DOUBLE / sum(n) AS fill FROM cell_counts GROUP BY ALL),
+entropies AS (SELECT dataset, column_name, entropy(value) AS ent FROM ({_long_sql(SHARED)}) GROUP BY ALL),
+known AS (SELECT dataset, column_name, data_type, len, fill, ent, {_characters_sql("description")}::DOUBLE[] AS vec FROM told JOIN lengths USING (dataset, column_name) JOIN entropies USING (dataset, column_name)),
+names_ AS (SELECT DISTINCT master_column AS a, enrichment_column AS b FROM j), {_lcs_sql("names_").replace("step", "name_step").replace("lcs", "name_lcs")},
+f AS (SELECT 'customer' AS master_dataset, j.*, m.data_type AS master_data_type, e.data_type AS enrichment_data_type, abs(m.len - e.len) AS avg_length_diff, m.fill AS master_fill_rate, e.fill AS enrichment_fill_rate,
+    list_cosine_similarity(m.vec, e.vec) AS description_similarity, abs(m.ent - e.ent) AS entropy_gap, 200::DOUBLE * name_lcs.n / (length(a) + length(b)) AS fuzzy_ratio
+  FROM j JOIN known m ON m.dataset = 'customer' AND m.column_name = master_column JOIN known e ON e.dataset = enrichment_dataset AND e.column_name = enrichment_column JOIN name_lcs ON a = master_column AND b = enrichment_column
+  WHERE abs(m.len - e.len) < 12 AND m.fill >= 0.25 AND e.fill >= 0.25 AND list_cosine_similarity(m.vec, e.vec) >= 0.3
+    AND (m.data_type = e.data_type OR list_cosine_similarity(m.vec, e.vec) > 0.8) AND abs(m.ent - e.ent) <= 2 AND master_column <> enrichment_column)"""
+_REAL_SCORE_SQL = _SCORE_SQL.replace(f"WITH {_FEATURES_SQL}", _REAL_SQL)
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = pairs.pair_features(_datasets(spark, sf_dir, SHARED), _described(spark, sf_dir, CharacterCounts()), "customer")
+    return language.judge_column_pairs(select.filter_pairs(features), OfflineModel())
+
+
+@_query(_REAL_SQL + " SELECT master_column, enrichment_dataset, enrichment_column, decision, round(description_similarity, 5) AS description_similarity, round(fuzzy_ratio, 5) AS fuzzy_ratio FROM f")
+def filtered_pairs(spark, sf_dir):
+    return _classified(spark, sf_dir).select("master_column", "enrichment_dataset", "enrichment_column", "decision", F.round("description_similarity", 5).alias("description_similarity"), F.round("fuzzy_ratio", 5).alias("fuzzy_ratio"))
+
+
+@_query(_REAL_SCORE_SQL + "SELECT master_column, enrichment_dataset, enrichment_column, round(weighted_score, 4) AS weighted_score FROM s")
+def scored_pairs(spark, sf_dir):
+    return select.weighted_score(_classified(spark, sf_dir).where("decision = 'Yes'")).select("master_column", "enrichment_dataset", "enrichment_column", F.round("weighted_score", 4).alias("weighted_score"))
+
+
+@_query(
+    _REAL_SCORE_SQL + _BEST_SQL + _CLUSTER_SQL.replace("'Master'", "'customer'") + """SELECT master_column, enrichment_dataset, enrichment_column, enrichment_candidates, round(weighted_score, 4) AS weighted_score,
+  round(100.0 * n_both / n_master, 5) AS percent_master_in_enrichment, round(100.0 * n_both / n_enrichment, 5) AS percent_enrichment_in_master FROM c WHERE enrichment_dataset <> 'customer'
+QUALIFY row_number() OVER (PARTITION BY enrichment_dataset, enrichment_candidates ORDER BY weighted_score DESC NULLS LAST, master_column, enrichment_column) = 1"""
+)
+def selected_columns(spark, sf_dir):
+    out = select.column_matches(_classified(spark, sf_dir), _overlaps(spark, sf_dir), master="customer")
+    return out.withColumns({"weighted_score": F.round("weighted_score", 4)} | {c: F.round(c, 5) for c in ("percent_master_in_enrichment", "percent_enrichment_in_master")})
+
+
 @_query()
 def align_columns(spark, sf_dir):
     data = _datasets(spark, sf_dir, SHARED)
-    return pipeline.align_columns({"Master": data["customer"], "supplier": data["supplier"], "nation": data["nation"]}, Config())
+    return pipeline.align_columns({"Master": data["customer"], "supplier": data["supplier"], "nation": data["nation"]}, Config(typing_sample=None))

@@ -31,10 +31,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
+def new_path(spark: SparkSession, name: str, outlive: bool = False) -> str:
+    """A path of its own in the shared folder; a ``scratch`` deletes it at its end, or the scope around that one if it is to ``outlive`` it."""
     path = f"{shared_folder(spark)}/matchloom/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlive else _scopes
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -52,14 +54,14 @@ def _clean_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
 
 
-def materialize(df: DataFrame, name: str, codec: str = "zstd", narrow: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str = "zstd", narrow: bool = False, outlive: bool = False) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor costs nothing.
 
     The shuffle files of the write are deleted when it is done. A ``narrow`` table, of a few numbers a row and fresh from a shuffle, is
     written by an eighth of the usual tasks.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name, outlive)
     df = df.coalesce(max(8, partitions(spark) // 8)) if narrow else df
     with _clean_shuffles(spark):
         df.write.option("compression", codec).parquet(path)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.functions.text import quote
+from matchloom.functions.text import quote, safe_name
 
 Datasets = Mapping[str, DataFrame]
 
@@ -21,10 +21,12 @@ def load_datasets(spark: SparkSession, sources: Mapping[str, str], master: str =
     return {name: df.persist() for name, df in out.items()} if cache else out
 
 
-def staging_views(datasets: Datasets, prefix: str = "raw_") -> None:
-    """A temporary view over each dataset."""
-    for name, df in datasets.items():
-        df.createOrReplaceTempView(prefix + name.lower().replace(" ", "_"))
+def staging_views(datasets: Datasets, prefix: str = "raw_") -> list[str]:
+    """A temporary view over each dataset; their names are made safe for SQL."""
+    names = [prefix + safe_name(name).lower() for name in datasets]
+    for view, df in zip(names, datasets.values(), strict=True):
+        df.createOrReplaceTempView(view)
+    return names
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, strict: bool = False) -> DataFrame:
@@ -58,6 +60,24 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def from_local(spark: SparkSession, rows, schema: T.StructType, table: str | None = None) -> DataFrame:
+    """A small local frame (pandas or rows) as a DataFrame of ``schema``, by column name where it has names; saved if a table is named."""
+    df = load_into(spark.createDataFrame(rows), schema) if hasattr(rows, "columns") else spark.createDataFrame(rows, schema)
+    return save(df, table) if table else df
+
+
+def session(name: str, databases: Sequence[str] = (), **settings: str) -> SparkSession:
+    """A session with what the operators count on (adaptive execution with skew joins, UTC), given settings besides, and the databases made."""
+    builder = SparkSession.builder.appName(name)
+    fixed = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    for key, value in (fixed | settings).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    for database in databases:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
+    return spark
+
+
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     if not spark.catalog.tableExists(table):
         empty(spark, schema).write.saveAsTable(table)

@@ -5,9 +5,10 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from matchloom.config import ModelSettings
 from matchloom.functions import similarity as sim
 from matchloom.functions import text
-from matchloom.functions.clients import HashedNgrams, OfflineModel, parse_decision, strip_fence
+from matchloom.functions.clients import UNDESCRIBED, HashedNgrams, OfflineModel, PromptModel, parse_decision, parse_judgement, parse_object, strip_fence
 
 GOLDEN = [
     ("COMPANY_NAME", "NAME", 50.0, 50.0, 50.0),
@@ -87,9 +88,33 @@ def test_typed_texts(spark):
     assert [r.n for r in rows] == [None, 1500.0, 2024.0, None, None] and [r.t for r in rows] == [False, False, False, True, False]
 
 
+def test_prompts():
+    calls = []
+
+    def complete(prompt, settings):
+        calls.append((prompt, settings.temperature))
+        if len(calls) == 1:
+            raise OSError("busy")
+        return '{"decision": "Yes", "justification": "same"}' if "decision" in prompt else "no_punctuation, I think" if "Which" in prompt else "hello" if "Translate" in prompt else '{"a": "first"}'
+
+    model = PromptModel(complete, ModelSettings(temperature=0.5), wait=0.0)
+    assert model.judge_rows([("x", "y")]) == [("Yes", "same")] and len(calls) == 2 and calls[1][1] == 0.5
+    assert model.judge_columns([{"master_column": "a", "enrichment_column": "b"}]) == [("Yes", "same")]
+    assert model.translate(["hola"]) == ["hello"]
+    assert model.choose_transform(["A."], ["A"], {"identity": 0, "no_punctuation": 1}) == "no_punctuation" and model.choose_transform([], [], {"lower": 0}) == "identity"
+    columns = [{"dataset": "d", "column_name": c, "data_type": "numerical", "example_values": ["1", "2.5"]} for c in "ab"]
+    assert model.describe(columns) == ["first", UNDESCRIBED] and "[1, 2.5]" in calls[-1][0]
+    with pytest.raises(OSError):
+        PromptModel(lambda p, s: (_ for _ in ()).throw(OSError()), retries=1, wait=0.0).translate(["x"])
+
+
 def test_clients():
     assert parse_decision('"Yes"\nsame') == ("Yes", "same") and parse_decision("perhaps")[0] == "No"
     assert strip_fence("```json\n{}\n```") == "{}"
+    assert parse_object('Here: {"a": 1} done') == {"a": 1} and parse_object("[1]") == {} == parse_object("nothing")
+    assert parse_judgement('```json\n{"decision": "maybe", "justification": "close"}\n```') == ("Maybe", "close")
+    assert parse_judgement("No\nfar") == ("No", "far")
+    assert [text.json_safe(x, "numerical") for x in ("1", "1.50", "1e3", "x", None)] == [1, 1.5, 1000.0, "x", None] and text.json_safe("1", "text") == "1"
     assert OfflineModel({"hola": "hello"}).translate(["hola", "x"]) == ["hello", "x"]
     vectors = HashedNgrams(32).embed(["acme", ""])
     assert vectors[1] is None and sum(x * x for x in vectors[0]) == pytest.approx(1)

@@ -6,7 +6,7 @@ from matchloom.functions.clients import HashedNgrams, OfflineModel
 from matchloom.operators import adjudicate, language, pairs, profile, quality, rowmatch, select
 from matchloom.schemas import ROW_MATCHES
 from matchloom.sources import tables
-from matchloom.streaming.arrivals import match_arrivals
+from matchloom.streaming.arrivals import BATCH_ROWS, match_arrivals
 
 
 @pytest.fixture(scope="module")
@@ -97,12 +97,37 @@ def test_language(spark):
     assert [r.x for r in out.orderBy("x").collect()] == [None, "size", "size"]
     assert [r[0] for r in df.select(language.is_english(F.col("x"), lambda t: 0.9)).collect()] == [True, True, True]
     assert [r[0] for r in df.select(language.is_english(F.col("x"), lambda t: 1 / 0)).collect()] == [False, True, True]
+    assert [r[0] for r in df.select(language.is_english(F.col("x"), None)).collect()] == [False, True, True]
+
+
+def test_detector(spark):
+    english = ["Café opened", "naïve approach to trading", "The résumé was sent to the company", "“quoted” text — with dashes", "5 €"]
+    others = ["größe", "Zürich", "Müller & Söhne GmbH", "société anonyme", "Señor Perez", "köttbullar", "Łódź", "日本語", "Les éditions du soleil"]
+    df = spark.createDataFrame([(x,) for x in english + others], "x string")
+    assert [r[0] for r in df.select(language.is_english(F.col("x"))).collect()] == [True] * len(english) + [False] * len(others)
+
+
+def test_functions_by_name(spark):
+    names = language.register_functions(spark, "own_")
+    assert "own_is_english" in names
+    df = spark.createDataFrame([("größe", "acme corp"), (None, "acme"), ("size", None)], "x string, y string")
+    assert [r[0] for r in df.select(language.call_by_name("own_is_english", "x")).collect()] == [False, True, True]
+    assert [r[0] for r in df.selectExpr("own_token_set_ratio('acme', y)").collect()] == [100.0, 100.0, None]
+    assert [r[0] for r in df.select(language.call_by_name("upper", "x")).collect()] == ["GRÖSSE", None, "SIZE"]
+
+
+def chosen(spark, enrichment, master):
+    top = spark.createDataFrame([("e", "c", x) for x in enrichment] + [("m", "k", x) for x in master], "dataset string, column_name string, value string")
+    hits = language.transform_hits(top, [("c", "k")])["c", "k"]
+    return OfflineModel().choose_transform(enrichment, master, hits), hits
 
 
 def test_transforms(spark):
-    assert language.choose_transform(["ACME", "Bolt"], ["acme", "bolt"]) == "lower"
-    assert language.choose_transform(["https://www.Acme.com/x"], ["acme.com"]) == "domain"
-    assert language.choose_transform(["a"], ["a"]) == "identity"
+    assert chosen(spark, ["ACME", "Bolt"], ["acme", "bolt"])[0] == "lower"
+    assert chosen(spark, ["https://www.Acme.com/x"], ["acme.com"])[0] == "domain"
+    assert chosen(spark, ["a"], ["a"])[0] == "identity"
+    name, hits = chosen(spark, ["a12-34", "5\u0665"], ["1234", "5"])  # digits are ASCII digits, in the choice as in the column
+    assert name == "digits" and hits["digits"] == 2 and hits["no_punctuation"] == 1 and hits["identity"] == 0
     df = spark.createDataFrame([("12-34",), (None,)], "x string")
     assert [r[0] for r in language.transform_column(df, "x", "zero_padded_9").select("x__TRANSFORMED").collect()] == ["000001234", None]
 
@@ -121,6 +146,8 @@ def test_adjudication(matches):
     assert some[2] == ("No", adjudicate.TOO_LOW) and some[1][0] == "Yes" and some[3][0] == "Yes"
     every = verdicts(Adjudication(ask_top_n=3))
     assert every[2][1].startswith("evidence")
+    both = adjudicate.as_object(adjudicate.by_threshold(matches)).orderBy("enrichment_row_index").first()
+    assert both.final_llm.decision == "Yes" and both.final_llm_json == '{"decision":"Yes","justification":"LLM not called; backup threshold used"}'
     assert {r.final_llm_decision: r.n for r in adjudicate.tally(adjudicate.by_threshold(matches)).collect()} == {"Yes": 1, "No": 2}
 
 
@@ -146,6 +173,77 @@ def test_sources(spark, tmp_path):
     assert tables.namespace(" raw ", "x") == "raw" and tables.namespace(None, "x") == "x"
 
 
+def test_local_frames_and_sessions(spark):
+    import pandas as pd
+
+    from matchloom.schemas import schema
+
+    kinds = schema("name string, n long")
+    assert [tuple(r) for r in tables.from_local(spark, pd.DataFrame({"N": [1, 2], "name": ["a", None]}), kinds).collect()] == [("a", 1), (None, 2)]
+    assert tables.from_local(spark, [("a", 1)], kinds).first().n == 1
+    assert tables.session("again", ["raw_box"]) is spark and spark.catalog.databaseExists("raw_box")
+    spark.sql("DROP DATABASE raw_box")
+    assert tables.staging_views({"My data; x": spark.range(2)}) == ["raw_my_data_x"] and spark.table("raw_my_data_x").count() == 2
+
+
+def test_intermediate_tables_are_deleted(spark):
+    from pathlib import Path
+
+    from matchloom.sources import intermediate
+
+    folder = Path(intermediate.shared_folder(spark).removeprefix("file://"), "matchloom")
+    with intermediate.scratch():
+        with intermediate.scratch():
+            gone = intermediate.materialize(spark.range(3), "inner")
+            kept = intermediate.materialize(gone.groupBy("id").count(), "outer", outlive=True)
+            assert gone.count() == 3 and list(folder.glob("inner-*"))
+        assert not list(folder.glob("inner-*")) and kept.count() == 3
+    assert not list(folder.glob("outer-*")) and spark.conf.get(intermediate.CLEAN_UP) == "false"
+
+
+def test_pair_counts(sides):
+    e, m = rowmatch._sides(*sides, MAPPING)
+    assert [tuple(r) for r in rowmatch.pair_counts(e, m, [0]).collect()] == [("z", 4, 2, 8)]
+    with pytest.raises(ValueError, match="'z'"):
+        rowmatch.match_fuzzy(*sides, MAPPING, "A", max_pairs=7)
+    assert rowmatch.match_fuzzy(*sides, MAPPING, "A", max_pairs=8).count() == 1
+
+
+def test_second_filters_are_a_key(spark):
+    import itertools
+
+    values = [None, "a", " A", "b"]
+    rows = list(itertools.product(["x", "y", None], values, values))
+    e = spark.createDataFrame([(i, list(v)) for i, v in enumerate(rows)], "enrichment_row_index long, e array<string>")
+    m = spark.createDataFrame([(i, list(v)) for i, v in enumerate(rows)], "master_row_index long, m array<string>")
+    same = lambda p, q: p is None or q is None or p.strip().lower() == q.strip().lower()
+    want = sorted((i, j) for i, v in enumerate(rows) for j, w in enumerate(rows) if v[0] == w[0] is not None and same(v[1], w[1]) and same(v[2], w[2]))
+    got = sorted((r.enrichment_row_index, r.master_row_index) for r in rowmatch.block_pairs(e, m, [0, 1, 2]).collect())
+    assert got == want
+
+
+def test_nearest_rows_against_brute_force(spark, monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    monkeypatch.setattr(rowmatch, "BLOCK", 16)
+    rows = lambda n: [(i, [str(i % 3), None if i % 4 == 0 else f" {'ab'[i % 2]} "], None if i % 11 == 0 else r.integers(-3, 4, 4).astype(float).tolist(), None if i % 5 else r.integers(0, 3, 2).astype(float).tolist()) for i in range(n)]
+    left, right = rows(90), rows(70)
+    e = spark.createDataFrame(left, "enrichment_row_index long, e array<string>, e_v0 array<float>, e_v1 array<float>")
+    m = spark.createDataFrame(right, "master_row_index long, m array<string>, m_v0 array<float>, m_v1 array<float>")
+    got = {}
+    for x in rowmatch.nearest_rows(e, m, [0, 1], 2, 2).collect():
+        got.setdefault(x.enrichment_row_index, set()).add(x.master_row_index)
+    for i, k, *v in left:
+        best = []
+        for j, l, *w in right:
+            if k[0] == l[0] and (k[1] is None or l[1] is None or k[1] == l[1]):
+                scores = [np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b)) for a, b in zip(v, w, strict=True) if a and b and any(a) and any(b)]
+                if scores:
+                    best.append((-round(float(np.mean(scores)), 9), j))
+        assert got.get(i, set()) == {j for _, j in sorted(best)[:2]}
+
+
 def test_arrivals(spark, sides, tmp_path):
     e, m = sides
     e.drop("enrichment_row_index").write.parquet(f"{tmp_path}/in")
@@ -153,5 +251,9 @@ def test_arrivals(spark, sides, tmp_path):
     stream = spark.readStream.schema(e.drop("enrichment_row_index").schema).parquet(f"{tmp_path}/in")
     match_arrivals(stream, m.drop("master_row_index"), MAPPING, "A", lambda df, n: got.extend(df.collect()), f"{tmp_path}/checkpoint").awaitTermination()
     assert [r.enrichment_evidence for r in got] == ["zone: z; city: Rome ; name: ACME, corp"]
+    first = {r.enrichment_row_index for r in got}
+    e.drop("enrichment_row_index").write.mode("append").parquet(f"{tmp_path}/in")
+    match_arrivals(stream, m.drop("master_row_index"), MAPPING, "A", lambda df, n: got.extend(df.collect()), f"{tmp_path}/checkpoint").awaitTermination()
+    assert len(got) == 2 and len({r.enrichment_row_index for r in got}) == 2 and max(first) < BATCH_ROWS < got[1].enrichment_row_index
 
 
