@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.shared import materialize
+from matchloom.llm.shared import materialize, scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,10 +32,15 @@ def _settled(edges: DataFrame) -> bool:
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """id and root (the least id of its component) of every node of the written edges (a, b: long). Self-loops and repeated edges do no harm."""
-    edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    for _ in range(rounds):
-        edges = _star(_star(edges, True), False)
-        if _settled(edges):
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+    """id and root (the least id of its component) of every node of the written edges (a, b: long), as a written table; what the rounds wrote is deleted.
+
+    Self-loops and repeated edges do no harm; no edges give an empty table.
+    """
+    with scratch():
+        edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        for _ in range(rounds):
+            edges = _star(_star(edges, True), False)
+            if _settled(edges):
+                roots = edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+                return materialize(roots, "components", narrow=True, outlive=True)
     raise RuntimeError("the components did not settle")

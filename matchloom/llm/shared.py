@@ -1,68 +1,36 @@
-"""Helpers of the operators: the shared folder, tables written to cut lineage, and grouped passes over Arrow batches."""
+"""Helpers of the operators: tables written to cut lineage, columns by name, and passes over Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.sources.intermediate import delete, materialize, new_path, partitions, scratch, shared_folder
+
+__all__ = ["SPACES", "SPACE_CLASS", "delete", "materialize", "new_path", "only", "partitions", "scratch", "shared_folder", "slices", "strings", "text_bytes"]
+
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
-#: Temporary folders by application, where none is set.
-_own: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where it is unset, a temporary one, but only for a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="matchloom-")
-        _own[spark.sparkContext.applicationId] = folder
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/matchloom/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str, codec: str = "zstd", narrow: bool = False) -> DataFrame:
-    """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor costs nothing.
-
-    A ``narrow`` table, of a few numbers a row and fresh from a shuffle, is written by an eighth of the usual tasks.
-    """
-    path = new_path(df.sparkSession, name)
-    df = df.coalesce(max(8, partitions(df.sparkSession) // 8)) if narrow else df
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """Just the named columns, cast: other columns, whatever their names, never reach an operator's plan."""
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()])
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches so that ``column`` has about ``limit`` bytes in each piece; a longer value stays alone and whole."""
+    """Cuts Arrow batches so that ``column`` (strings, bytes, or lists of numbers) has about ``limit`` bytes in each piece; a longer value stays alone and whole."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column_ = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pc.fill_null(pc.binary_length(column_), 0).cast(pa.int64()))
+        listed = pa.types.is_list(column_.type) or pa.types.is_large_list(column_.type)
+        sizes = np.asarray(pc.fill_null((pc.list_value_length if listed else pc.binary_length)(column_), 0).cast(pa.int64())) * (8 if listed else 1)
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
