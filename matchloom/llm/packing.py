@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchloom.llm.shared import materialize, only, slices, strings
-from matchloom.llm.tokens import load
+from matchloom.llm.tokens import SLICE, load
 
 #: The id that ends each document.
 END_ID = 1
@@ -28,7 +28,7 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
 
         bpe, part, total = load(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in slices(batches, limit=8 << 20):
+        for batch in slices(batches, limit=SLICE):
             found = [x + end for x in bpe.encode(strings(batch.column(1)))]
             counts = np.array([len(x) // 4 for x in found], dtype=np.int64)
             before = total + np.cumsum(counts) - counts
@@ -44,14 +44,15 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = END
     The ids of all documents, each with ``end_id`` after it, form one stream, cut each ``length`` ids; only the last sequence can be
     shorter. Null and empty texts give one piece with the end id alone. A document over several windows has a piece in each.
     Repeated rows are packed as often as they come; an empty table gives no piece. Two passes: the first writes the ids and the
-    totals of partitions, whose prefix sums (one row for each partition) are all that is broadcast; the second cuts.
+    totals of partitions, whose prefix sums (one row for each partition) are all that is broadcast; the second cuts. Texts of any length
+    are taken whole; batches of both passes are cut by bytes. Other columns of ``docs``, whatever their names, are left out.
     """
     ids = materialize(tokenize(docs, vocabulary, end_id), "pack-ids")
     totals = ids.groupBy("part").agg(F.sum("n_ids").alias("n"))
     base = totals.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, column="ids", limit=SLICE):
             doc, raws, at = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             rows: tuple[list, ...] = ([], [], [], [], [], [], [])
             for d, raw, first in zip(doc, raws, at, strict=True):

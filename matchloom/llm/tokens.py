@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,6 +19,8 @@ _CUT = re.compile("(?= [^\\s\x85᠎​﻿])")
 _ODD = re.compile(" (?:[\\s\x85᠎​﻿]|\\Z)")
 
 _MARKS = ".,!?;:&%$*#"
+#: Bytes of text that are encoded at once.
+SLICE = 2 << 20
 
 
 def byte_table() -> list[str]:
@@ -29,13 +32,17 @@ def byte_table() -> list[str]:
 
 
 class ByteBpe:
-    """A vocabulary file of the tokenizers library. Encodes each different word of a worker once and keeps its ids, in two generations of about ``keep`` words.
+    """A vocabulary file of the tokenizers library. Encodes each different word of a worker once and keeps its ids, in two generations.
 
     A text is cut before each space that a word follows; the splitting pattern of byte-level BPE never joins across such a place,
-    so the ids of the words in turn are the ids of the text.
+    so the ids of the words in turn are the ids of the text. What is kept is bounded by bytes: a generation ends at ``keep`` bytes, as
+    counted by ``ENTRY``, and words of more than ``LONG`` characters (texts without spaces, base64) are never kept.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    #: Bytes that an entry takes besides its letters and ids, and the most characters of a word that is kept.
+    ENTRY, LONG = 220, 48
+
+    def __init__(self, path: str, keep: int = 48 << 20):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
@@ -44,7 +51,7 @@ class ByteBpe:
         self.merger.pre_tokenizer = WhitespaceSplit()
         self.table = byte_table()
         self.tokenizer.encode_special_tokens = True
-        self.keep = keep
+        self.keep, self.held = keep, 0
         self.spaced: dict[str, bytes] = {}  # words with a space before them, named without it
         self.older: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}  # those without
@@ -71,25 +78,42 @@ class ByteBpe:
                 found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
                 known.update((w, np.asarray(f.ids, dtype="<u4").tobytes()) for w, f in zip(some, found, strict=True))
 
-    def _learn(self, spaced: set[str], bare: set[str]) -> None:
-        """Fills in what is missing. A letter and a mark after it are never one token's, so a word's last marks are taken off first."""
-        if len(self.spaced) > self.keep:  # words of the last generation stay at hand, and come over when they are met again
-            self.older, self.spaced = self.spaced, {}
-        if len(self.bare) > self.keep:
+    def _keep(self, words) -> None:
+        """Counts what words take: a character's bytes and ids are about 8."""
+        self.held += 8 * sum(map(len, words)) + len(words) * self.ENTRY
+
+    def _learn(self, spaced: set[str], bare: set[str]) -> tuple[list[str], list[str]]:
+        """Fills in what is missing, and tells which words are not to be kept. A letter and a mark after it are never one token's, so a word's
+        last marks are taken off first."""
+        if self.held > self.keep:  # words of the last generation stay at hand, and come over when they are met again
+            self.older, self.spaced, self.held = self.spaced, {}, 0
             self.bare.clear()
-        new = [w for w in spaced if w not in self.spaced]
-        if self.older:
-            self.spaced.update((w, self.older[w]) for w in new if w in self.older)
-            new = [w for w in new if w not in self.spaced]
-        parts = [(w, core) for w in new if w[-1] in _MARKS and (core := w.rstrip(_MARKS)) and core[-1].isalpha()]
-        whole = {core for _, core in parts}.union(w for w in new if w[-1] not in _MARKS or not w.rstrip(_MARKS)[-1:].isalpha())
-        whole.difference_update(self.spaced.keys() & whole)
-        letters = [w for w in whole if w.isalpha()]
-        self._add(self.spaced, letters, " ", letters=True)
-        self._add(self.spaced, list(whole.difference(letters)), " ")
-        tails = {w[len(core) :] for w, core in parts}
-        self._add(self.bare, [w for w in bare | tails if w not in self.bare], "")
+        new, tails = spaced.difference(self.spaced), bare.difference(self.bare)
+        if again := self.older.keys() & new:
+            new -= again
+            self.spaced.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            self._keep(again)
+        large = [w for w in new if len(w) > self.LONG], [w for w in tails if len(w) > self.LONG]
+        for known, words, space in ((self.spaced, large[0], " "), (self.bare, large[1], "")):
+            for w in words:  # one after the other: a call's memory follows the longest word, not their number
+                self._add(known, [w], space)
+        new.difference_update(large[0])
+        tails.difference_update(large[1])
+        letters = {w for w in new if w.isalpha()}
+        new -= letters
+        parts = [(w, core) for w in new if w[-1:] in _MARKS and (core := w.rstrip(_MARKS)) and core[-1].isalpha()]
+        cores = {core for _, core in parts}.difference(self.spaced)
+        new.difference_update(w for w, _ in parts)
+        letters |= (alike := {c for c in cores if c.isalpha()})
+        new |= cores - alike
+        self._add(self.spaced, list(letters), " ", letters=True)
+        self._add(self.spaced, list(new), " ")
+        tails |= {w[len(core) :] for w, core in parts}.difference(self.bare)
+        self._add(self.bare, list(tails), "")
         self.spaced.update((w, self.spaced[core] + self.bare[w[len(core) :]]) for w, core in parts)
+        for words in (letters, new, tails, [w for w, _ in parts]):
+            self._keep(words)
+        return large
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -103,9 +127,13 @@ class ByteBpe:
         head = [s[0] for s in split]
         for s in split:
             del s[0]
-        self._learn(set().union(*split), set(head))
+        large = self._learn(set().union(*split), set(head))
         get = self.spaced.__getitem__
-        return [self.bare[h] + b"".join(map(get, s)) for h, s in zip(head, split, strict=True)]
+        out = [self.bare[h] + b"".join(map(get, s)) for h, s in zip(head, split, strict=True)]
+        for known, words in zip((self.spaced, self.bare), large, strict=True):
+            for w in words:
+                del known[w]
+        return out
 
     def offsets(self, ids: bytes) -> np.ndarray:
         """Where each token's bytes end in the UTF-8 bytes of the text; tokens may end inside a character."""
@@ -136,11 +164,15 @@ def load(path: str) -> ByteBpe:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, ids (array of int) and ends (array of long: where each token ends in the UTF-8 bytes). Null or empty texts: no ids."""
+    """doc_id, ids (array of int) and ends (array of long: where each token ends in the UTF-8 bytes).
+
+    Null or empty texts have no ids. Long texts are taken whole, in a batch of their own; repeated rows stay repeated; an empty table gives
+    an empty result. Other columns, whatever their names, are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
-        for batch in slices(batches, limit=8 << 20):
+        for batch in slices(batches, limit=SLICE):
             found = bpe.encode(strings(batch.column(1)))
             counts = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
             ids = np.frombuffer(b"".join(found), dtype="<i4")
@@ -153,11 +185,11 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id and raw (binary) from doc_id and ids. Null ids: empty."""
+    """doc_id and raw (binary) from doc_id and ids. Null ids: empty; repeated rows stay repeated; an empty table gives an empty result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, column="ids", limit=SLICE):
             raw = [bpe.decode(np.asarray(x or [], dtype="<u4").tobytes()) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "raw"])
 
@@ -165,28 +197,33 @@ def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def digest_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Encodes and decodes in one pass over the texts, and keeps digests only: doc_id, n_tokens, ids_sha256, decoded_sha256.
+    """Encodes and decodes in one pass over the texts, and keeps digests only: doc_id, n_tokens, ids_sha256, decoded_sha256, ends_crc32.
+
+    The last is of the offsets: where each token ends in the bytes of the text, as little-endian unsigned 32-bit numbers.
 
-    Null and empty texts have no tokens; their digests are those of the empty string. Repeated rows stay repeated.
+    Null and empty texts have no tokens; their digests are those of the empty string. Repeated rows stay repeated. Texts of any length are
+    taken whole: batches are cut at ``SLICE`` bytes, and only a single longer text makes a larger one. An empty table gives an empty result.
+    Other columns, whatever their names, are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         digits, pieces = bpe.digits.__getitem__, bpe.pieces.__getitem__
-        for batch in slices(batches, limit=8 << 20):
-            counts, of_ids, of_bytes = [], [], []
+        for batch in slices(batches, limit=SLICE):
+            counts, of_ids, of_bytes, of_ends = [], [], [], []
             for raw in bpe.encode(strings(batch.column(1))):
                 ids = np.frombuffer(raw, dtype="<u4").tolist()
                 counts.append(len(ids))
+                of_ends.append(zlib.crc32(bpe.offsets(raw).astype("<u4").tobytes()))
                 of_ids.append(hashlib.sha256(" ".join(map(digits, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(b"".join(map(pieces, ids))).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes), pa.array(of_ends, pa.int64())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ends_crc32"])
 
-    return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ends_crc32 long")
 
 
 def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
-    """The query: every document encoded and decoded."""
+    """The query: every document encoded, with offsets, and decoded."""
     import public_tokenizers
 
     return digest_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
