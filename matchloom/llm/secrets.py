@@ -15,10 +15,17 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex")
-#: Weak parts, each too common to report alone: an identifier, a secret, an endpoint.
+#: Weak parts, each too common to report alone: an identifier, a secret, an endpoint. An endpoint ends before a query, so that a key among the
+#: parameters is a part of its own, and where a URL holds a user it is the host behind the @. Every repetition is of one class and takes all it
+#: can or is anchored at one place, so that no text, however long, is scanned more than a few times.
 WEAK_ID = r"(?<![A-Za-z0-9])(?:A[A-Z]{3}[A-Z0-9]{12,}|(?i:client|user|account|access|key|app)[_-]?(?i:id|name|key)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9._-]{6,})"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,99}[0-9])(?=[A-Za-z0-9+/_-]{0,99}[A-Z])(?=[A-Za-z0-9+/_-]{0,99}[a-z])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
-WEAK_ENDPOINT = r"(?i)\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[^\s\x22'<>]{4,}|(?i)\b(?:host|endpoint|server|url)[\x22']?\x20*[:=]\x20*[\x22']?[a-z0-9][a-z0-9.-]*\.[a-z]{2,}"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])"
+_SCHEME = r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://"
+WEAK_ENDPOINT = (
+    rf"(?i){_SCHEME}(?![^\s/?#\x22'<>@]{{1,256}}@)[^\s?#\x22'<>]{{4,}}+"
+    r"|(?<=@)(?<=://[^\s/?#\x22'<>@]{1,256}@)[a-z0-9][^\s?#\x22'<>]{3,}+"
+    r"|\b(?:host|endpoint|server|url)[\x22']?\x20*[:=]\x20*[\x22']?[a-z0-9][a-z0-9.-]*\.[a-z]{2,}"
+)
 #: Code points within which complementary parts belong together.
 SCOPE = 200
 _MARK = "\x01"
@@ -72,10 +79,10 @@ def find_parts(docs: DataFrame, text: str = "text") -> DataFrame:
 def link_parts(parts: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
     """``row`` and ``linked``: the weak spans (kind, s, e) near a complementary part.
 
-    An interval join: each part enters the scopes (of ``scope`` code points) that it touches or lies beside, parts meet by row and scope,
-    and a weak secret stays if an identifier or endpoint stands at most ``scope`` code points away, a weak identifier or endpoint if a
-    secret (weak or strong) does. A weak part meets one row for each other role and scope, never each part of it, and the parts of a
-    scope are bounded by its length.
+    An interval join: the text is dealt into scopes of ``scope`` code points, each part enters those at its ends and one beyond, whatever its
+    length, parts meet by row and scope, and a weak secret stays if an identifier or endpoint stands at most ``scope`` code points away, a weak identifier or endpoint if a
+    secret (weak or strong) does. The two parts are disjoint: a span is never its own complement, nor that of one inside it. A weak part
+    meets one row for each other role and scope, never each part of it, and the parts of a scope are bounded by its length.
     """
     roles = {"weak_id": "id", "access": "id", "weak_secret": "secret", "assign": "secret", "hex": "secret", "weak_endpoint": "endpoint"}
 
@@ -85,15 +92,16 @@ def link_parts(parts: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
     tagged = F.concat(*[tag(*x) for x in roles.items()])
     some = parts.where(F.size("weak_id") + F.size("weak_secret") + F.size("weak_endpoint") > 0)
     one = some.select(row, F.explode(tagged).alias("p")).select(row, "p.*")
-    each = one.withColumn("cell", F.explode(F.sequence(F.floor((F.col("s") - scope) / scope), F.floor((F.col("e") + scope) / scope))))
-    cells = each.groupBy(row, "cell", "role").agg(F.min("s").alias("low"), F.max("e").alias("high"), F.collect_set(F.struct("s", "e")).alias("all"))
+    # where one part ends, or up to a scope beyond, the other begins: both ends of the weak part meet both reaches of its complement
+    enter = lambda *places: one.withColumn("cell", F.explode(F.array_distinct(F.array(*[F.floor(x / scope) for x in places]))))
+    s, e = F.col("s"), F.col("e")
+    each = enter(s, e)
+    cells = enter(s - scope, s, e, e + scope).groupBy(row, "cell", "role").agg(F.collect_set(F.struct("s", "e")).alias("all"))
     weak = each.where(F.col("kind").startswith("weak_"))
     other = cells.withColumnRenamed("role", "other")
     meet = weak.join(other, [row, "cell"]).where(
         ((F.col("role") == "secret") != (F.col("other") == "secret"))
-        & (F.col("low") <= F.col("e") + scope)
-        & (F.col("high") >= F.col("s") - scope)
-        & F.exists("all", lambda x: (x["s"] <= F.col("e") + scope) & (x["e"] >= F.col("s") - scope))
+        & F.exists("all", lambda x: (x["s"] <= F.col("e") + scope) & (x["e"] >= F.col("s") - scope) & ((x["s"] >= F.col("e")) | (x["e"] <= F.col("s"))))
     )
     return meet.groupBy(row).agg(F.collect_set(F.struct("kind", "s", "e")).alias("linked"))
 
@@ -101,8 +109,9 @@ def link_parts(parts: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
     """doc_id, base (array of kind, s, e: the strong spans by start, then kind) and spans (those and the linked weak ones).
 
-    Null and empty texts have no spans. Repeated rows each get their own result; weak parts link only within a row. An empty table gives
-    an empty result. Only the span arrays are written and shuffled, never the texts.
+    Null and empty texts have no spans. Texts of any length are taken whole, in one row. Repeated rows each get their own result; weak parts
+    link only within a row. An empty table gives an empty result. Other columns, whatever their names, are left out. Only the span arrays
+    are written and shuffled, never the texts.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     parts = materialize(find_parts(rows).drop("text").withColumn("_row", F.monotonically_increasing_id()), "secret-parts")
