@@ -10,8 +10,11 @@ from matchloom.llm.shared import materialize
 
 #: Bits that one round of refinement resolves.
 ROUND_BITS = 8
-#: Sub-keys by which one very heavy key is divided.
+#: Sub-keys by which one very heavy key is divided, at least.
 TIES_BITS = 12
+#: A cell's rows are numbered in one task: bytes that it may have, or this power of two's part of all bytes if that is more, so that the
+#: histogram stays within some thousand cells.
+LEAF_BYTES, LEAF_BITS = 64 << 20, 13
 
 
 class _Trie:
@@ -35,8 +38,12 @@ def _count(table: DataFrame, shift: int, parents: list[int] | None) -> dict[int,
 
 
 def _refine(table: DataFrame, bits: int, total: int, shards: int, tolerance: float) -> tuple[_Trie, bool]:
-    """Rounds of counting. A cell is refined while it is heavier than the tolerance and a splitter falls inside, or heavier than a shard's 16th."""
+    """Rounds of counting. A cell is refined while it is heavier than the tolerance and a splitter falls inside, or than a shard's 16th or one task's bytes.
+
+    Also tells whether a single key stays heavier than twice that.
+    """
     trie, width = _Trie(bits), 1 << ROUND_BITS
+    most = min(total / shards / 16, max(LEAF_BYTES, total >> LEAF_BITS))
     slack = max(1.0, tolerance * total / shards)
     counts = [_count(table, trie.shift(0), None)]
     heavy = False
@@ -44,7 +51,7 @@ def _refine(table: DataFrame, bits: int, total: int, shards: int, tolerance: flo
     def wanted(level: int, cell: int, below: int) -> bool:
         size = counts[level][cell][0]
         inside = int(below * shards // total) != int((below + size) * shards // total)
-        return (inside and size > slack) or size > total / shards / 16
+        return (inside and size > slack) or size > most
 
     opened: list[list[int]] = []
     parents, starts = [None], {None: 0}
@@ -61,7 +68,7 @@ def _refine(table: DataFrame, bits: int, total: int, shards: int, tolerance: flo
                     begins[cell] = below
                 below += counts[level][cell][0]
         if level == trie.top - 1:
-            heavy = any(size > total / shards / 8 and rows > 1 for size, rows in counts[level].values())
+            heavy = any(size > 2 * most and rows > 1 for size, rows in counts[level].values())
             opened.append([])
             break
         opened.append(refine)
@@ -110,12 +117,13 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """Deals rows to ``shards`` of nearly equal bytes, in the order of ``key``, with one exchange of the rows.
 
     Adds ``size`` (UTF-8 bytes of ``text`` plus 8), ``shard`` and ``slot`` (gapless from 0 within the shard).
-    Native: DataFrame functions only. The driver holds the histogram, of at most a few thousand cells.
-    Null keys sort first; a null text has no bytes. Equal keys may be parted: one key with a large share of the bytes is
-    divided by a row number into 2**TIES_BITS sub-keys. An empty table gives an empty result. Other columns of ``docs`` ride along,
-    except those named like an added one, which are replaced.
+    Native: DataFrame functions only. The driver holds the histogram, of at most some thousand cells; rows are numbered by cell, and a cell
+    has at most ``LEAF_BYTES``, or a 2**-LEAF_BITS part of all bytes if that is more.
+    Null keys sort first; null and empty texts have no bytes; texts of any length stay whole. Equal keys, and so repeated rows, may be
+    parted: a key too heavy for one cell is divided by a row number into sub-keys. An empty table gives an empty result. Other columns
+    of ``docs`` ride along, except those named like an added one, which are replaced.
     """
-    spark = docs.sparkSession
+    docs = docs.drop("size", "shard", "slot")
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long") + 8
     raw = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63)))
     narrow = materialize(docs.select(raw.alias("raw"), size.alias("size")), "shard-keys")
@@ -129,13 +137,13 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     bits = max(1, ((high >> drop) - (low >> drop)).bit_length())
     trie, heavy = _refine(narrow.select(place(F.col("raw")).alias("key"), "size"), bits, total, shards, tolerance)
-    docs = docs.drop("size", "shard", "slot")
     keyed = docs.withColumns({"_key": place(raw), "size": size})
     if heavy:  # some keys are too heavy to stay whole: number the rows, once and for all
         docs = materialize(docs.withColumn("_tie", F.monotonically_increasing_id()), "shard-ties")
-        tie = F.pmod(F.xxhash64("_tie"), F.lit(1 << TIES_BITS))
-        keyed = docs.withColumns({"_key": F.shiftleft(place(raw), TIES_BITS) + tie, "size": size}).drop("_tie")
-        trie, _ = _refine(keyed.select(F.col("_key").alias("key"), "size"), bits + TIES_BITS, total, shards, tolerance)
+        ties = min(62 - bits, max(TIES_BITS, (total // LEAF_BYTES).bit_length() + 2))
+        tie = F.pmod(F.xxhash64("_tie"), F.lit(1 << ties))
+        keyed = docs.withColumns({"_key": F.shiftleft(place(raw), ties) + tie, "size": size}).drop("_tie")
+        trie, _ = _refine(keyed.select(F.col("_key").alias("key"), "size"), bits + ties, total, shards, tolerance)
     shard_of, offset_of, below, counts = [], [], 0, [0] * shards
     for _, _, heavy_bytes, n in trie.leaves:
         s = min(shards - 1, max(0, (2 * below + heavy_bytes) * shards // (2 * total)))
