@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.components import connected_components
-from matchloom.llm.shared import materialize, partitions
+from matchloom.llm.shared import materialize, partitions, scratch
 
 COSINE = 0.93
 WINDOW = 48
-#: Vectors whose window is compared in one task, and vectors of a block when a component is counted.
-SPAN, BLOCK = 2048, 1024
+#: Vectors whose window is compared in one task, and the least and most vectors of a block when a component is counted.
+SPAN, LEAST, BLOCK = 2048, 64, 1024
 #: Share of links at just the limit that a vector may miss in all passes; vectors that may miss more are compared exactly, in blocks of CROWD.
 #: If they are more than CROWDED of a label, all of the label are: there, the codes that seem rare are just those near a plane.
 MISSED, CROWD, CROWDED = 1e-3, 4096, 0.01
@@ -31,6 +31,9 @@ def _rows(column: pa.Array) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. They are scaled by their largest component first, so that no square is lost or too large."""
+    if x.size:
+        x = x / np.abs(x).max(axis=1)[:, None]
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -51,14 +54,14 @@ def _codes(vectors: DataFrame, passes: range, bits: int, seed: int) -> DataFrame
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _rows(batch.column(2))
+            x = _unit(_rows(batch.column(2)))
             for p in passes:
                 planes = np.random.default_rng((seed, p)).standard_normal((x.shape[1], bits))
                 code = np.packbits(x @ planes > 0, axis=1)
                 arrays = [pa.array(np.full(len(x), p, np.int32)), batch.column(1), pa.array([c.tobytes() for c in code], pa.binary()), batch.column(0), batch.column(2)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["pass", "label", "code", "id", "v"])
 
-    return vectors.select("id", "label", "v").mapInArrow(run, "pass int, label long, code binary, id long, v array<float>")
+    return vectors.select("id", "label", "v").mapInArrow(run, f"pass int, label long, code binary, id long, v {dict(vectors.dtypes)['v']}")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -196,7 +199,7 @@ def _count_links(members: DataFrame, cosine: float) -> DataFrame:
 
 
 def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE, window: int = WINDOW, passes: int | None = None, seed: int = 11) -> DataFrame:
-    """vec_id, n_links, component_id, kept: components of vectors of equal label with a cosine of ``cosine`` or more, in doubles.
+    """vec_id, n_links, component_id, kept: components of vectors of equal label with a cosine of ``cosine`` or more, in doubles, whatever numbers they hold.
 
     Equal vectors become one, with a weight. Each pass sorts by label and the concatenated bits of random projections and compares each
     vector with ``window`` neighbours; the links of all passes are united. The number of passes follows from that of the vectors
@@ -211,38 +214,46 @@ def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "e
     the most frequent never meet them. An empty table gives an empty result. Other columns are left out.
     """
     spark = embeddings.sparkSession
-    rows = embeddings.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{label}`").cast("long").alias("label"), F.col(f"`{vector}`").cast("array<float>").alias("v"))
+    given = dict(embeddings.dtypes).get(vector)
+    kind = given if given == "array<float>" else "array<double>"  # floats are half as much to move, and the same in doubles
+    rows = embeddings.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{label}`").cast("long").alias("label"), F.col(f"`{vector}`").cast(kind).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    rows = materialize(rows.withColumns({"fit": fit, "same": F.when(fit, F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("v", lambda x: F.hex(F.encode(x.cast("string"), "utf-8"))), ",")), 256))}), "vectors")
-    unique = materialize(rows.where("fit").groupBy("same").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors-unique")
-    found_all = None
-    for d, n in [(r.d, r.n) for r in unique.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]:  # a row for each length
-        own, todo = unique.where(F.size("v") == d), passes or passes_for(n, window, cosine)
-        for at in range(0, todo, AT_ONCE):
-            found = materialize(_pass_links(own, range(at, min(at + AT_ONCE, todo)), 64, window, cosine, seed), "vector-links")
-            found_all = found if found_all is None else found_all.unionByName(found)
-    found_all = found_all if found_all is not None else spark.createDataFrame([], "a long, b long, pass int, bits int")
-    links = found_all.where("bits IS NULL").select("a", "b")
-    roots = materialize(connected_components(links), "vector-roots")
-    dense = materialize(unique.select("id", "label", "v").join(_crowded(found_all, cosine).withColumn("dense", F.lit(1)), "id", "left"), "vector-dense")
-    share = dense.groupBy("label").agg((F.count("dense") > CROWDED * F.count(F.lit(1))).alias("whole"))
-    crowd = dense.join(share, "label").where("whole OR dense = 1").join(roots, "id", "left").select("id", "label", "v", F.coalesce("root", "id").alias("root"))
-    more = materialize(_exact_links(materialize(crowd, "vector-crowd"), cosine), "vector-more")
-    if not more.isEmpty():
-        roots = materialize(connected_components(links.unionByName(more)), "vector-roots")
-    sizes = materialize(roots.groupBy("root").agg(F.count(F.lit(1)).alias("c")), "vector-sizes")
-    inside = roots.join(sizes, "root").join(unique.select("id", "weight", "v"), "id")
-    blocks = F.ceil(F.col("c") / BLOCK)
-    block = F.pmod(F.xxhash64("id"), blocks)
-    tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
-    # components of one block share tiles, each of a few thousand vectors
-    shared = F.pmod(F.xxhash64("root"), F.lit(max(1, partitions(spark) * 4)))
-    tile = F.when(blocks == 1, shared).otherwise(-1 - F.col("root"))
-    tiled = inside.withColumn("t", F.explode(tiles)).select(tile.alias("tile"), "t.i", "t.j", "t.side", "root", "id", "weight", "v")
-    counted = materialize(_count_links(tiled, cosine).groupBy("id").agg(F.sum("n").alias("n")), "vector-counts")
-    known = unique.select("same", "id", "weight").join(roots, "id", "left").join(counted, "id", "left")
-    known = materialize(known.select("same", F.coalesce("root", "id").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "vector-known")
+    rows = rows.withColumns({"fit": fit, "same": F.when(fit, F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("v", lambda x: F.hex(F.encode(x.cast("string"), "utf-8"))), ",")), 256))})
+    rows = materialize(rows, "vectors")
+    with scratch():
+        unique = materialize(rows.where("fit").groupBy("same").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors-unique")
+        found_all = None
+        for d, n in [(r.d, r.n) for r in unique.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]:  # a row for each length
+            own, todo = unique.where(F.size("v") == d), passes or passes_for(n, window, cosine)
+            for at in range(0, todo, AT_ONCE):
+                with scratch():
+                    found = materialize(_pass_links(own, range(at, min(at + AT_ONCE, todo)), 64, window, cosine, seed), "vector-links", outlive=True)
+                found_all = found if found_all is None else found_all.unionByName(found)
+        found_all = found_all if found_all is not None else spark.createDataFrame([], "a long, b long, pass int, bits int")
+        links = found_all.where("bits IS NULL").select("a", "b")
+        roots = connected_components(links)
+        dense = materialize(unique.select("id", "label", "v").join(_crowded(found_all, cosine).withColumn("dense", F.lit(1)), "id", "left"), "vector-dense")
+        share = dense.groupBy("label").agg((F.count("dense") > CROWDED * F.count(F.lit(1))).alias("whole"))
+        crowd = dense.join(share, "label").where("whole OR dense = 1").join(roots, "id", "left").select("id", "label", "v", F.coalesce("root", "id").alias("root"))
+        more = materialize(_exact_links(materialize(crowd, "vector-crowd"), cosine), "vector-more")
+        if not more.isEmpty():
+            roots = connected_components(links.unionByName(more))
+        sizes = materialize(roots.groupBy("root").agg(F.count(F.lit(1)).alias("c")), "vector-sizes")
+        members = sizes.agg(F.sum("c")).first()[0] or 0
+        inside = roots.join(sizes, "root").join(unique.select("id", "weight", "v"), "id")
+        # a component is dealt into at least sixteen blocks if these have LEAST vectors, so that no task has most of it
+        blocks = F.when(F.col("c") <= LEAST, F.lit(1).cast("long")).otherwise(F.greatest(F.ceil(F.col("c") / BLOCK), F.least(F.lit(16).cast("long"), F.ceil(F.col("c") / LEAST))))
+        block = F.pmod(F.xxhash64("id"), blocks)
+        tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
+        # components of one block share tiles, each of a few thousand vectors
+        shared = F.pmod(F.xxhash64("root"), F.lit(max(1, partitions(spark) * 4, members // (2 * BLOCK))))
+        tile = F.when(blocks == 1, shared).otherwise(-1 - F.abs(F.xxhash64("root") % (1 << 62)))
+        tiled = inside.withColumn("t", F.explode(tiles)).select(tile.alias("tile"), "t.i", "t.j", "t.side", "root", "id", "weight", "v")
+        counted = materialize(_count_links(tiled, cosine).groupBy("id").agg(F.sum("n").alias("n")), "vector-counts")
+        known = unique.select("same", "id", "weight").join(roots, "id", "left").join(counted, "id", "left")
+        known = known.select("same", F.coalesce("root", "id").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+        known = materialize(known, "vector-known", outlive=True)
     out = rows.select("vec_id", "same").join(known, "same", "left")
     component = F.coalesce("root", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
