@@ -81,8 +81,8 @@ def _same(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return a.join(right, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left").drop(*[f"_{k}" for k in keys])
 
 
-def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> DataFrame:
-    """Mean and inverse Cholesky factor of each group, drawn towards those of all groups by ``shrink`` rows' weight."""
+def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> tuple[DataFrame, int]:
+    """Mean and inverse Cholesky factor of each group, drawn towards those of all groups by ``shrink`` rows' weight; and a digest of the sums."""
     p = range(len(FEATURES))
     sums = [F.sum(F.col(f).cast("decimal(20,0)")).alias(f"s{i}") for i, f in enumerate(FEATURES)]
     sums += [F.sum((F.col(FEATURES[i]) * F.col(FEATURES[j])).cast("decimal(28,0)")).alias(f"s{i}{j}") for i in p for j in p if j <= i]
@@ -98,7 +98,8 @@ def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> DataFrame
         diagonal = F.sqrt(F.greatest(F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0)), F.lit(FLOORS[j] ** 2)))
         both = both.withColumn(f"l{j}{j}", diagonal)
         both = both.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}") for i in p if i > j} or {"_": F.lit(0)}).drop("_")
-    return materialize(both.drop(*[f"c{i}{j}" for i in p for j in p if j <= i]), "quality-moments")
+    digest = group.agg(F.bit_xor(F.xxhash64(*keys, *names))).first()[0]
+    return materialize(both.drop(*[f"c{i}{j}" for i in p for j in p if j <= i]), "quality-moments"), digest
 
 
 def _distance(rows: DataFrame, moments: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
@@ -116,16 +117,17 @@ def _bin(distance: Column) -> Column:
     return F.round(F.log1p(distance) * 1000).cast("int")
 
 
-def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang", "source"), part: float = 0.75, steps: int = 3, shrink: float = 50.0, cutoff: float = 25.74, with_text: bool = True) -> DataFrame:
+def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang", "source"), part: float = 0.75, steps: int = 12, shrink: float = 50.0, cutoff: float = 25.74, with_text: bool = True) -> DataFrame:
     """Adds the text statistics, ``base_failed``, ``distance`` (squared, robust) and ``kept`` to the rows.
 
     A row is rejected if it fails the fixed limits, or if its transformed statistics lie further than ``cutoff`` (the 0.9999 quantile of chi-square) from its group's
-    robust centre. The centre and spread of each group are of the ``part`` of its rows with the smallest distances, found by
-    ``steps`` concentration steps from medians and quartiles (minimum covariance determinant); they are drawn towards those of all rows
-    with the weight of ``shrink`` rows, so that small groups act like large ones, and no standard deviation is below its ``FLOORS``.
-    Distances are scaled by their median over all rows. Rows that fail the fixed limits take no part in the fit.
-    Null keys form a group of their own; null and empty texts fail; repeated rows count as often as they come; an empty table gives
-    an empty result. Columns of ``docs`` named like an added one are replaced. Without ``with_text`` the text is left out.
+    robust centre. The centre and spread of each group are of the ``part`` of its rows with the smallest distances, found by concentration
+    steps from medians and quartiles (minimum covariance determinant) until a step changes no sum of any group, ``steps`` at most; they are
+    drawn towards those of all rows with the weight of ``shrink`` rows, so that small groups act like large ones, and no standard deviation
+    is below its ``FLOORS``. Distances are scaled by their median over all rows. Rows that fail the fixed limits take no part in the fit.
+    Null keys form a group of their own; null and empty texts fail; texts of any length are taken whole, in one row; repeated rows count as
+    often as they come; an empty table gives an empty result. Columns of ``docs`` named like an added one are replaced. Without
+    ``with_text`` the text is left out.
     """
     added = ["n_words", "n_lines", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept", *FEATURES]
     stats = _features(text_statistics(docs.drop(*added), text))
@@ -135,13 +137,16 @@ def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang"
     first = _same(rows, materialize(quart, "quality-quartiles"), keys)
     scaled = [((F.col(f) - F.col(f"p_{f}")[1]) / F.greatest((F.col(f"p_{f}")[2] - F.col(f"p_{f}")[0]) / 1.349, F.lit(low * SCALE))) ** 2 for f, low in zip(FEATURES, FLOORS, strict=True)]
     ranked = first.withColumn("d", sum(scaled, F.lit(0.0))).select(*keys, *FEATURES, "d")
-    moments = None
+    last = None
     for _ in range(steps):
         ranked = ranked.withColumn("d", _bin(F.col("d")))
         limit = materialize(ranked.groupBy(*keys).agg(F.expr(f"percentile(d, {part}d)").alias("limit")), "quality-limits")
         inner = _same(ranked, limit, keys).where(F.col("d") <= F.col("limit"))
-        moments = _moments(inner, keys, shrink)
+        moments, now = _moments(inner, keys, shrink)
         ranked = _distance(rows, moments, keys, "d")
+        if now == last:
+            break
+        last = now
     # the core's spread understates that of all rows: scale it so that the median distance is as of a normal distribution in the
     # statistics that most rows vary in; the others add nothing to a typical distance. Below 1 it would undo the least deviations
     varying = first.agg(sum((F.coalesce(F.avg((F.col(f) != F.col(f"p_{f}")[1]).cast("double")) > 0.5, F.lit(False)).cast("int") for f in FEATURES), F.lit(0)).alias("_varying"))
