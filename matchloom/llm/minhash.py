@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.components import connected_components
-from matchloom.llm.shared import materialize, only, partitions, slices, text_bytes
+from matchloom.llm.shared import materialize, only, partitions, scratch, slices, text_bytes
 
 WORDS = 5
 #: Positions of a signature, its chunks, and the errors enumerated within a chunk. Pairs that differ in fewer than
@@ -20,8 +20,8 @@ POSITIONS, CHUNKS, ERRORS = 64, 16, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Classes of a key, and documents of a neighbourhood, in one block: two blocks are compared in one task.
-BLOCK, SET_BLOCK = 1024, 160
+#: Classes of a key, and documents of a neighbourhood, in one block, and their bytes: two blocks are compared in one task.
+BLOCK, SET_BLOCK, BLOCK_BYTES = 1024, 160, 4 << 20
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -96,17 +96,17 @@ def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n (size of the set), same (digest of the set) and sig, from doc_id and text."""
+    """doc_id, n (size of the set), bytes (of the text), same (digest of the set) and sig, from doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=2 << 20):
             values, offsets = shingle_sets(batch.column(1))
             raw, sig = values.tobytes(), signatures(values, offsets)
             ends = (offsets * 8).tolist()
-            same = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(same, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary())], names=["doc_id", "n", "same", "sig"])
+            same = [_digest(raw[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(np.diff(text_bytes(batch.column(1))[1])), pa.array(same, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary())], names=["doc_id", "n", "bytes", "same", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, same binary, sig binary")
+    return docs.mapInArrow(run, "doc_id long, n long, bytes long, same binary, sig binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -191,27 +191,32 @@ def _by_sets(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarr
     return _whole(near & (both > 0), left, right, len(sets))
 
 
-def _in_tiles(members: DataFrame, group: str, size: str, block_rows: int, judge, column: str) -> DataFrame:
+def _in_tiles(members: DataFrame, group: str, total: int, block_rows: int, judge, column: str, same: str | None = None) -> DataFrame:
     """Edges (a, b) that join the rows of each group as its links do; never more than the rows of its tiles.
 
-    A group of more than ``block_rows`` rows is dealt into blocks, and each two blocks make a tile of their own; smaller groups share tiles.
-    ``judge`` gets the cells of ``column`` and the sides and gives the matrix of links.
+    Rows come with the rows (n) and bytes of their group; ``total`` are the bytes of all. A group of more than ``block_rows`` rows or
+    BLOCK_BYTES is dealt into blocks, and each two blocks make a tile of their own; smaller groups share tiles, as many as their bytes ask
+    for. ``judge`` gets the cells of ``column`` of a group and their sides, and gives the rows that count and the matrix of their links;
+    with ``same`` it also gets that column's cells.
     """
-    spark = members.sparkSession
-    blocks = F.ceil(F.col(size) / block_rows)
-    block = F.pmod(F.xxhash64("id"), blocks)
-    tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
-    tile = F.when(blocks == 1, F.pmod(F.xxhash64(group), F.lit(8 * partitions(spark)))).otherwise(F.xxhash64(group, F.lit(1)))
-    tiled = members.withColumn("t", F.explode(tiles)).select(tile.alias("tile"), "t.i", "t.j", "t.side", F.col(group).alias("group"), "id", column)
+    shared = max(8 * partitions(members.sparkSession), -(-total // BLOCK_BYTES))
+    blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1).cast("long"))
+    block = F.pmod(F.xxhash64("id"), F.col("_blocks"))
+    tiles = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1), lambda o: F.struct(F.least(block, o).alias("i"), F.greatest(block, o).alias("j"), F.when(block <= o, 0).otherwise(1).alias("side")))
+    tile = F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64(group), F.lit(shared))).otherwise(F.xxhash64(group, F.lit(1)))
+    more = [same] if same else []
+    tiled = members.withColumn("_blocks", blocks).withColumn("t", F.explode(tiles)).select(tile.alias("tile"), "t.i", "t.j", "t.side", F.col(group).alias("group"), "id", column, *more)
 
     def run(table: pa.Table) -> pa.Table:
         number, side, ids = (np.asarray(table.column(c)) for c in ("group", "side", "id"))
-        order = np.argsort(number, kind="stable")
-        cells = table.column(column).combine_chunks()
+        order = np.lexsort((ids, number))
+        cells = [table.column(c).combine_chunks() for c in (column, *more)]
         out: list[np.ndarray] = []
         for some in np.split(order, np.nonzero(np.diff(number[order]))[0] + 1):
             if len(some) > 1:
-                root = _groups(judge(cells.take(pa.array(some)), side[some]))
+                good, near = judge(*[c.take(pa.array(some)) for c in cells], side[some])
+                some = some[good]
+                root = _groups(near)
                 tied = root != np.arange(len(some))
                 out.append(np.stack([ids[some[root[tied]]], ids[some[tied]]], axis=1))
         pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
@@ -220,45 +225,74 @@ def _in_tiles(members: DataFrame, group: str, size: str, block_rows: int, judge,
     return tiled.groupBy("tile", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _judge_signatures(cells: pa.Array, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.arange(len(side)), _by_signature(_matrix(cells), side)
+
+
+def _judge_texts(percent: int):
+    """Of the rows with one id those count whose text has the digest of their class, each once."""
+
+    def judge(cells: pa.Array, same: pa.Array, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values, offsets = shingle_sets(cells)
+        sets, known, good = np.split(values, offsets[1:-1]), set(), []
+        for k, (x, want) in enumerate(zip(sets, same.to_pylist(), strict=True)):
+            if want not in known and _digest(x.tobytes()) == want:
+                known.add(want)
+                good.append(k)
+        return np.array(good, dtype=np.int64), _by_sets([sets[k] for k in good], side[good], percent) if len(good) > 1 else np.zeros((len(good),) * 2, bool)
+
+    return judge
+
+
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: components of documents whose sets of five-word shingles overlap by ``percent`` or more.
 
-    1. Equal sets become one class, whose least doc_id stands for it.
+    1. Equal sets become one class, known by its least doc_id.
     2. Classes meet by the keys of the multi-index Hamming join; those of a key are compared by signature. What the close pairs join is a
        neighbourhood: no pair within the signature distance leaves it.
-    3. In each neighbourhood the full sets of all pairs are intersected, and the links join components.
-    Keys and neighbourhoods are compared within tasks, in blocks; a task gives at most as many edges as it has rows, so no pairs of a
-    crowd are ever written or shuffled. Comparing a neighbourhood of n different sets still takes n * n / 2 intersections, over
-    (n / SET_BLOCK) ** 2 / 2 tiles. A pair at just 75 % is beyond the signature distance with a probability of about 1e-5.
-
-    Null and empty texts have empty sets and link with nothing; so do rows with a null doc_id, whose component_id is null. Repeated rows
-    give repeated results. An empty table gives an empty result. Other columns are left out.
+    3. In each neighbourhood the full sets of all pairs are intersected, and the links join components, named by their least doc_id.
+    Keys and neighbourhoods are compared within tasks, in blocks of bounded rows and bytes; a task gives at most as many edges as it has
+    rows, so no pairs of a crowd are ever written or shuffled. Comparing a neighbourhood of n different sets still takes n * n / 2
+    intersections, over (n / SET_BLOCK) ** 2 / 2 tiles. A pair at just 75 % is beyond the signature distance with a probability of about 1e-5.
+
+    Null and empty texts have empty sets and link with nothing; so do rows with a null doc_id, whose component_id is null. Texts of any length
+    are taken whole. Repeated rows give repeated results; different texts with one doc_id each have their own links, and one name.
+    An empty table gives an empty result. Other columns, whatever their names, are left out.
     """
     docs = only(docs, **{doc_id: "long", text: "string"}).toDF("doc_id", "text")
     sets = materialize(sketch(docs), "minhash-sets")
-    classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    classes = materialize(classes, "minhash-classes")
-    keys = index_keys(classes)
-    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared", narrow=True)
-    met = keys.join(shared, "key").join(classes, "id").select("key", "n", "id", "sig")
-    close = materialize(_in_tiles(met, "key", "n", BLOCK, lambda cells, side: _by_signature(_matrix(cells), side), "sig").distinct(), "minhash-close", narrow=True)
-    around = materialize(connected_components(close), "minhash-around")
-    sizes = materialize(around.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "minhash-sizes", narrow=True)
-    texts = docs.join(around, docs["doc_id"] == around["id"]).select("id", "root", "text").dropDuplicates(["id"]).join(sizes, "root")
-    links = _in_tiles(texts, "root", "n", SET_BLOCK, lambda cells, side: _by_sets(_split(cells), side, percent), "text")
-    root = connected_components(materialize(links.distinct(), "minhash-links", narrow=True))
-    of_class = classes.select("same", "id").join(root, "id", "left").select("same", F.coalesce("root", "id").alias("root"))
-    out = sets.select("doc_id", "n", "same").join(materialize(of_class, "minhash-of-class"), "same", "left")
+    with scratch():
+        classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("first"), F.max("bytes").alias("bytes"), F.first("sig").alias("sig"))
+        classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
+        # a class is known by its least doc_id, unless one doc_id is the least of several: then by a number
+        numbered = not classes.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+        classes = classes if numbered else classes.withColumn("id", F.col("first"))
+        keys = index_keys(classes)
+        shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared", narrow=True)
+        met = keys.join(shared, "key").join(classes.select("id", "sig"), "id").withColumn("bytes", F.col("n") * 2 * POSITIONS)
+        total = (shared.agg(F.sum("n")).first()[0] or 0) * 2 * POSITIONS
+        close = _in_tiles(met, "key", total, BLOCK, _judge_signatures, "sig")
+        around = connected_components(materialize(close.distinct(), "minhash-close", narrow=True))
+        fetch = materialize(classes.select("id", "same", "first", "bytes").join(around, "id"), "minhash-around", narrow=True)
+        sizes = materialize(fetch.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "minhash-sizes", narrow=True)
+        texts = docs.join(fetch.drop("bytes").join(sizes, "root"), docs["doc_id"] == F.col("first")).select("id", "root", "n", "bytes", "same", "text")
+        links = _in_tiles(texts, "root", sizes.agg(F.sum("bytes")).first()[0] or 0, SET_BLOCK, _judge_texts(percent), "text", "same")
+        root = connected_components(materialize(links.distinct(), "minhash-links", narrow=True))
+        named = classes.select("same", "id", "first").join(root, "id", "left").select("same", "first", F.coalesce("root", "id").alias("component"))
+        if numbered:
+            least = named.groupBy("component").agg(F.min("first").alias("least"))
+            named = named.join(least, "component").select("same", F.col("least").alias("component"))
+        of_class = materialize(named.select("same", "component"), "minhash-of-class", outlive=True)
+    out = sets.select("doc_id", "n", "same").join(of_class, "same", "left")
     lonely = F.col("n") == 0
-    component = F.when(F.col("doc_id").isNotNull(), F.when(lonely, F.col("doc_id")).otherwise(F.col("root")))
+    component = F.when(F.col("doc_id").isNotNull(), F.when(lonely, F.col("doc_id")).otherwise(F.col("component")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _split(texts: pa.Array) -> list[np.ndarray]:
-    values, offsets = shingle_sets(texts)
-    return np.split(values, offsets[1:-1])
-
-
 def op1_minhash(spark, sf_dir: str) -> DataFrame:
     """The query: all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
