@@ -68,6 +68,22 @@ def test_near_duplicate_edges(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_one_doc_id_with_different_texts(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " less"), (3, b + " last"), (9, None), (5, a)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, rows)).collect())
+    assert got == [(3, 37, 3), (5, 36, 3), (5, 36, 5), (5, 36, 5), (7, 37, 5), (8, 37, 3), (9, 0, 9)]
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    r = random.Random(2)
+    words = [f"w{r.randrange(10**6)}" for _ in range(60_000)]
+    near = words[:30_000] + ["other"] + words[30_000:]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, "x" * 1_000_000), (4, "x" * 1_000_000 + " y"), (5, " ".join(words[:30_000]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {1: (59_996, 1), 2: (59_997, 1), 3: (1, 3), 4: (1, 4), 5: (29_996, 5)}
+
+
 def test_close_signatures_always_share_a_key():
     r = np.random.default_rng(1)
     width = minhash.POSITIONS // minhash.CHUNKS
@@ -117,8 +133,43 @@ def test_suffixes(spark, corpus):
     assert suffixes.remove_repeats(frame(spark, [])).count() == 0
 
 
-def test_bwt():
-    r = random.Random(1)
+def test_halves_of_two_characters_make_no_third():
+    raw = "aéxxжb€c".encode()
+    cut = raw.index(b"\xa9"), raw.index(b"\xb6")  # from inside é to inside ж
+    assert suffixes.whole_characters(raw[: cut[0]] + raw[cut[1] :], [cut]) == "ab€c"
+    euro = raw.index("€".encode())
+    assert suffixes.whole_characters(raw[:euro] + raw[euro + 1 :], [(euro, euro + 1)]) == "aéxxжbc"
+    assert suffixes.whole_characters(raw, []) == raw.decode() and suffixes.whole_characters(b"", [(0, 9)]) == ""
+
+
+def test_kept_texts(spark):
+    shared = "é" * 30
+    rows = [(1, "a" + shared), (2, "b" + shared + "ж"), (3, shared[1:] + "€"), (4, None)]
+    got = {r.doc_id: (r.kept_text, bytes(r.kept)) for r in suffixes.remove_repeats(frame(spark, rows), with_text=True).collect()}
+    assert got == {1: ("a" + shared, ("a" + shared).encode()), 2: ("bж", "bж".encode()), 3: ("€", "€".encode()), 4: ("", b"")}
+
+
+def test_suffixes_of_crowded_minimizers(spark, corpus):
+    r = random.Random(7)
+    passage = "All rights reserved by whoever wrote this line, here and elsewhere."
+    rows = [(i, f"{r.random()}{t[:80]} {passage}{r.choice(['', passage, passage[20:]])} {r.random()}{t[80:200]}") for i, t in corpus] + [(500 + i, t[50:]) for i, t in corpus[:60]]
+    assert len(rows) > 3 * suffixes.CROWD
+    got = suffixes.remove_repeats(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_bytes, sum(s.e - s.s for s in r.removed), len(r.removed), bytes(r.kept)) for r in got) == removed(rows)
+
+
+def test_suffixes_of_very_long_texts(spark):
+    r = random.Random(8)
+    long = "".join(r.choice("abcdefghij ") for _ in range(300_000))
+    rows = [(1, long), (2, "x" + long[1000:200_000] + "y"), (3, "z" * 200_000), (4, "z" * 120)]
+    got = suffixes.remove_repeats(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_bytes, sum(s.e - s.s for s in r.removed), len(r.removed), bytes(r.kept)) for r in got) == removed(rows)
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 64, 7, 1])
+def test_bwt(monkeypatch, piece):
+    monkeypatch.setattr(bwt, "PIECE", piece)
+    r = random.Random(piece)
     for _ in range(40):
         texts = [bytes(r.choice(b"abc") for _ in range(r.randint(0, 14))) for _ in range(r.randint(1, 12))]
         lengths = np.array([len(t) for t in texts])
@@ -156,6 +207,44 @@ def test_quality(spark, corpus):
     assert quality.quality(docs.limit(0)).count() == 0
 
 
+def test_quality_of_very_long_texts(spark):
+    r = random.Random(4)
+    words = [f"w{r.randrange(50_000)}" for _ in range(120_000)]
+    rows = [(1, " ".join(words)), (2, "x" * 1_000_000), (3, " ".join(words[:20_000]) + "\n" + " ".join(words[:3_000]))]
+    docs = frame(spark, rows).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert {x.doc_id: tuple(x[f] for f in fields) for x in quality.quality(docs).collect()} == {d: statistics(t) for d, t in rows}
+
+
+def test_robust_distances(spark):
+    """Distances follow from the moments of the core by the formula, and the steps end where the core stays as it is."""
+    r = np.random.default_rng(2)
+    words = lambda n: " ".join(f"w{k}" for k in r.integers(0, 5000, n))
+    rows = [(i, words(int(r.lognormal(5, 0.5)) + 20) + " #" * int(r.integers(0, 3))) for i in range(400)]
+    docs = frame(spark, rows).withColumns({"lang": F.when(F.col("doc_id") % 3 > 0, "en"), "source": F.lit("s")})
+    few, many = ({x.doc_id: x.distance for x in quality.quality(docs, steps=n).collect()} for n in (12, 40))
+    assert few == many
+    stats = quality._features(quality.text_statistics(docs)).where("not base_failed")
+    core = stats.select("lang", "source", *quality.FEATURES)
+    moments, _ = quality._moments(core, ("lang", "source"), 50.0)
+    got = {x.doc_id: x.d for x in quality._distance(stats, moments, ("lang", "source"), "d").collect()}
+    table = stats.select("doc_id", "lang", *quality.FEATURES).toPandas()
+    x = table[list(quality.FEATURES)].to_numpy(float)
+    for group in (table["lang"] == "en", table["lang"] != "en"):
+        n, g = len(x), x[group.to_numpy()]
+        weight = 50 / n
+        total = len(g) + 50
+        mean = (g.sum(0) + weight * x.sum(0)) / total
+        cov = ((g.T @ g + weight * x.T @ x) / total - np.outer(mean, mean)) / quality.SCALE**2
+        low = np.zeros((5, 5))
+        for j in range(5):
+            low[j, j] = np.sqrt(max(cov[j, j] - low[j, :j] @ low[j, :j], quality.FLOORS[j] ** 2))
+            for i in range(j + 1, 5):
+                low[i, j] = (cov[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
+        want = (np.linalg.solve(low, ((g - mean) / quality.SCALE).T) ** 2).sum(0)
+        assert np.allclose([got[d] for d in table["doc_id"][group]], want, rtol=1e-6, atol=1e-6)
+
+
 def test_one_sided_junk_is_rejected_and_clean_text_stays(spark):
     r = random.Random(5)
     words = ["".join(r.choice("aeinorst") for _ in range(r.choice((2, 3, 4, 5, 6, 7, 9)))) for _ in range(500)]
@@ -183,6 +272,22 @@ def test_shards(spark, corpus):
     assert sharding.shard_documents(frame(spark, [])).count() == 0
 
 
+def test_shards_of_very_long_texts(spark):
+    rows = [(i, "é" * 300_000 if i == 5 else "x" * i) for i in range(200)]
+    got = sharding.shard_documents(frame(spark, rows), shards=4).collect()
+    assert sorted((r.doc_id, r["size"]) for r in got) == [(i, len(t.encode()) + 8) for i, t in rows]
+    assert [r["size"] for r in got if r.doc_id == 5] == [600_008]
+
+
+def test_cells_are_refined_to_what_one_task_can_number(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAF_BYTES", 2000)
+    monkeypatch.setattr(sharding, "LEAF_BITS", 20)
+    keys = spark.createDataFrame([(i, 100) for i in range(4000)], "key long, size long")
+    trie, heavy = sharding._refine(keys, 12, 400_000, 2, 0.002)
+    assert max(x[2] for x in trie.leaves) <= 2000 and not heavy
+    assert sharding._refine(keys.withColumn("key", keys["key"] % 16), 12, 400_000, 2, 0.002)[1]
+
+
 def test_one_heavy_key_is_parted(spark):
     got = sharding.shard_documents(frame(spark, [(1, "x" * 92)] * 4000), shards=4).groupBy("shard").count().collect()
     assert sorted(r.shard for r in got) == [0, 1, 2, 3] and max(r["count"] for r in got) < 1200
