@@ -1,4 +1,4 @@
-"""The queries of this subpackage by name, and SQL for those that SQL can express."""
+"""The queries of this subpackage by name, and SQL for those that SQL can express: of three operators, the columns that no estimate enters."""
 
 from __future__ import annotations
 
@@ -36,6 +36,68 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 """
 
 
+def _spans_sql(kinds: dict[str, tuple[str, str]]) -> str:
+    """CTEs after which ``spans`` has doc_id, kind, rank, s and e: of each kind the matches (m) of its pattern that its condition keeps."""
+    text = lambda p: "'" + p.replace("'", "''") + "'"
+    parts = [
+        f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, m[i] AS m, CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT doc_id, m, p, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, {text(pattern)}) AS m, regexp_split_to_array(t, {text(pattern)}) AS p FROM d)) WHERE {keep}"""
+        for rank, (kind, (pattern, keep)) in enumerate(kinds.items())
+    ]
+    return "d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),\nfound AS (" + "\nUNION ALL ".join(parts) + "),\nspans AS (SELECT doc_id, kind, rank, s, s + length(m) AS e FROM found)"
+
+
+def _base_sql(kinds: dict[str, tuple[str, str]]) -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in kinds)
+    return f"""WITH {_spans_sql(kinds)}
+SELECT doc_id, {counts}, sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank), '')) AS base_sha256 FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
+
+
+_DIGITS = "regexp_replace(m[i], '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda c, k: CASE WHEN k % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN 2 * c::INT - 9 ELSE 2 * c::INT END)) % 10 = 0"
+# The patterns of the contract.
+PII_BASE = _base_sql(
+    {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(m[i], '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(right(x, 4) AS INT), 0) > 255)) = 0"),
+        "card": (r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}"),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15"),
+    }
+)
+SECRET_BASE = _base_sql(
+    {
+        "assign": (secrets.ASSIGN, "length(regexp_extract(m[i], '" + secrets.ASSIGN.replace("'", "''") + "', 2)) >= 6"),
+        "access": (secrets.ACCESS, "length(m[i]) >= 20"),
+        "hex": (secrets.HEX, "length(m[i]) >= 24"),
+    }
+)
+QUALITY_BASE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+r AS (SELECT doc_id, unnest(range(i, i + 5)) AS place FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+c AS (SELECT doc_id, count(DISTINCT place) AS n FROM r GROUP BY doc_id),
+s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN c USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s
+"""
+
+
+def pii_base(spark, sf_dir: str):
+    """What the contract fixes of op5_boosted_pii."""
+    return pii.op5_boosted_pii(spark, sf_dir).drop("spans", "n_added")
+
+
+def secret_base(spark, sf_dir: str):
+    """What the contract fixes of op6_credential_links."""
+    return secrets.op6_credential_links(spark, sf_dir).drop("spans")
+
+
+def quality_base(spark, sf_dir: str):
+    """What the contract fixes of op9_robust_outliers."""
+    return quality.op9_robust_outliers(spark, sf_dir).drop("kept", "distance")
+
+
 def queries() -> dict:
     return {
         "op1_minhash": minhash.op1_minhash,
@@ -48,8 +110,11 @@ def queries() -> dict:
         "op8_revisits": archives.op8_revisits,
         "op9_robust_outliers": quality.op9_robust_outliers,
         "op10_histogram_shards": sharding.op10_histogram_shards,
+        "pii_base": pii_base,
+        "secret_base": secret_base,
+        "quality_base": quality_base,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "op8_revisits": REVISITS}
+    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "op8_revisits": REVISITS, "pii_base": PII_BASE, "secret_base": SECRET_BASE, "quality_base": QUALITY_BASE}

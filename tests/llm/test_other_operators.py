@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pii_sentences
 import public_tokenizers
@@ -441,4 +442,16 @@ def test_an_empty_corpus(spark, sf):
 
 
 def test_queries_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(m[1]) for n in queries.queries() if (m := re.match(r"op(\d+)_", n))) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["pii_base", "secret_base", "quality_base", "op8_revisits"])
+def test_sql(spark, sf, name):
+    duck = duckdb.connect()
+    for t in ("documents", "pages"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df = queries.queries()[name](spark, sf)
+    found = duck.execute(queries.oracle_sql()[name])
+    order = [d[0] for d in found.description]
+    assert sorted(order) == sorted(df.columns)
+    assert sorted(map(repr, map(tuple, df.select(*order).collect()))) == sorted(map(repr, found.fetchall()))
