@@ -21,6 +21,12 @@ def load_datasets(spark: SparkSession, sources: Mapping[str, str], master: str =
     return {name: df.persist() for name, df in out.items()} if cache else out
 
 
+def release_datasets(datasets: Datasets) -> None:
+    """Lets go of what ``load_datasets`` cached."""
+    for df in datasets.values():
+        df.unpersist()
+
+
 def staging_views(datasets: Datasets, prefix: str = "raw_") -> list[str]:
     """A temporary view over each dataset; their names are made safe for SQL."""
     names = [prefix + safe_name(name).lower() for name in datasets]

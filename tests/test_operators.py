@@ -170,6 +170,11 @@ def test_sources(spark, tmp_path):
     assert sorted(tables.drop_tables(spark, "box")) == ["one", "three", "two"]
     with pytest.raises(ValueError):
         tables.load_datasets(spark, {"A": "box.one"})
+    loaded.write.parquet(f"{tmp_path}/own")
+    cached = tables.load_datasets(spark, {"Master": f"{tmp_path}/own"}, cache=True)
+    assert cached["Master"].is_cached and cached["Master"].count() == 2
+    tables.release_datasets(cached)
+    assert not cached["Master"].is_cached
     assert tables.namespace(" raw ", "x") == "raw" and tables.namespace(None, "x") == "x"
 
 
