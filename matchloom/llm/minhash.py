@@ -230,12 +230,15 @@ def _judge_signatures(cells: pa.Array, side: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _judge_texts(percent: int):
-    """Of the rows with one id those count whose text has the digest of their class, each once."""
+    """Rows count whose text has the digest of their class, each digest once; all rows if no digest is given."""
 
-    def judge(cells: pa.Array, same: pa.Array, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def judge(cells: pa.Array, *rest) -> tuple[np.ndarray, np.ndarray]:
+        same, side = rest[:-1], rest[-1]
         values, offsets = shingle_sets(cells)
         sets, known, good = np.split(values, offsets[1:-1]), set(), []
-        for k, (x, want) in enumerate(zip(sets, same.to_pylist(), strict=True)):
+        if not same:
+            return np.arange(len(sets)), _by_sets(sets, side, percent)
+        for k, (x, want) in enumerate(zip(sets, same[0].to_pylist(), strict=True)):
             if want not in known and _digest(x.tobytes()) == want:
                 known.add(want)
                 good.append(k)
@@ -268,22 +271,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with scratch():
         classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("first"), F.max("bytes").alias("bytes"), F.first("sig").alias("sig"))
         classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
-        # a class is known by its least doc_id, unless one doc_id is the least of several: then by a number
-        numbered = not classes.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-        classes = classes if numbered else classes.withColumn("id", F.col("first"))
+        # a class is known by its least doc_id; where some doc_id has several texts, by a number, and its text by the digest
+        told = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "same").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+        several = not told.where("n > 1").isEmpty()
+        classes = classes if several else classes.withColumn("id", F.col("first"))
+        same = ["same"] if several else []
         keys = index_keys(classes)
         shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared", narrow=True)
         met = keys.join(shared, "key").join(classes.select("id", "sig"), "id").withColumn("bytes", F.col("n") * 2 * POSITIONS)
         total = (shared.agg(F.sum("n")).first()[0] or 0) * 2 * POSITIONS
         close = _in_tiles(met, "key", total, BLOCK, _judge_signatures, "sig")
         around = connected_components(materialize(close.distinct(), "minhash-close", narrow=True))
-        fetch = materialize(classes.select("id", "same", "first", "bytes").join(around, "id"), "minhash-around", narrow=True)
+        fetch = materialize(classes.select("id", "first", "bytes", *same).join(around, "id"), "minhash-around", narrow=True)
         sizes = materialize(fetch.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "minhash-sizes", narrow=True)
-        texts = docs.join(fetch.drop("bytes").join(sizes, "root"), docs["doc_id"] == F.col("first")).select("id", "root", "n", "bytes", "same", "text")
-        links = _in_tiles(texts, "root", sizes.agg(F.sum("bytes")).first()[0] or 0, SET_BLOCK, _judge_texts(percent), "text", "same")
+        texts = docs.join(fetch.drop("bytes").join(sizes, "root"), docs["doc_id"] == F.col("first")).select("id", "root", "n", "bytes", "text", *same)
+        links = _in_tiles(texts, "root", sizes.agg(F.sum("bytes")).first()[0] or 0, SET_BLOCK, _judge_texts(percent), "text", *same)
         root = connected_components(materialize(links.distinct(), "minhash-links", narrow=True))
         named = classes.select("same", "id", "first").join(root, "id", "left").select("same", "first", F.coalesce("root", "id").alias("component"))
-        if numbered:
+        if several:
             least = named.groupBy("component").agg(F.min("first").alias("least"))
             named = named.join(least, "component").select("same", F.col("least").alias("component"))
         of_class = materialize(named.select("same", "component"), "minhash-of-class", outlive=True)
