@@ -167,13 +167,14 @@ def test_suffixes_of_very_long_texts(spark):
 
 
 @pytest.mark.parametrize("piece", [1 << 18, 64, 7, 1])
-def test_bwt(monkeypatch, piece):
+def test_bwt(monkeypatch, tmp_path, piece):
     monkeypatch.setattr(bwt, "PIECE", piece)
     r = random.Random(piece)
     for _ in range(40):
         texts = [bytes(r.choice(b"abc") for _ in range(r.randint(0, 14))) for _ in range(r.randint(1, 12))]
         lengths = np.array([len(t) for t in texts])
-        got = bwt.build(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths), lengths)
+        got = bwt.build(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths), lengths, f"file://{tmp_path}")
+        assert not list(tmp_path.iterdir())
         suffix = sorted(([1000 + c for c in t[k:]] + [i], i, k) for i, t in enumerate(texts) for k in range(len(t) + 1))
         assert got[0].tolist() == [texts[i][k - 1] if k else bwt.START for _, i, k in suffix]
         common = [0]
