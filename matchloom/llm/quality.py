@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.shared import SPACE_CLASS, SPACES, materialize
+from matchloom.llm.shared import SPACE_CLASS, SPACES, materialize, scratch
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -82,7 +82,8 @@ def _same(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> tuple[DataFrame, int]:
-    """Mean and inverse Cholesky factor of each group, drawn towards those of all groups by ``shrink`` rows' weight; and a digest of the sums."""
+    """Mean and Cholesky factor of each group, drawn towards those of all groups by ``shrink`` rows' weight; and a digest of them, to the last
+    place of the statistics' fixed point."""
     p = range(len(FEATURES))
     sums = [F.sum(F.col(f).cast("decimal(20,0)")).alias(f"s{i}") for i, f in enumerate(FEATURES)]
     sums += [F.sum((F.col(FEATURES[i]) * F.col(FEATURES[j])).cast("decimal(28,0)")).alias(f"s{i}{j}") for i in p for j in p if j <= i]
@@ -98,8 +99,9 @@ def _moments(rows: DataFrame, keys: tuple[str, ...], shrink: float) -> tuple[Dat
         diagonal = F.sqrt(F.greatest(F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0)), F.lit(FLOORS[j] ** 2)))
         both = both.withColumn(f"l{j}{j}", diagonal)
         both = both.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}") for i in p if i > j} or {"_": F.lit(0)}).drop("_")
-    digest = group.agg(F.bit_xor(F.xxhash64(*keys, *names))).first()[0]
-    return materialize(both.drop(*[f"c{i}{j}" for i in p for j in p if j <= i]), "quality-moments"), digest
+    moments = materialize(both.drop(*[f"c{i}{j}" for i in p for j in p if j <= i]), "quality-moments", outlive=True)
+    numbers = [F.round(F.col(c) * SCALE).cast("long") for c in moments.columns if c not in keys]
+    return moments, moments.agg(F.bit_xor(F.xxhash64(*keys, *numbers))).first()[0]
 
 
 def _distance(rows: DataFrame, moments: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
@@ -122,8 +124,8 @@ def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang"
 
     A row is rejected if it fails the fixed limits, or if its transformed statistics lie further than ``cutoff`` (the 0.9999 quantile of chi-square) from its group's
     robust centre. The centre and spread of each group are of the ``part`` of its rows with the smallest distances, found by concentration
-    steps from medians and quartiles (minimum covariance determinant) until a step changes no sum of any group, ``steps`` at most; they are
-    drawn towards those of all rows with the weight of ``shrink`` rows, so that small groups act like large ones, and no standard deviation
+    steps from medians and quartiles (minimum covariance determinant) until a step changes no mean or factor of any group by a thousandth,
+    ``steps`` at most; they are drawn towards those of all rows with the weight of ``shrink`` rows, so that small groups act like large ones, and no standard deviation
     is below its ``FLOORS``. Distances are scaled by their median over all rows. Rows that fail the fixed limits take no part in the fit.
     Null keys form a group of their own; null and empty texts fail; texts of any length are taken whole, in one row; repeated rows count as
     often as they come; an empty table gives an empty result. Columns of ``docs`` named like an added one are replaced. Without
@@ -140,9 +142,10 @@ def quality(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang"
     last = None
     for _ in range(steps):
         ranked = ranked.withColumn("d", _bin(F.col("d")))
-        limit = materialize(ranked.groupBy(*keys).agg(F.expr(f"percentile(d, {part}d)").alias("limit")), "quality-limits")
-        inner = _same(ranked, limit, keys).where(F.col("d") <= F.col("limit"))
-        moments, now = _moments(inner, keys, shrink)
+        with scratch():
+            limit = materialize(ranked.groupBy(*keys).agg(F.expr(f"percentile(d, {part}d)").alias("limit")), "quality-limits")
+            inner = _same(ranked, limit, keys).where(F.col("d") <= F.col("limit"))
+            moments, now = _moments(inner, keys, shrink)
         ranked = _distance(rows, moments, keys, "d")
         if now == last:
             break
