@@ -282,9 +282,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         total = (shared.agg(F.sum("n")).first()[0] or 0) * 2 * POSITIONS
         close = _in_tiles(met, "key", total, BLOCK, _judge_signatures, "sig")
         around = connected_components(materialize(close.distinct(), "minhash-close", narrow=True))
-        fetch = materialize(classes.select("id", "first", "bytes", *same).join(around, "id"), "minhash-around", narrow=True)
-        sizes = materialize(fetch.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "minhash-sizes", narrow=True)
-        texts = docs.join(fetch.drop("bytes").join(sizes, "root"), docs["doc_id"] == F.col("first")).select("id", "root", "n", "bytes", "text", *same)
+        sizes = classes.select("id", "bytes").join(around, "id").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+        sizes = materialize(sizes, "minhash-sizes", narrow=True)
+        # a plain table of two numbers, so that Spark can broadcast it, and leave the texts where they are, if its size allows
+        fetch = classes.select("id", "first", "same").join(around, "id") if several else around.withColumn("first", F.col("id"))
+        texts = docs.join(fetch, docs["doc_id"] == F.col("first")).join(sizes, "root").select("id", "root", "n", "bytes", "text", *same)
         links = _in_tiles(texts, "root", sizes.agg(F.sum("bytes")).first()[0] or 0, SET_BLOCK, _judge_texts(percent), "text", *same)
         root = connected_components(materialize(links.distinct(), "minhash-links", narrow=True))
         named = classes.select("same", "id", "first").join(root, "id", "left").select("same", "first", F.coalesce("root", "id").alias("component"))
