@@ -74,25 +74,26 @@ fuzzy_token_sort_ratio = _udf(token_sort_ratio)
 fuzzy_token_set_ratio = _udf(token_set_ratio)
 
 
-def token_set_bounds(a: Column, b: Column) -> Column:
-    """least and most of the token-set ratio, by the tokens and lengths alone; null if a side is. Texts are normal forms, with single spaces.
+def token_set(text: Column) -> Column:
+    """t (the different tokens of a normal form, with single spaces) and w (their length with single spaces between); null if the text is."""
+    tokens = F.array_distinct(F.array_remove(F.split(text, " "), ""))
+    return F.when(text.isNotNull(), F.struct(tokens.alias("t"), F.length(F.array_join(tokens, " ")).cast("double").alias("w")))
+
+
+def token_set_bounds(x: Column, y: Column) -> Column:
+    """least and most of the token-set ratio of two texts, by their ``token_set`` alone; null if a side is.
 
     Equal where the score follows from them: a side without tokens, or without tokens of its own. The common tokens are the start of
     both sides, so their ratio with either is one of lengths; of the own tokens at most the shorter side's can be common.
     """
-    tokens = [F.array_distinct(F.filter(F.split(x, " "), lambda t: t != "")) for x in (a, b)]
-    joined = lambda x: F.coalesce(F.aggregate(x, F.lit(0), lambda n, t: n + F.length(t) + 1), F.lit(0))  # noqa: E731  with a space behind each
-    state = F.struct(F.size(tokens[0]).alias("n"), F.size(tokens[1]).alias("m"), F.size(F.array_intersect(*tokens)).alias("c"), joined(tokens[0]).alias("left"), joined(tokens[1]).alias("right"), joined(F.array_intersect(*tokens)).alias("both"))
-
-    def judge(x: Column) -> Column:
-        whole = [(x[k] - 1).cast("double") for k in ("left", "right")]
-        common = (x["both"] - 1).cast("double")
-        least = F.when(x["c"] > 0, F.greatest(*[200.0 * common / (common + w) for w in whole])).otherwise(0.0)
-        most = F.greatest(least, 200.0 * F.least(*whole) / (whole[0] + whole[1]))
-        sure = F.when((x["n"] == 0) | (x["m"] == 0), 0.0).when((x["c"] > 0) & ((x["c"] == x["n"]) | (x["c"] == x["m"])), 100.0)
-        return F.struct(F.coalesce(sure, least).alias("least"), F.coalesce(sure, most).alias("most"))
-
-    return F.when(a.isNotNull() & b.isNotNull(), F.transform(F.array(state), judge)[0])
+    shared = F.array_intersect(x["t"], y["t"])
+    common = F.length(F.array_join(shared, " ")).cast("double")
+    least = F.when(F.size(shared) > 0, F.greatest(*[200.0 * common / (common + s["w"]) for s in (x, y)])).otherwise(0.0)
+    most = F.greatest(least, 200.0 * F.least(x["w"], y["w"]) / (x["w"] + y["w"]))
+    none = (F.size(x["t"]) == 0) | (F.size(y["t"]) == 0)
+    inside = (F.size(shared) > 0) & ((F.size(shared) == F.size(x["t"])) | (F.size(shared) == F.size(y["t"])))
+    sure = F.when(none, 0.0).when(inside, 100.0)
+    return F.when(x.isNotNull() & y.isNotNull(), F.struct(F.coalesce(sure, least).alias("least"), F.coalesce(sure, most).alias("most")))
 
 
 def cosine(a: Column, b: Column, when_missing: float | None = None) -> Column:

@@ -57,7 +57,7 @@ def test_token_set_bounds_hold(spark):
     words = ["a", "ab", "acme", "corp", "corporation", "of", "x9", "zz"]
     text_ = lambda: " ".join(r.choice(words) for _ in range(r.randint(0, 5)))
     rows = [(text_(), text_()) for _ in range(400)] + [(None, "a"), ("a", None), ("", ""), ("a", "")]
-    x = sim.token_set_bounds(F.col("a"), F.col("b"))
+    x = sim.token_set_bounds(sim.token_set(F.col("a")), sim.token_set(F.col("b")))
     settled = 0
     for row in spark.createDataFrame(rows, "a string, b string").select("a", "b", x.alias("x")).collect():
         if row.a is None or row.b is None:
