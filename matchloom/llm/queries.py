@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import archives, minhash, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
+from matchloom.llm import archives, manifest, minhash, nearest, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
 
 REVISITS = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -110,6 +110,8 @@ def queries() -> dict:
         "op8_revisits": archives.op8_revisits,
         "op9_robust_outliers": quality.op9_robust_outliers,
         "op10_histogram_shards": sharding.op10_histogram_shards,
+        "op11_dimension_scan": nearest.op11_dimension_scan,
+        "op13_merkle_manifest": manifest.op13_merkle_manifest,
         "pii_base": pii_base,
         "secret_base": secret_base,
         "quality_base": quality_base,
