@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchloom.llm import archives, manifest, minhash, nearest, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
+from matchloom.llm import archives, features, manifest, minhash, nearest, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
 
 REVISITS = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -82,6 +82,62 @@ s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(l
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s
 """
 
+# crc32 of the decimal digits of a number: ``crc(x)`` in a query that has the table ``t`` (a list of 256 numbers) beside its rows.
+CRC_TABLE = "t AS (SELECT list(c ORDER BY i) AS crc_table FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS c FROM range(256) r(i)))"
+
+
+def _crc(number: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({number}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: xor(crc_table[(xor(a, b) & 255) + 1], a >> 8)), 4294967295)"
+
+
+FEATURES = f"""
+WITH {CRC_TABLE},
+s AS (SELECT sale_id, client_id AS c, epoch_us(sold_at) AS ts, epoch_us(arrived_at) + 14400000000 AS a, coalesce(CAST(floor(100 * total + 0.5) AS BIGINT), 0) AS cents FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+q AS (SELECT sale_id, c, ts + ({_crc("sale_id")} % 259200) * 1000000 AS t, d FROM s, t, (VALUES (2), (14)) v(d) WHERE sale_id IS NOT NULL),
+k AS (SELECT client_id AS c, epoch_us(ts) AS ts, epoch_us(arrived_at) + 14400000000 AS a, kind, click_id, coalesce(CAST(floor(100 * value + 0.5) AS BIGINT), 0) AS cents FROM (SELECT DISTINCT click_id, ts, arrived_at, client_id, kind, value, props FROM clicks)),
+l AS (SELECT s.c, s.ts, greatest(s.a, epoch_us(shipped_at)) AS a, item_id, coalesce(CAST(floor(100 * amount + 0.5) AS BIGINT), 0) AS cents FROM sale_lines JOIN s USING (sale_id) WHERE s.a IS NOT NULL AND shipped_at IS NOT NULL),
+fk AS (SELECT sale_id, d, count(*) AS n_clicks, count(*) FILTER (WHERE kind = 'purchase') AS n_purchases, CAST(sum(cents) AS BIGINT) AS click_cents, arg_max(click_id, (ts, click_id)) AS last_click_id FROM q JOIN k USING (c) WHERE ts <= t AND ts > t - d * 86400000000 AND a <= t GROUP BY ALL),
+fs AS (SELECT q.sale_id, d, count(*) AS n_sales, CAST(sum(cents) AS BIGINT) AS sale_cents FROM q JOIN s USING (c) WHERE ts <= t AND ts > t - d * 86400000000 AND a <= t GROUP BY ALL),
+fl AS (SELECT sale_id, d, count(*) AS n_lines, count(DISTINCT item_id) AS n_items, CAST(sum(cents) AS BIGINT) AS line_cents FROM q JOIN l USING (c) WHERE ts <= t AND ts > t - d * 86400000000 AND a <= t GROUP BY ALL),
+y AS (SELECT DISTINCT q.sale_id FROM q JOIN s USING (c) WHERE ts > t AND ts <= t + 604800000000)
+SELECT q.sale_id, d, t AS t_us, y.sale_id IS NOT NULL AS label, coalesce(n_clicks, 0) AS n_clicks, coalesce(n_purchases, 0) AS n_purchases, coalesce(click_cents, 0) AS click_cents, last_click_id,
+  coalesce(n_sales, 0) AS n_sales, coalesce(sale_cents, 0) AS sale_cents, coalesce(n_lines, 0) AS n_lines, coalesce(n_items, 0) AS n_items, coalesce(line_cents, 0) AS line_cents
+FROM q LEFT JOIN fk USING (sale_id, d) LEFT JOIN fs USING (sale_id, d) LEFT JOIN fl USING (sale_id, d) LEFT JOIN y ON y.sale_id = q.sale_id
+"""
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """CTEs over the ranked nodes ``{name}0`` (g, i, n, h): the levels above, and for each level the left and right siblings of its nodes (null: a lone node)."""
+    run = "OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+    up = [f"{name}{k + 1} AS (SELECT g, i // 8 AS i, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h FROM {name}{k} GROUP BY g, i // 8, n)" for k in range(levels)]
+    beside = [f"{name}r{k} AS (SELECT g, i, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r FROM {name}{k})" for k in range(levels)]
+    return ",\n".join(up + beside)
+
+
+def _manifest_sql(levels: int = 8, group_levels: int = 3) -> str:
+    """Unrolled for 8 ** levels documents of a language and 8 ** group_levels languages."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = f"translate(text, '{manifest.UPPER}', '{manifest.LOWER}')"
+    steps, at = [], "f0"
+    for tree, n, g, i in (("t", levels, "g", "i"), ("u", group_levels, "''", "gi")):
+        for k in range(n):
+            steps.append(f"f{len(steps) + 1} AS (SELECT f.* EXCLUDE (p, x), p || coalesce(r.l || r.r, '') AS p, CASE WHEN r.l IS NULL THEN x ELSE sha256(r.l || x || r.r) END AS x FROM {at} f JOIN {tree}r{k} r ON r.g = {'f.g' if tree == 't' else g} AND r.i = f.{i} // {8**k})")
+            at = f"f{len(steps)}"
+    return f"""WITH {CRC_TABLE},
+d AS (SELECT doc_id, lang, coalesce('=' || lang, '') AS g, {leaf("text")} AS h, CASE WHEN doc_id IS NOT NULL AND {_crc("doc_id")} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS shown FROM documents, t),
+docs AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+t0 AS (SELECT g, i, n, h FROM docs),
+{_tree_sql("t", levels)},
+u0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h, g AS of FROM t{levels}),
+{_tree_sql("u", group_levels)},
+f0 AS (SELECT docs.*, u0.i AS gi, u0.h AS subroot, u{group_levels}.h AS root, '' AS p, shown AS x FROM docs JOIN u0 ON u0.of = docs.g, u{group_levels}),
+{", ".join(steps)}
+SELECT doc_id, h AS leaf, subroot, root, sha256(p) AS proof_sha256, x AS folded_root, x = root AS verified FROM {at}"""
+
+
+MANIFEST = _manifest_sql()
+
 
 def pii_base(spark, sf_dir: str):
     """What the contract fixes of op5_boosted_pii."""
@@ -111,6 +167,7 @@ def queries() -> dict:
         "op9_robust_outliers": quality.op9_robust_outliers,
         "op10_histogram_shards": sharding.op10_histogram_shards,
         "op11_dimension_scan": nearest.op11_dimension_scan,
+        "op12_feature_table": features.op12_feature_table,
         "op13_merkle_manifest": manifest.op13_merkle_manifest,
         "pii_base": pii_base,
         "secret_base": secret_base,
@@ -119,4 +176,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "op8_revisits": REVISITS, "pii_base": PII_BASE, "secret_base": SECRET_BASE, "quality_base": QUALITY_BASE}
+    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "op8_revisits": REVISITS, "op12_feature_table": FEATURES, "op13_merkle_manifest": MANIFEST, "pii_base": PII_BASE, "secret_base": SECRET_BASE, "quality_base": QUALITY_BASE}
