@@ -28,20 +28,19 @@ BEFORE = 1 << 61
 
 
 def _widths(points: DataFrame, capacity: int) -> DataFrame:
-    """key and w (bits) of the keys that have more than ``capacity`` points (key, x), as a written table. No task sees a key whole: counts are combined before they move."""
-    full = materialize(points.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > capacity).select("key"), "pit-full", narrow=True)
+    """key and w (bits) of each key of the points (key, x), as a written table. Counts are combined before they move: no task sees a key whole."""
 
-    def widest(keys: DataFrame, widths: Sequence[int], least: int) -> DataFrame:
-        cells = points.join(keys, "key", "left_semi").groupBy("key", F.shiftright("x", widths[-1]).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    def widest(of: DataFrame, widths: Sequence[int], least: int) -> DataFrame:
+        cells = of.groupBy("key", F.shiftright("x", widths[-1]).alias("c")).agg(F.count(F.lit(1)).alias("n"))
         coarser = cells.select("key", F.explode(F.array(*map(F.lit, widths))).alias("w"), "c", "n").withColumn("c", F.expr(f"shiftright(c, w - {widths[-1]})"))
         fullest = coarser.groupBy("key", "w", "c").agg(F.sum("n").alias("n")).groupBy("key", "w").agg(F.max("n").alias("n"))
         return fullest.groupBy("key").agg(F.coalesce(F.max(F.when(F.col("n") <= capacity, F.col("w"))), F.lit(least)).alias("w"))
 
-    first = materialize(widest(full, WIDTHS, -1), "pit-widths", narrow=True)
+    first = materialize(widest(points, WIDTHS, -1), "pit-widths", narrow=True)
     rest = first.where("w < 0").select("key")
     if rest.isEmpty():
         return first
-    return materialize(first.where("w >= 0").unionByName(widest(rest, FINER, 0)), "pit-widths", narrow=True)
+    return materialize(first.where("w >= 0").unionByName(widest(points.join(rest, "key", "left_semi"), FINER, 0)), "pit-widths", narrow=True)
 
 
 def _cell(time: str) -> Column:
@@ -98,8 +97,8 @@ def _rounds(intervals: DataFrame, cells_asked: DataFrame) -> DataFrame:
     """
     of = ["key", "kind"]
     last = F.max(F.when(F.col("id").isNotNull(), F.struct("u", "id"))).alias("last")
-    cells = intervals.where("w IS NOT NULL").withColumns({"i": _cell("x"), "j": _cell("u")}).where("i + 1 < j")
-    cells = materialize(cells.groupBy(*of, "i", "j").agg(F.count(F.lit(1)).alias("n"), F.sum("flag").alias("flag"), F.sum("cents").alias("cents"), last), "pit-cells", narrow=True)
+    cells = intervals.withColumns({"i": _cell("x"), "j": _cell("u")}).where("i + 1 < j")
+    cells = materialize(cells.groupBy(*of, "i", "j").agg(*[F.sum(c).alias(c) for c in SUMS], last), "pit-cells", narrow=True)
     found, level = [], 0
     while not cells.isEmpty():
         right = F.when((F.col("i") % 2 == 0) & (F.col("i") + 1 < F.col("j")), F.col("i") + 1)
@@ -162,28 +161,42 @@ def dominance(intervals: DataFrame, asks: DataFrame, kinds: int, latest: Sequenc
     kind that counts its different items. Rows with a null key, x or u count nowhere; an ask with a null key or t has no answer; equal rows count each;
     no asks give no row.
 
-    A key of more than ``capacity`` starts and asks is cut into cells of time. Within a cell, and in the cell in which an
-    interval ends, a task compares times; what lies whole between is added by rounds of halves (``_rounds``), so a key of any size is dealt out.
-    Only what one microsecond of one key holds stays together.
+    A key of more than ``capacity`` starts and asks is full. Its equal intervals become one with their sums, and of the intervals of an item that
+    end together the longest stays; then it is cut into cells of time. Within a cell, and in the cell in which an interval ends, a task
+    compares times; what lies whole between is added by rounds of halves (``_rounds``), so a key of any size is dealt out. Only the asks
+    of one microsecond of one key stay together.
     """
+    long = lambda n: F.lit(n).cast("long")
     named = intervals.where("key IS NOT NULL AND x IS NOT NULL AND u IS NOT NULL AND x < u")
     events = materialize(named.select("key", F.col("kind").cast("int").alias("kind"), "x", "u", "flag", "cents", "id", "item"), "pit-events")
     asks = materialize(asks.where("key IS NOT NULL AND t IS NOT NULL").select("key", "id", "t"), "pit-asks")
-    widths = _widths(events.select("key", "x").unionAll(asks.select("key", "t")), capacity)
-    placed = events.join(widths, "key", "left")
+    counts = events.select("key").unionAll(asks.select("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    full = materialize(counts.where(F.col("n") > capacity).select("key", F.lit(True).alias("full")), "pit-full", narrow=True)
+    events, asks = (materialize(df.join(full, "key", "left").withColumn("full", F.coalesce("full", F.lit(False))), "pit-marked") for df in (events, asks))
+    together = events.where("full").groupBy("key", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n"), F.sum("flag").alias("flag"), F.sum("cents").alias("cents"), F.max("id").alias("id"))
+    together = materialize(together, "pit-together")
+    widths = _widths(together.select("key", "x").unionAll(asks.where("full").select("key", F.col("t").alias("x"))), capacity)
+    no_width = F.lit(None).cast("int").alias("w")
+    apart = events.where("NOT full").select("key", no_width, "kind", "x", "u", long(1).alias("n"), "flag", "cents", "id")
+    placed = together.join(widths, "key")
     if distinct:
         to = F.create_map(*[F.lit(v) for pair in distinct.items() for v in pair])
-        covers = placed.where(F.col("kind").isin(*distinct) & F.col("item").isNotNull()).select("key", "w", to[F.col("kind")].alias("kind"), "item", "x", "u")
-        pieces = materialize(coalesced(covers), "pit-pieces")
-        placed = placed.drop("item").unionByName(pieces.withColumns({"flag": F.lit(0).cast("long"), "cents": F.lit(0).cast("long"), "id": F.lit(None).cast("long")}))
+        covers = events.where(F.col("kind").isin(*distinct) & F.col("item").isNotNull()).withColumn("kind", to[F.col("kind")])
+        longest = covers.where("full").groupBy("key", "kind", "item", "u").agg(F.min("x").alias("x")).join(widths, "key")
+        pieces = materialize(coalesced(covers.where("NOT full").select("key", no_width, "kind", "item", "x", "u").unionByName(longest)), "pit-pieces")
+        plain = {"flag": long(0), "cents": long(0), "id": F.lit(None).cast("long")}
+        apart = apart.unionByName(pieces.where("w IS NULL").withColumns({"n": long(1), **plain}))
+        placed = placed.unionByName(pieces.where("w IS NOT NULL").groupBy("key", "w", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n")).withColumns(plain))
+    placed = materialize(placed, "pit-placed")
     placed_asks = asks.join(widths, "key", "left").withColumn("cell", _cell("t"))
-    base = _rounds(placed, materialize(placed_asks.where("w IS NOT NULL").select("key", "cell").distinct(), "pit-asked", narrow=True))
+    base = _rounds(placed, materialize(placed_asks.where("full").select("key", "cell").distinct(), "pit-asked", narrow=True))
 
     both = F.when(_cell("x") < _cell("u"), F.array(_cell("x"), _cell("u"))).otherwise(F.array(_cell("x")))
     none = F.lit(None).cast("long")
-    own = placed.select("key", F.explode(both).alias("cell"), "kind", "x", "u", F.lit(1).cast("long").alias("n"), "flag", "cents", "id")
+    columns = ["key", "cell", "kind", "x", "u", *SUMS, "id"]
+    own = placed.withColumn("cell", F.explode(both)).select(*columns).unionByName(apart.withColumn("cell", long(0)).select(*columns))
     whole = base.select("key", "cell", "kind", F.lit(LEAST).alias("x"), F.lit(MOST).alias("u"), *SUMS, none.alias("id"))
-    late = base.where("last IS NOT NULL").select("key", "cell", "kind", F.lit(LEAST).alias("x"), F.col("last.u").alias("u"), *[F.lit(0).cast("long").alias(c) for c in SUMS], F.col("last.id").alias("id"))
+    late = base.where("last IS NOT NULL").select("key", "cell", "kind", F.lit(LEAST).alias("x"), F.col("last.u").alias("u"), *[long(0).alias(c) for c in SUMS], F.col("last.id").alias("id"))
     asked = placed_asks.select("key", "cell", F.lit(-1).alias("kind"), F.col("t").alias("x"), none.alias("u"), *[none.alias(c) for c in SUMS], "id")
     rows = own.unionByName(whole).unionByName(late).unionByName(asked)
     tasks = max(4 * partitions(events.sparkSession), -(-2 * events.count() // TASK))
