@@ -24,15 +24,14 @@ PERCENT = 75
 BLOCK, SET_BLOCK, BLOCK_BYTES = 1024, 160, 4 << 20
 
 _U = np.uint64
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _rng = np.random.default_rng(20240501)
 _SALT = _rng.integers(1, 1 << 63, POSITIONS, dtype=np.uint64) | _U(1)
 _XOR = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64)
 _PLACE = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) | _U(1)
-_BASE = _U(0x9E3779B97F4A7C15 | 1)
+#: Places of a word whose byte hashes are kept in a table.
+_SHORT = 64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -42,6 +41,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _byte_hash(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """A hash of a byte (A-Z as a-z) at a place of its word, without structure: sums of them don't cancel for any pattern of letters."""
+    lower = np.where((byte >= 65) & (byte <= 90), byte + 32, byte).astype(_U)
+    return _mix(_mix(place.astype(_U) * _U(256) + lower + _SALT[0]) ^ _XOR[0])
+
+
+_BYTES = _byte_hash(np.repeat(np.arange(_SHORT), 256), np.tile(np.arange(256), _SHORT))
+
+
 def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text, concatenated, and the n + 1 offsets."""
     raw, offsets = text_bytes(column)
@@ -58,9 +66,11 @@ def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.n
     number = np.cumsum(first) - 1  # of the word, for the bytes of words
     where = np.nonzero(filled)[0]
     inside = where - begin[number[where]]
-    power = np.ones(int(inside.max()) + 1, _U)
-    np.multiply.accumulate(np.full(len(power) - 1, _BASE), out=power[1:])
-    word = np.add.reduceat((_LOWER[raw[where]] + _U(1)) * power[inside], np.searchsorted(where, begin))
+    # each byte's hash depends on its place, and a word's hash is their sum: tabulation, not a polynomial
+    value = _BYTES[np.minimum(inside, _SHORT - 1) * 256 + raw[where]]
+    long = np.nonzero(inside >= _SHORT)[0]
+    value[long] = _byte_hash(inside[long], raw[where[long]].astype(np.int64))
+    word = np.add.reduceat(value, np.searchsorted(where, begin))
     word = _mix(word)
     at = np.searchsorted(begin, offsets)  # words before each text
     counts = np.diff(at)
