@@ -241,15 +241,24 @@ def model(examples: int = 3000, sure: float = 0.8, seed: int = 7) -> tuple[Boost
 
 
 def choose(texts: list[str], base: list[list[Span]], trees: BoostedTrees, limits: tuple[float, ...]) -> list[list[Span]]:
-    """The base spans and the accepted candidates; of candidates that overlap, that with the higher odds stays."""
+    """The base spans and the accepted candidates; of candidates that overlap, that with the higher odds stays.
+
+    Taken code points are marked, so a candidate costs its length, however many spans the text has.
+    """
     found = [(i, s) for i, t in enumerate(texts) for s in candidates(t)]
     out = [list(b) for b in base]
     if found:
         score = trees.score(np.array([features(texts[i], s, e, k) for i, (s, k, e) in found], dtype=float))
         good = [(i, -v, s) for (i, s), v in zip(found, score.tolist(), strict=True) if v >= limits[s[1]]]
+        taken: dict[int, bytearray] = {}
         for i, _, (s, k, e) in sorted(good):
-            if not any(a < e and s < z for a, _, z in out[i]):
+            if i not in taken:
+                taken = {i: bytearray(len(texts[i]))}
+                for a, _, z in base[i]:
+                    taken[i][a:z] = b"\1" * (z - a)
+            if taken[i].find(1, s, e) < 0:
                 out[i].append((s, k, e))
+                taken[i][s:e] = b"\1" * (e - s)
     return [sorted(x) for x in out]
 
 
