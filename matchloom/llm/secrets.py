@@ -29,28 +29,47 @@ WEAK_ENDPOINT = (
 #: Code points within which complementary parts belong together.
 SCOPE = 200
 _MARK = "\x01"
+#: Parts of a text that are summed together: an even number, so that every block begins beside a match.
+_BLOCK = 256
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it stands in there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _spans(body: Column, pattern: str, keep=None) -> Column:
     """start and end of each leftmost match that does not overlap the one before it; ``keep`` judges the matched string.
 
-    Matches are marked, the text is cut at the marks, and the lengths of the parts are summed: every other part is a match.
+    Matches are marked, the text is cut at the marks, and the lengths of the parts are summed: every other part is a match. They are
+    summed in blocks, then block by block, so that no array grows by more than a block, or a number for each block, one by one.
     """
     parts = F.split(F.regexp_replace(body, F.lit(pattern), F.lit(f"{_MARK}$0{_MARK}")), _MARK)
-    lengths = F.transform(parts, lambda x: F.length(x))
-    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+    spans = "array<struct<s:int,e:int>>"
+    empty = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(spans).alias("out"))
 
     def step(a: Column, n: Column) -> Column:
         end = a["at"] + n
         grown = F.when(a["i"] % 2 == 1, F.concat(a["out"], F.array(F.struct(a["at"].alias("s"), end.alias("e"))))).otherwise(a["out"])
         return F.struct(end.alias("at"), (a["i"] + 1).alias("i"), grown.alias("out"))
 
-    found = F.aggregate(lengths, state, step, lambda a: a["out"])
-    if keep is not None:
+    def summed(lengths: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(lengths), F.lit(_BLOCK))
+        return F.transform(starts, lambda i: F.aggregate(F.slice(lengths, i, F.lit(_BLOCK)), empty, step))
+
+    def joined(blocks: Column) -> Column:
+        before = F.aggregate(blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b["at"])))
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda b, at: F.transform(b["out"], lambda x: F.struct((x["s"] + at).alias("s"), (x["e"] + at).alias("e")))))
+
+    def found(parts: Column) -> Column:
+        at = _once(_once(F.transform(parts, lambda x: F.length(x)), summed), joined)
+        if keep is None:
+            return at
         odd = F.filter(parts, lambda x, i: i % 2 == 1)
-        found = F.filter(F.arrays_zip(found.alias("at"), odd.alias("text")), lambda x: keep(x["text"]))
-        found = F.transform(found, lambda x: x["at"])
-    return found
+        kept = F.filter(F.arrays_zip(at.alias("at"), odd.alias("text")), lambda x: keep(x["text"]))
+        return F.transform(kept, lambda x: x["at"])
+
+    return _once(parts, found)
 
 
 def _where(body: Column, hint: str, spans: Column) -> Column:
