@@ -231,7 +231,7 @@ def sale_features(clicks: DataFrame, sales: DataFrame, lines: DataFrame) -> Data
 
     A sale without an id has no time of its own: it counts, but isn't asked for. A sale_id that comes twice is asked for twice, and its lines belong
     to both. Lines without a sale or a shipping time, and events without a client, a time or an arrival, count nowhere; texts and other columns
-    play no part, except that clicks must differ in one of their seven columns to count as two.
+    play no part, except that clicks must differ in one of their seven columns to count as two. Of clicks at one time one without an id is the last to be named.
     """
     whole = clicks.where("client_id IS NOT NULL AND ts IS NOT NULL AND arrived_at IS NOT NULL").select("click_id", "ts", "arrived_at", "client_id", "kind", "value", "props").distinct()
     seen = whole.select(F.col("client_id").cast("long").alias("key"), micros(whole, "ts").alias("ts"), (micros(whole, "arrived_at") + DELAY).alias("a"), F.coalesce(F.col("kind") == "purchase", F.lit(False)).cast("long").alias("flag"), cents(F.col("value")).alias("cents"), F.col("click_id").cast("long").alias("id"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,6 @@ from matchloom.llm.shared import materialize, only, partitions
 
 #: Children of a node, and levels that one task collapses: a superblock has FANOUT ** LEVELS nodes.
 FANOUT, LEVELS = 8, 4
-SPAN = FANOUT**LEVELS
 #: Stands in a level of a proof for the node itself.
 OWN = "*"
 
@@ -34,10 +33,10 @@ def _node(children: Sequence[str]) -> str:
     return hashlib.sha256("".join(children).encode()).hexdigest()
 
 
-def _collapse(nodes: list[str], n: int) -> list[list[str]]:
-    """The levels above a superblock's nodes, itself first, of a tree whose level has ``n`` nodes: LEVELS more, or as many as leave one node."""
+def _collapse(nodes: list[str], n: int, high: int) -> list[list[str]]:
+    """The levels above a superblock's nodes, itself first, of a tree whose level has ``n`` nodes: ``high`` more, or as many as leave one node."""
     levels = [nodes]
-    while len(levels) <= LEVELS and (n > SPAN or len(levels[-1]) > 1):
+    while len(levels) <= high and (n > FANOUT**high or len(levels[-1]) > 1):
         last = levels[-1]
         levels.append([_node(last[k : k + FANOUT]) for k in range(0, len(last), FANOUT)])
     return levels
@@ -49,8 +48,8 @@ def _runs(level: list[str]) -> list[str]:
     return ["".join(run[:k]) + OWN + "".join(run[k + 1 :]) for run in runs for k in range(len(run))]
 
 
-def ranked(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``df`` (with g: string) and the place i of each row among those of its g, from 0, in ``order``, n (rows of its g) and b = i / SPAN.
+def ranked(df: DataFrame, order: Sequence[str], span: int) -> DataFrame:
+    """``df`` (with g: string) and the place i of each row among those of its g, from 0, in ``order``, n (rows of its g) and b = i / ``span``.
 
     Rows are sorted by range and written with their place in their partition; for each partition and group, which are few, the rows
     before are summed up. No task sees a group whole.
@@ -64,28 +63,30 @@ def ranked(df: DataFrame, order: Sequence[str]) -> DataFrame:
     before = F.coalesce(F.sum("_n").over(W.partitionBy("g").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = by_part.select("g", "_part", (before - F.col("_first")).alias("_shift"), F.sum("_n").over(W.partitionBy("g")).alias("n"))
     out = placed.join(materialize(starts, "manifest-starts", narrow=True), ["g", "_part"])
-    return out.withColumn("i", F.col("_at") + F.col("_shift")).withColumn("b", F.floor(F.col("i") / SPAN)).drop("_part", "_at", "_shift")
+    return out.withColumn("i", F.col("_at") + F.col("_shift")).withColumn("b", F.floor(F.col("i") / span)).drop("_part", "_at", "_shift")
 
 
-def _up(nodes: DataFrame) -> DataFrame:
+def _up(nodes: DataFrame, high: int) -> DataFrame:
     """The roots of the superblocks of nodes (g, i, n, b, h), as the nodes of the next level."""
 
+    span = FANOUT**high
+
     def collapse(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("i")
         n, b = int(rows.n.iloc[0]), int(rows.b.iloc[0])
-        root = _collapse(rows.h.tolist(), n)[-1]
-        return pd.DataFrame({"g": [rows.g.iloc[0]], "i": [b], "n": [-(-n // SPAN)], "b": [b // SPAN], "h": root})
+        root = _collapse(rows.h.tolist(), n, high)[-1]
+        return pd.DataFrame({"g": [rows.g.iloc[0]], "i": [b], "n": [-(-n // span)], "b": [b // span], "h": root})
 
     return nodes.select("g", "i", "n", "b", "h").groupBy("g", "b").applyInPandas(collapse, "g string, i long, n long, b long, h string")
 
 
-def _down(nodes: DataFrame, above: DataFrame) -> DataFrame:
+def _down(nodes: DataFrame, above: DataFrame, high: int) -> DataFrame:
     """Nodes with the path from them up: their own superblock's levels, then those of its root, which ``above`` (g, i, path, subroot, root) has."""
     kept = [c for c in nodes.columns if c not in ("b", "n")]
 
     def descend(rows: pd.DataFrame, upper: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("i")
-        levels = [_runs(level) for level in _collapse(rows.h.tolist(), int(rows.n.iloc[0]))[:-1]]
+        levels = [_runs(level) for level in _collapse(rows.h.tolist(), int(rows.n.iloc[0]), high)[:-1]]
         rest, out = list(upper.path.iloc[0]), rows[kept].copy()
         out["path"] = [[level[k // FANOUT**m] for m, level in enumerate(levels)] + rest for k in range(len(rows))]
         out["subroot"], out["root"] = upper.subroot.iloc[0], upper.root.iloc[0]
@@ -96,39 +97,40 @@ def _down(nodes: DataFrame, above: DataFrame) -> DataFrame:
     return nodes.groupBy("g", "b").cogroup(above.withColumnRenamed("i", "b").groupBy("g", "b")).applyInPandas(descend, schema)
 
 
-def _tree(leaves: DataFrame) -> list[DataFrame]:
+def _tree(leaves: DataFrame, high: int) -> list[DataFrame]:
     """The written levels of superblock roots over ranked leaves (g, i, n, b, h); the last has one node for each g."""
     levels = [leaves]
     while len(levels) == 1 or not levels[-1].where("n > 1").isEmpty():
-        levels.append(materialize(_up(levels[-1]), "manifest-level", narrow=True))
+        levels.append(materialize(_up(levels[-1], high), "manifest-level", narrow=True))
     return levels
 
 
-def _paths(levels: list[DataFrame], top: DataFrame) -> DataFrame:
+def _paths(levels: list[DataFrame], top: DataFrame, high: int) -> DataFrame:
     """The leaves of a tree with their paths, given those of its roots."""
     for nodes in levels[-2:0:-1]:
-        top = _down(nodes, top).select("g", "i", "path", "subroot", "root")
-    return _down(levels[0], top)
+        top = _down(nodes, top, high).select("g", "i", "path", "subroot", "root")
+    return _down(levels[0], top, high)
 
 
-def manifest(leaves: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
+def manifest(leaves: DataFrame, group: str, order: Sequence[str], high: int = LEVELS) -> DataFrame:
     """``leaves`` (with the digest ``leaf``) and, for each, subroot (of its group), root (of all) and path, from the leaf up to the root.
 
     A group's leaves ascend by ``order``, nulls first, then by digest; groups ascend by their bytes, null first. While a level has
     several nodes, every 8 in turn, or what is left, become the hash of their digests; a lone leaf is a subroot itself. A level of a path is
-    the run's digests in order with ``*`` for the node itself, so ``fold`` replays it. A task takes 4096 nodes of a group and collapses
-    four levels; the roots of these superblocks are reduced likewise. An empty table gives no row; equal rows are leaves each.
-    Other columns ride along, whatever their names.
+    the run's digests in order with ``*`` for the node itself, so ``fold`` replays it. A task takes 8 ** ``high`` nodes of a group and collapses
+    so many levels; the roots of these superblocks are reduced likewise. An empty table gives no row; equal rows are leaves each.
+    Other columns ride along; those with a name of the three added ones are replaced.
     """
-    given = [c for c in leaves.columns if c not in (group, "leaf")]
+    given = [c for c in leaves.columns if c not in (group, "leaf", "path", "subroot", "root")]
     kept = F.struct(*[F.col(f"`{c}`") for c in given]).alias("kept") if given else F.struct(F.lit(0).alias("none")).alias("kept")
     keyed = leaves.select(F.coalesce(F.concat(F.lit("="), F.col(f"`{group}`")), F.lit("")).alias("g"), *[F.col(f"`{c}`").alias(f"o{k}") for k, c in enumerate(order)], F.col("leaf").alias("h"), kept)
-    levels = _tree(ranked(keyed, [*[f"o{k}" for k in range(len(order))], "h"]).drop(*[f"o{k}" for k in range(len(order))]))
+    keyed = materialize(keyed, "manifest-leaves")  # what the leaves were made from is read once, though a sort by range reads twice
+    levels = _tree(ranked(keyed, [*[f"o{k}" for k in range(len(order))], "h"], FANOUT**high).drop(*[f"o{k}" for k in range(len(order))]), high)
     subroots = levels[-1].select(F.lit("").alias("g"), F.col("g").alias("of"), "h")
-    over = _tree(materialize(ranked(subroots, ["of"]), "manifest-groups", narrow=True))
+    over = _tree(materialize(ranked(subroots, ["of"], FANOUT**high), "manifest-groups", narrow=True), high)
     roots = over[-1].select("g", "i", F.array().cast("array<string>").alias("path"), F.lit("").alias("subroot"), F.col("h").alias("root"))
-    tops = _paths(over, roots).select(F.col("of").alias("g"), F.lit(0).cast("long").alias("i"), "path", F.col("h").alias("subroot"), "root")
-    found = _paths(levels, materialize(tops, "manifest-tops", narrow=True))
+    tops = _paths(over, roots, high).select(F.col("of").alias("g"), F.lit(0).cast("long").alias("i"), "path", F.col("h").alias("subroot"), "root")
+    found = _paths(levels, materialize(tops, "manifest-tops", narrow=True), high)
     own = F.when(F.col("g") != "", F.expr("substring(g, 2)")).alias(group)
     return found.select(own, F.col("h").alias("leaf"), *[F.col("kept")[c].alias(c) for c in given], "path", "subroot", "root")
 
