@@ -64,6 +64,6 @@ class Config:
     master: str = "Master"
     #: Score the transformed values instead of the original ones.
     use_transformed: bool = False
-    #: Cross joins of more row pairs than this are refused, and so are blocks that together give more.
+    #: Cross joins of more row pairs than this are refused (fuzzy matches without a filter column need none), and so are blocks that together give more.
     max_cross_pairs: int = 50_000_000
     max_pairs: int = 10**12

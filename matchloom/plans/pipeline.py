@@ -71,7 +71,7 @@ def match_rows(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tup
         if config.use_transformed:
             pairs_ = [(f"{e}__TRANSFORMED" if f"{e}__TRANSFORMED" in rows.columns else e, m, f) for e, m, f in pairs_]
         if embedder is None:
-            parts.append(rowmatch.match_fuzzy(rows, master, pairs_, name, config.thresholds.fuzzy_similarity, config.master, config.max_cross_pairs, config.max_pairs))
+            parts.append(rowmatch.match_fuzzy(rows, master, pairs_, name, config.thresholds.fuzzy_similarity, config.master, config.max_cross_pairs, config.max_pairs, index=True))
         else:
             parts.append(rowmatch.match_embedded(rows, master, pairs_, name, embedder, config.thresholds.embedding_top_n, config.master, config.max_cross_pairs))
     return rowmatch.union_matches(parts, datasets[config.master].sparkSession)

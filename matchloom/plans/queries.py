@@ -382,6 +382,26 @@ def fuzzy_match_rows(spark, sf_dir):
     return rowmatch.match_fuzzy(e, m, _MAPPING, "supplier", 60, "customer").withColumn("avg_similarity", F.round("avg_similarity", 4)).drop("similarity")
 
 
+_NAMES_SQL = f"""WITH RECURSIVE e AS (SELECT vendor_id AS enrichment_row_index, name, CASE WHEN vendor_id % 7 <> 0 THEN nation_id::VARCHAR END AS nation FROM vendors),
+m AS (SELECT row_number() OVER (ORDER BY client_id, source, updated_at, name) AS master_row_index, name, nation_id::VARCHAR AS nation FROM clients),
+p AS (SELECT enrichment_row_index, master_row_index, e.name AS en, m.name AS mn, e.nation AS ea, m.nation AS ma FROM e, m),
+named AS (SELECT *, CASE WHEN en IS NOT NULL THEN {_norm_sql("en")} END AS x, CASE WHEN mn IS NOT NULL THEN {_norm_sql("mn")} END AS y FROM p),
+asked AS (SELECT DISTINCT x, y FROM named WHERE x IS NOT NULL AND y IS NOT NULL UNION SELECT DISTINCT ea, ma FROM named WHERE ea IS NOT NULL AND ma IS NOT NULL),
+{_set_sql("asked")}
+SELECT enrichment_row_index, master_row_index, round(CASE WHEN s.score IS NULL THEN t.score WHEN t.score IS NULL THEN s.score ELSE (s.score + t.score) / 2 END, 4) AS avg_similarity
+FROM named n LEFT JOIN token_set s ON s.x = n.x AND s.y = n.y LEFT JOIN token_set t ON t.x = ea AND t.y = ma
+WHERE coalesce(s.score, 100) >= 75 AND coalesce(t.score, 100) >= 75 AND (s.score IS NOT NULL OR t.score IS NOT NULL)"""
+
+
+@_query(_NAMES_SQL)
+def fuzzy_match_unfiltered(spark, sf_dir):
+    """Vendors against clients by name and nation, without a filter column."""
+    e = _read(spark, sf_dir, "vendors").select(F.col("vendor_id").alias("enrichment_row_index"), "name", F.when(F.col("vendor_id") % 7 != 0, F.col("nation_id")).alias("nation"))
+    m = rowmatch.row_index(_read(spark, sf_dir, "clients").select("client_id", "source", "updated_at", "name", F.col("nation_id").alias("nation")), "master_row_index", ["client_id", "source", "updated_at", "name"])
+    found = rowmatch.match_fuzzy(e, m, [("name", "name", False), ("nation", "nation", False)], "vendors", 75, "clients", index=True)
+    return found.select("enrichment_row_index", "master_row_index", F.round("avg_similarity", 4).alias("avg_similarity"))
+
+
 _COSINE_SQL = """WITH p AS (SELECT e.vec_id AS enrichment_row_index, m.vec_id AS master_row_index, list_cosine_similarity(e.embedding::DOUBLE[], m.embedding::DOUBLE[]) AS c
   FROM embeddings e JOIN embeddings m ON e.label = m.label AND e.vec_id <> m.vec_id),
 top AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY enrichment_row_index ORDER BY round(c, 9) DESC NULLS LAST, master_row_index) <= 3)
