@@ -62,6 +62,8 @@ class Config:
     typing_sample: int | None = 1000
     transform_examples: int = 50
     master: str = "Master"
+    #: A folder, shared by runs, of what models have said and embedders have made: ``replies`` and ``vectors`` in it. None: nothing is kept.
+    store: str | None = None
     #: Score the transformed values instead of the original ones.
     use_transformed: bool = False
     #: Cross joins of more row pairs than this are refused (fuzzy matches without a filter column need none), and so are blocks that together give more.

@@ -8,6 +8,7 @@ import math
 import re
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -88,8 +89,13 @@ class PromptModel:
     settings: ModelSettings = field(default_factory=ModelSettings)
     retries: int = 3
     wait: float = 1.0
+    #: A folder that all executors reach: replies are kept there and no prompt is asked twice (``operators.replies``).
+    store: str | None = None
+    #: Calls at once of one task, and, with a store, of all tasks together.
+    threads: int = 8
+    in_flight: int = 64
 
-    def _ask(self, prompt: str) -> str:
+    def ask(self, prompt: str) -> str:
         for k in range(self.retries + 1):
             try:
                 return self.complete(prompt, self.settings) or ""
@@ -99,37 +105,56 @@ class PromptModel:
                 time.sleep(self.wait * 2**k)
         return ""
 
+    def ask_each(self, prompts: Sequence[str]) -> list[str]:
+        """The replies in order, ``threads`` calls at once."""
+        with ThreadPoolExecutor(max(1, min(self.threads, len(prompts)))) as pool:
+            return list(pool.map(self.ask, prompts))
+
     def describe(self, columns: Sequence[dict]) -> list[str]:
         """One call for each dataset."""
         by_dataset: dict[str, dict] = {}
         for c in columns:
             shown = [json_safe(v, c["data_type"]) for v in c["example_values"] or []]
             by_dataset.setdefault(c["dataset"], {})[c["column_name"]] = {"data_type": c["data_type"], "examples": shown}
-        told = {}
+        names, prompts = list(by_dataset), []
         for name, meta in by_dataset.items():
-            prompt = f"Describe in one sentence what each column of the dataset {name} holds. Reply with one JSON object, from column name to description.\n{json.dumps(meta, ensure_ascii=False)}"
-            told[name] = parse_object(self._ask(prompt))
+            prompts.append(f"Describe in one sentence what each column of the dataset {name} holds. Reply with one JSON object, from column name to description.\n{json.dumps(meta, ensure_ascii=False)}")
+        told = {name: parse_object(reply) for name, reply in zip(names, self.ask_each(prompts), strict=True)}
         return [str(told[c["dataset"]].get(c["column_name"]) or UNDESCRIBED) for c in columns]
 
-    def judge_columns(self, pairs: Sequence[dict]) -> list[tuple[str, str]]:
+    def column_prompts(self, pairs: Sequence[dict]) -> list[str]:
         out = []
         for p in pairs:
             sides = {s: {k: p.get(f"{s}_{k}") for k in ("dataset", "column", "description", "data_type")} | {"examples": list(p.get(f"{s}_example_values") if p.get(f"{s}_example_values") is not None else [])} for s in ("master", "enrichment")}
-            prompt = f'Do these two columns hold the same thing? Reply with a JSON object: {{"decision": "Yes" or "No", "justification": one line}}.\n{json.dumps(sides, ensure_ascii=False, default=str)}'
-            decision, reason = parse_judgement(self._ask(prompt))
-            out.append(("Yes" if decision == "Yes" else "No", reason))
+            out.append(f'Do these two columns hold the same thing? Reply with a JSON object: {{"decision": "Yes" or "No", "justification": one line}}.\n{json.dumps(sides, ensure_ascii=False, default=str)}')
         return out
 
+    def column_answers(self, pairs: Sequence[dict], replies: Sequence[str]) -> list[tuple[str, str]]:
+        found = [parse_judgement(r) for r in replies]
+        return [("Yes" if decision == "Yes" else "No", reason) for decision, reason in found]
+
+    def judge_columns(self, pairs: Sequence[dict]) -> list[tuple[str, str]]:
+        return self.column_answers(pairs, self.ask_each(self.column_prompts(pairs)))
+
+    def translate_prompts(self, values: Sequence[str]) -> list[str]:
+        return [f"Translate this value into English. Reply with the translation alone.\n{v}" for v in values]
+
+    def translate_answers(self, values: Sequence[str], replies: Sequence[str]) -> list[str]:
+        return [strip_fence(r).strip() or v for v, r in zip(values, replies, strict=True)]
+
     def translate(self, values: Sequence[str]) -> list[str]:
-        return [strip_fence(self._ask(f"Translate this value into English. Reply with the translation alone.\n{v}")).strip() or v for v in values]
+        return self.translate_answers(values, self.ask_each(self.translate_prompts(values)))
 
-    def judge_rows(self, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    def row_prompts(self, pairs: Sequence[tuple[str, str]]) -> list[str]:
         ask = 'Do these two records name the same entity? Reply with a JSON object: {{"decision": "Yes", "No" or "Maybe", "justification": one line}}.\nA: {}\nB: {}'
-        return [parse_judgement(self._ask(ask.format(a, b))) for a, b in pairs]
+        return [ask.format(a, b) for a, b in pairs]
+
+    def judge_rows(self, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+        return [parse_judgement(r) for r in self.ask_each(self.row_prompts(pairs))]
 
     def choose_transform(self, enrichment: Sequence[str], master: Sequence[str], hits: dict[str, int]) -> str:
         prompt = f"Which transform makes values of the first list look like those of the second? Reply with one name of: {', '.join(hits)}.\n{json.dumps([list(enrichment), list(master)], ensure_ascii=False)}"
-        words = re.findall(r"[a-z0-9_]+", strip_fence(self._ask(prompt)).lower())
+        words = re.findall(r"[a-z0-9_]+", strip_fence(self.ask(prompt)).lower())
         return next((w for w in words if w in hits), "identity")
 
 
@@ -166,9 +191,9 @@ class OfflineModel:
         return max(hits, key=lambda name: (hits[name], -list(hits).index(name)))
 
 
-def connect(settings: ModelSettings, complete: Callable[[str, ModelSettings], str] | None = None, dictionary: dict[str, str] | None = None) -> LanguageModel:
-    """The client of a run: a model behind ``complete``, called with these settings, or the offline rules."""
-    return PromptModel(complete, settings) if complete else OfflineModel(dictionary or {})
+def connect(settings: ModelSettings, complete: Callable[[str, ModelSettings], str] | None = None, dictionary: dict[str, str] | None = None, store: str | None = None) -> LanguageModel:
+    """The client of a run: a model behind ``complete``, called with these settings and its replies kept in ``store`` if one is named, or the offline rules."""
+    return PromptModel(complete, settings, store=store) if complete else OfflineModel(dictionary or {})
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.config import Adjudication
-from matchloom.functions.clients import LanguageModel
+from matchloom.functions.clients import LanguageModel, PromptModel, parse_judgement
+from matchloom.operators.replies import through_store
 
 #: The reasons given where no model was asked.
 BY_THRESHOLD = "LLM not called; backup threshold used"
@@ -34,7 +35,11 @@ def route(matches: DataFrame, settings: Adjudication, top_n: int, ties: Sequence
 
 
 def judge(matches: DataFrame, client: LanguageModel) -> DataFrame:
-    """The model's decision and reason from both evidences; batches on the executors, equal pairs of a batch asked once."""
+    """The model's decision and reason from both evidences; batches on the executors, equal pairs of a batch asked once, of all rows and runs if the client has a store."""
+    names = ["final_llm_decision", "final_llm_justification"]
+    if isinstance(client, PromptModel) and client.store:
+        both = lambda rows: [(r["enrichment_evidence"] or "", r["master_evidence"] or "") for r in rows]
+        return through_store(matches, client, lambda rows: client.row_prompts(both(rows)), lambda rows, replies: [parse_judgement(r) for r in replies], names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -44,7 +49,7 @@ def judge(matches: DataFrame, client: LanguageModel) -> DataFrame:
                 known = dict(zip(different, client.judge_rows(different), strict=True))
                 yield batch.assign(final_llm_decision=[known[p][0] for p in pairs], final_llm_justification=[known[p][1] for p in pairs])
 
-    more = [T.StructField(c, T.StringType()) for c in ("final_llm_decision", "final_llm_justification")]
+    more = [T.StructField(c, T.StringType()) for c in names]
     return matches.mapInPandas(run, T.StructType([*matches.schema.fields, *more]))
 
 

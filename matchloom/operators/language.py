@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.functions.clients import Embedder, LanguageModel
+from matchloom.functions.clients import Embedder, LanguageModel, PromptModel
 from matchloom.functions.english import probability
 from matchloom.functions.similarity import fuzzy_ratio, fuzzy_token_set_ratio, fuzzy_token_sort_ratio
 from matchloom.functions.text import ASCII_TEXT, is_ascii_text, quote
+from matchloom.operators.replies import kept_vectors, through_store
 from matchloom.schemas import EMBEDDING_LOOKUP
 from matchloom.sources.intermediate import materialize
 
@@ -78,8 +79,15 @@ def _batched(values: DataFrame, kind: str, call: Callable[[list[str]], list]) ->
 
 
 def translate_column(df: DataFrame, column: str, client: LanguageModel, detector: Callable[[str], float] | None = probability) -> DataFrame:
-    """Replaces the values that aren't English by their translation; each different one is translated once."""
-    out = on_distinct(df, column, lambda v: _batched(v, "string", client.translate), ~is_english(F.col("value"), detector))
+    """Replaces the values that aren't English by their translation; each different one is translated once, and once for all runs by a client with a store."""
+
+    def translated(values: DataFrame) -> DataFrame:
+        if not isinstance(client, PromptModel) or not client.store:
+            return _batched(values, "string", client.translate)
+        own = lambda rows: [r["value"] for r in rows]
+        return through_store(values, client, lambda rows: client.translate_prompts(own(rows)), lambda rows, replies: [(x,) for x in client.translate_answers(own(rows), replies)], ["result"])
+
+    out = on_distinct(df, column, translated, ~is_english(F.col("value"), detector))
     return out.withColumn(column, F.coalesce("result", F.col(quote(column)).cast("string"))).drop("result")
 
 
@@ -88,8 +96,14 @@ def embed_values(values: DataFrame, embedder: Embedder) -> DataFrame:
     return _batched(values, "array<float>", embedder.embed)
 
 
-def embedding_lookup(values: DataFrame, embedder: Embedder) -> DataFrame:
-    """norm and emb of each different non-null ``value``, written once: whatever reads the vectors later, a value is embedded once."""
+def embedding_lookup(values: DataFrame, embedder: Embedder, store: str | None = None) -> DataFrame:
+    """norm and emb of each different non-null ``value``, written once: whatever reads the vectors later, a value is embedded once.
+
+    With a ``store``, a folder of vectors by model and text that runs share, only values that no run has embedded yet are embedded.
+    """
+    if store:
+        kept = kept_vectors(values, embedder, store, embed_values)
+        return materialize(kept.select(F.col("value").alias("norm"), F.col("vector").alias("emb")), "embeddings")
     different = values.where(F.col("value").isNotNull()).select("value").distinct()
     found = embed_values(different, embedder).select(F.col("value").alias("norm"), F.col("result").cast("array<float>").alias("emb"))
     return materialize(found.select(*[f.name for f in EMBEDDING_LOOKUP.fields]), "embeddings")
@@ -142,7 +156,9 @@ def describe_columns(metadata: DataFrame, client: LanguageModel) -> DataFrame:
 
 
 def judge_column_pairs(features: DataFrame, client: LanguageModel) -> DataFrame:
-    """Adds decision (Yes or No) and justification to each pair."""
+    """Adds decision (Yes or No) and justification to each pair; a client with a store is asked nothing twice."""
+    if isinstance(client, PromptModel) and client.store:
+        return through_store(features, client, client.column_prompts, client.column_answers, ["decision", "justification"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -73,7 +73,7 @@ def match_rows(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tup
         if embedder is None:
             parts.append(rowmatch.match_fuzzy(rows, master, pairs_, name, config.thresholds.fuzzy_similarity, config.master, config.max_cross_pairs, config.max_pairs, index=True))
         else:
-            parts.append(rowmatch.match_embedded(rows, master, pairs_, name, embedder, config.thresholds.embedding_top_n, config.master, config.max_cross_pairs))
+            parts.append(rowmatch.match_embedded(rows, master, pairs_, name, embedder, config.thresholds.embedding_top_n, config.master, config.max_cross_pairs, config.store and f"{config.store}/vectors"))
     return rowmatch.union_matches(parts, datasets[config.master].sparkSession)
 
 
@@ -84,7 +84,7 @@ def resolve(datasets: Mapping[str, DataFrame], config: Config | None = None, cli
     once, however often the result is read. ``keep`` gets the tables between the steps by name.
     """
     config = config or Config()
-    client = client or connect(config.models, complete)
+    client = client or connect(config.models, complete, store=config.store and f"{config.store}/replies")
     found = materialize(align_columns(datasets, config, client, keep=keep), "column-matches")
     mapping = select.column_map(found, config.thresholds.overlap_percent)
     prepared = prepare_values(datasets, mapping, config, client, detector)
