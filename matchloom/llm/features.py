@@ -21,7 +21,7 @@ WIDTHS, FINER = tuple(range(40, 18, -2)), tuple(range(18, -1, -2))
 #: Rows of a task that answers asks, on average.
 TASK = 100_000
 #: Cells that one prefix maximum runs over, in bits.
-RUN = 10
+RUN = 12
 LEAST, MOST = -(1 << 62), 1 << 62
 #: Added to times, so that numbers of cells aren't negative.
 BEFORE = 1 << 61
@@ -60,7 +60,8 @@ def _reach(ends: DataFrame) -> DataFrame:
     for k in range(levels):
         run = W.partitionBy(*of, F.shiftright("cell", RUN)).orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
         before = level.select(*of, F.col("cell").alias("block"), F.max("u").over(run).alias("u")).where("u IS NOT NULL")
-        found.append(ends.select(*of, "cell", F.shiftright("cell", RUN * k).alias("block")).join(before, [*of, "block"]).select(*of, "cell", "u"))
+        own = ends.select(*of, "cell", F.shiftright("cell", RUN * k).alias("block"))
+        found.append(before.withColumnRenamed("block", "cell") if k == 0 else own.join(before, [*of, "block"]).select(*of, "cell", "u"))
         level = level.groupBy(*of, F.shiftright("cell", RUN).alias("cell")).agg(F.max("u").alias("u"))
     return reduce(DataFrame.unionByName, found).groupBy(*of, "cell").agg(F.max("u").alias("u"))
 
@@ -172,24 +173,25 @@ def dominance(intervals: DataFrame, asks: DataFrame, kinds: int, latest: Sequenc
     asks = materialize(asks.where("key IS NOT NULL AND t IS NOT NULL").select("key", "id", "t"), "pit-asks")
     counts = events.select("key").unionAll(asks.select("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     full = materialize(counts.where(F.col("n") > capacity).select("key", F.lit(True).alias("full")), "pit-full", narrow=True)
+    # every row passes both joins, whatever its key: what is full is told apart by what is written
     events, asks = (materialize(df.join(full, "key", "left").withColumn("full", F.coalesce("full", F.lit(False))), "pit-marked") for df in (events, asks))
-    together = events.where("full").groupBy("key", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n"), F.sum("flag").alias("flag"), F.sum("cents").alias("cents"), F.max("id").alias("id"))
-    together = materialize(together, "pit-together")
-    widths = _widths(together.select("key", "x").unionAll(asks.where("full").select("key", F.col("t").alias("x"))), capacity)
-    no_width = F.lit(None).cast("int").alias("w")
-    apart = events.where("NOT full").select("key", no_width, "kind", "x", "u", long(1).alias("n"), "flag", "cents", "id")
-    placed = together.join(widths, "key")
+    starts = events.where("full").select("key", "kind", "x", "u").distinct().select("key", "x")
+    widths = _widths(starts.unionAll(asks.where("full").select("key", F.col("t").alias("x"))), capacity)
+    events, asks = (materialize(df.drop("full").join(widths, "key", "left"), "pit-placed") for df in (events, asks))
+    cold, hot = "w IS NULL", "w IS NOT NULL"
+    apart = events.where(cold).select("key", "w", "kind", "x", "u", long(1).alias("n"), "flag", "cents", "id")
+    placed = events.where(hot).groupBy("key", "w", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n"), F.sum("flag").alias("flag"), F.sum("cents").alias("cents"), F.max("id").alias("id"))
     if distinct:
         to = F.create_map(*[F.lit(v) for pair in distinct.items() for v in pair])
         covers = events.where(F.col("kind").isin(*distinct) & F.col("item").isNotNull()).withColumn("kind", to[F.col("kind")])
-        longest = covers.where("full").groupBy("key", "kind", "item", "u").agg(F.min("x").alias("x")).join(widths, "key")
-        pieces = materialize(coalesced(covers.where("NOT full").select("key", no_width, "kind", "item", "x", "u").unionByName(longest)), "pit-pieces")
+        longest = covers.where(hot).groupBy("key", "w", "kind", "item", "u").agg(F.min("x").alias("x"))
+        pieces = materialize(coalesced(covers.where(cold).select("key", "w", "kind", "item", "x", "u").unionByName(longest)), "pit-pieces")
         plain = {"flag": long(0), "cents": long(0), "id": F.lit(None).cast("long")}
-        apart = apart.unionByName(pieces.where("w IS NULL").withColumns({"n": long(1), **plain}))
-        placed = placed.unionByName(pieces.where("w IS NOT NULL").groupBy("key", "w", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n")).withColumns(plain))
-    placed = materialize(placed, "pit-placed")
-    placed_asks = asks.join(widths, "key", "left").withColumn("cell", _cell("t"))
-    base = _rounds(placed, materialize(placed_asks.where("full").select("key", "cell").distinct(), "pit-asked", narrow=True))
+        apart = apart.unionByName(pieces.where(cold).withColumns({"n": long(1), **plain}))
+        placed = placed.unionByName(pieces.where(hot).groupBy("key", "w", "kind", "x", "u").agg(F.count(F.lit(1)).alias("n")).withColumns(plain))
+    placed = materialize(placed, "pit-full-events")
+    placed_asks = asks.withColumn("cell", _cell("t"))
+    base = _rounds(placed, materialize(placed_asks.where(hot).select("key", "cell").distinct(), "pit-asked", narrow=True))
 
     both = F.when(_cell("x") < _cell("u"), F.array(_cell("x"), _cell("u"))).otherwise(F.array(_cell("x")))
     none = F.lit(None).cast("long")
