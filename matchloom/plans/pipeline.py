@@ -100,17 +100,20 @@ def resolve(datasets: Mapping[str, DataFrame], config: Config | None = None, cli
     return judged
 
 
-def resolve_to_tables(datasets: Mapping[str, DataFrame], database: str | None = None, config: Config | None = None, **options) -> dict[str, DataFrame]:
+def resolve_to_tables(datasets: Mapping[str, DataFrame], database: str | None = None, config: Config | None = None, counts: dict[str, int] | None = None, **options) -> dict[str, DataFrame]:
     """``resolve`` with a table for each step, in ``database`` or the current one, overwritten, and one of the pairs that are judged Yes.
 
-    What is written in between is deleted at the end. Options are those of ``resolve``.
+    What is written in between is deleted at the end. ``counts`` gets the rows of each table, observed while it is written. Options are those of ``resolve``.
     """
     spark = next(iter(datasets.values())).sparkSession
     home = namespace(database, spark.catalog.currentDatabase())
     out: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> None:
-        out[name] = save(df, f"{quote(home)}.{quote(name)}")
+        written: dict[str, int] = {}
+        out[name] = save(df, f"{quote(home)}.{quote(name)}", counts=written)
+        if counts is not None:
+            counts[name] = next(iter(written.values()))
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(home)}")
     with scratch():

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.functions.text import quote, safe_name
+from matchloom.sources.intermediate import materialize, scratch
 
 Datasets = Mapping[str, DataFrame]
 
@@ -50,19 +54,80 @@ def load_into(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def save(df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
-    """Writes a table and returns it as read back: lineage ends there."""
-    df.write.mode(mode).saveAsTable(table)
+def save(df: DataFrame, table: str, mode: str = "overwrite", counts: dict[str, int] | None = None) -> DataFrame:
+    """Writes a table and returns it as read back: lineage ends there. ``counts`` gets the rows written by table name, observed as they are written: no second pass."""
+    seen = Observation()
+    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("n"))).write.mode(mode).saveAsTable(table)
+    if counts is not None:
+        counts[table] = seen.get["n"]
     return df.sparkSession.table(table)
 
 
+#: What a table's loads are written down in, and its rejected rows.
+LOADS = "file string, bytes long, modified timestamp, loaded_at timestamp, rows long, rejected long"
+REJECTED = "file string, line long, record string, loaded_at timestamp"
+_BAD, _FILE = "_bad_record", "_from_file"
+
+
+def _same_file(path: Column) -> Column:
+    """A file's path without the slashes by which readers write it differently."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def load_files(spark: SparkSession, path: str, schema: T.StructType, table: str) -> dict[str, int]:
+    """Appends the CSV files of ``path`` (a file, folder or pattern) to a table, each file once, and returns files, rows and rejected of this load.
+
+    Columns are found by name in each file's header, whatever their order and case; those that a file lacks are null, others are left out.
+    ``<table>__loads`` has a row for each loaded file: one of the same path, size and time isn't loaded again, a changed one is, and adds
+    its rows. Records of another number of values than the header, or with a value that its type doesn't take, go to ``<table>__rejected`` with
+    their file and line. A record is one line. The loads are written last: a run that fails before leaves a file to be loaded again.
+    """
+    loads, rejected = f"{table}__loads", f"{table}__rejected"
+    for name, kind in ((table, schema), (loads, LOADS), (rejected, REJECTED)):
+        ensure_table(spark, name, kind)
+    files = spark.read.format("binaryFile").load(path).select(_same_file(F.col("path")).alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    new = files.join(spark.table(loads), ["file", "bytes", "modified"], "left_anti").collect()  # names of files, as a reader lists them
+    if not new:
+        return {"files": 0, "rows": 0, "rejected": 0}
+    lines = spark.read.text([f.file for f in new]).select(_same_file(F.col("_metadata.file_path")).alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    by_header: dict[str, list[str]] = {}
+    for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).collect():
+        by_header.setdefault(r.header, []).append(r.file)
+    now, kinds = F.current_timestamp(), {f.name.lower(): f.dataType for f in schema.fields}
+    total = {"files": len(new), "rows": 0, "rejected": 0}
+    with scratch():
+        done = []
+        for header, group in by_header.items():
+            names = [x.strip() for x in next(csv.reader([header]))]
+            typed = T.StructType([T.StructField(x, kinds.get(x.lower(), T.StringType())) for x in names] + [T.StructField(_BAD, T.StringType())])
+            reader = spark.read.schema(typed).options(header=True, sep=",", quote='"', escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
+            rows = materialize(reader.csv(group).withColumn(_FILE, _same_file(F.col("_metadata.file_path"))), "loaded-rows")
+            done.append((rows, rows.where(F.col(_BAD).isNull()), rows.where(F.col(_BAD).isNotNull()).select(F.col(_FILE).alias("file"), F.col(_BAD).alias("record"))))
+        bad = materialize(reduce(DataFrame.unionByName, [b for _, _, b in done]), "rejected-rows")
+        tally = [r.groupBy(_FILE).agg(F.count_if(F.col(_BAD).isNull()).alias("rows"), F.count_if(F.col(_BAD).isNotNull()).alias("rejected")) for r, _, _ in done]
+        counted = materialize(reduce(DataFrame.unionByName, tally), "load-counts")
+        for _, good, _ in done:
+            load_into(good.drop(_BAD, _FILE), schema).write.mode("append").saveAsTable(table)
+        # lines are numbered in the files that have rejected records, and in no others
+        numbered = lines.join(bad.select("file").distinct(), "file", "left_semi").withColumn("line", F.row_number().over(W.partitionBy("file").orderBy("at")).cast("long"))
+        where = bad.distinct().join(numbered.where("line > 1").withColumnRenamed("value", "record"), ["file", "record"])
+        where.select("file", "line", "record", now.alias("loaded_at")).write.mode("append").saveAsTable(rejected)
+        names = spark.createDataFrame([(f.file, f.bytes, f.modified) for f in new], "file string, bytes long, modified timestamp")
+        entry = names.join(counted.withColumnRenamed(_FILE, "file"), "file", "left").select("file", "bytes", "modified", now.alias("loaded_at"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.coalesce("rejected", F.lit(0)).cast("long").alias("rejected"))
+        entry = materialize(entry, "load-entries")
+        found = entry.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")).first()
+        total |= {"rows": found["rows"], "rejected": found.rejected}
+        entry.write.mode("append").saveAsTable(loads)
+    return total
+
+
 def clone_table(spark: SparkSession, source: str, target: str, rows: bool = True) -> DataFrame:
     """A new table with the schema of another, and its rows."""
     df = spark.table(source)
     return save(df if rows else df.limit(0), target)
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
@@ -84,7 +149,7 @@ def session(name: str, databases: Sequence[str] = (), **settings: str) -> SparkS
     return spark
 
 
-def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
+def ensure_table(spark: SparkSession, table: str, schema: T.StructType | str) -> None:
     if not spark.catalog.tableExists(table):
         empty(spark, schema).write.saveAsTable(table)
 
