@@ -129,7 +129,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
     """doc_id, base (array of kind, s, e: the strong spans by start, then kind) and spans (those and the linked weak ones).
 
     Null and empty texts have no spans. Texts of any length are taken whole, in one row. Repeated rows each get their own result; weak parts
-    link only within a row. An empty table gives an empty result. Other columns, whatever their names, are left out. Only the span arrays
+    link only within a row. A host behind a user and a key is found where these have 256 characters at most. An empty table gives an empty result. Other columns, whatever their names, are left out. Only the span arrays
     are written and shuffled, never the texts.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))

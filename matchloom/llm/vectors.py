@@ -41,7 +41,7 @@ def passes_for(rows: int, window: int = WINDOW, cosine: float = COSINE, missed:
     """So many passes that a pair at just ``cosine`` shares a window in one of them, but for a share of ``missed``.
 
     Vectors stand within a window where their codes agree in the first log2(rows / window) bits; each bit agrees with the probability
-    1 - angle / pi. The number grows with the logarithm of the rows.
+    1 - angle / pi. The number grows as a power of the rows, about 0.18 at 0.93: 29 for 5e4, 53 for 1e6, 201 for 1e9.
     """
     agree = (1 - math.acos(cosine) / math.pi) ** max(1.0, math.log2(max(2.0, rows / window)))
     return max(4, math.ceil(math.log(missed) / math.log1p(-agree)))
