@@ -14,6 +14,7 @@ from matchloom.functions.text import evidence, is_ascii_text, normalize
 from matchloom.operators import adjudicate as adj
 from matchloom.operators import language, pairs, profile, quality, rowmatch, select
 from matchloom.plans import pipeline
+from matchloom.sources.intermediate import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,38 +165,47 @@ def filter_field_split(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("percent_master_in_enrichment", "percent_enrichment_in_master")})
 
 
-# Made-up features with a null, a NaN, equal names, a mismatched type with very similar descriptions, and ties.
-_FEATURES = [
-    ("Master", "A", "name", "company", "text", "text", 3.0, 0.9, 0.8, 0.7, 1.0, 60.0, 0.5, "Yes"),
-    ("Master", "A", "name", "org", "text", "text", 3.0, 0.9, 0.8, 0.7, 1.0, 60.0, 0.5, "Yes"),
-    ("Master", "A", "city", "town", "text", "text", 1.0, 0.5, 0.6, 0.9, 0.5, 20.0, 0.9, "Yes"),
-    ("Master", "A", "area", "town", "text", "text", 1.0, 0.5, 0.6, 0.9, 0.5, 20.0, 0.9, "Yes"),
-    ("Master", "A", "code", "num", "text", "numerical", 0.0, 1.0, 1.0, 0.85, 0.0, 10.0, 0.0, "Yes"),
-    ("Master", "A", "code", "year", "text", "numerical", 0.0, 1.0, 1.0, 0.5, 0.0, 10.0, 0.0, "No"),
-    ("Master", "A", "id", "id", "text", "text", 0.0, 1.0, 1.0, 1.0, 0.0, 100.0, 1.0, "Yes"),
-    ("Master", "B", "name", "firm", "text", "text", 13.0, 0.9, 0.9, 0.9, 0.1, 40.0, 0.2, "Yes"),
-    ("Master", "B", "city", "place", "text", "text", None, 0.9, 0.9, 0.9, 0.1, 40.0, 0.2, "Yes"),
-    ("Master", "B", "city", "spot", "text", "text", float("nan"), 0.9, 0.9, 0.9, 0.1, 40.0, 0.2, "Yes"),
-    ("Master", "B", "area", "zone", "text", "text", 2.0, 0.2, 0.9, 0.9, 0.1, 40.0, 0.2, "No"),
-    ("Master", "B", "area", "land", "text", "text", 2.0, 0.25, 0.25, 0.3, 2.0, 40.0, 0.2, "Yes"),
-    ("Master", "Master", "name", "title", "text", "text", 1.0, 0.9, 0.9, 0.9, 0.2, 30.0, 0.4, "Yes"),
-    ("Master", "Master", "city", "area", "text", "text", 1.0, 0.9, 0.9, 0.9, 0.2, 30.0, 0.4, "Yes"),
-]
-_FEATURE_COLUMNS = "master_dataset enrichment_dataset master_column enrichment_column master_data_type enrichment_data_type avg_length_diff master_fill_rate enrichment_fill_rate description_similarity entropy_gap fuzzy_ratio overlap_jaccard decision".split()
-
-
-def _literal(x) -> str:
-    if x is None:
-        return "NULL"
-    return f"'{x}'" if isinstance(x, str) else "'NaN'::DOUBLE" if x != x else f"{x}::DOUBLE"
-
-
-_FEATURES_SQL = "f AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in _FEATURES) + f") AS t({', '.join(_FEATURE_COLUMNS)}))"
-
-
-def _features(spark: SparkSession) -> DataFrame:
-    kinds = ["string"] * 6 + ["double"] * 7 + ["string"]
-    return spark.createDataFrame(_FEATURES, ", ".join(f"{c} {k}" for c, k in zip(_FEATURE_COLUMNS, kinds, strict=True)))
+# Columns under several names, so that pairs tie, are reduced and form synonyms; one has no value, one is of another type.
+ALIASED = {
+    "customer": {"name": "c_name", "title": "c_name", "nation": "c_nationkey", "area": "c_nationkey", "segment": "c_mktsegment", "code": "c_custkey"},
+    "supplier": {"company": "s_name", "nation": "s_nationkey", "place": "s_nationkey", "number": "s_suppkey", "none": "CAST(NULL AS STRING)"},
+    "orders": {"buyer": "o_custkey", "payer": "CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END", "zone": "o_custkey % 30", "priority": "o_orderpriority"},
+    "part": {"size": "p_size", "width": "p_size", "label": "CASE WHEN p_partkey % 3 = 0 THEN 'BUILDING' WHEN p_partkey % 3 = 1 THEN 'none' END", "brand": "p_brand"},
+}
+#: A dataset without lengths: not a number stands for a feature that couldn't be worked out.
+_ODD = "zone"
+
+
+def _features_sql() -> str:
+    """CTEs after which ``f`` has the features of all pairs of the columns of ALIASED; the share of common values stands for the similarity of descriptions."""
+    return f"""v AS ({_long_sql(ALIASED)}),
+d AS (SELECT DISTINCT dataset, column_name, value FROM v),
+z AS (SELECT dataset, column_name, count(value)::DOUBLE / count(*) AS fill, CASE WHEN count(value) > 0 THEN entropy(value) END AS ent,
+  CASE WHEN count(value) = 0 THEN 'unknown' WHEN count(try_cast(value AS DOUBLE)) = count(value) THEN 'numerical' ELSE 'text' END AS kind FROM v GROUP BY ALL),
+n AS (SELECT dataset, column_name, avg(length(value)) AS len, count(value) AS n FROM d GROUP BY ALL),
+a AS (SELECT * FROM z JOIN n USING (dataset, column_name)),
+b AS (SELECT x.column_name AS mc, y.dataset AS ed, y.column_name AS ec, count(*) AS n FROM d x JOIN d y ON x.value = y.value WHERE x.dataset = 'customer' GROUP BY ALL),
+g AS (SELECT 'customer' AS master_dataset, y.dataset AS enrichment_dataset, x.column_name AS master_column, y.column_name AS enrichment_column, x.kind AS master_data_type, y.kind AS enrichment_data_type,
+  CASE WHEN y.column_name = '{_ODD}' THEN 'NaN'::DOUBLE ELSE round(abs(x.len - y.len), 6) END AS avg_length_diff, round(x.fill, 6) AS master_fill_rate, round(y.fill, 6) AS enrichment_fill_rate, round(abs(x.ent - y.ent), 6) AS entropy_gap,
+  coalesce(b.n, 0) AS n_both, x.n AS n_m, y.n AS n_e FROM a x CROSS JOIN a y LEFT JOIN b ON mc = x.column_name AND ed = y.dataset AND ec = y.column_name WHERE x.dataset = 'customer'),
+f AS (SELECT * EXCLUDE (n_both, n_m, n_e), round(coalesce(n_both::DOUBLE / nullif(n_m + n_e - n_both, 0), 0), 6) AS overlap_jaccard, round(coalesce(n_both::DOUBLE / nullif(n_m + n_e - n_both, 0), 0), 6) AS description_similarity,
+  round(coalesce(100.0 * n_both / nullif(n_m, 0), 0), 6) AS fuzzy_ratio, CASE WHEN n_both > 0 THEN 'Yes' ELSE 'No' END AS decision FROM g)"""
+
+
+_FEATURES_SQL = _features_sql()
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _datasets(spark, sf_dir, ALIASED)
+    columns, counts = profile.catalog(spark, data), materialize(profile.value_counts(data), "value-counts")
+    found = pairs.gaps(pairs.overlap(counts, "customer", pairs.column_pairs(columns, "customer")), profile.column_stats(counts, columns), "customer")
+    kinds = profile.detect_types(counts).select("dataset", "column_name", "data_type")
+    m = kinds.where("dataset = 'customer'").select(F.col("column_name").alias("master_column"), F.col("data_type").alias("master_data_type"))
+    e = kinds.select(F.col("dataset").alias("enrichment_dataset"), F.col("column_name").alias("enrichment_column"), F.col("data_type").alias("enrichment_data_type"))
+    found = found.join(m, "master_column").join(e, ["enrichment_dataset", "enrichment_column"])
+    six = {c: F.round(c, 6) for c in ("master_fill_rate", "enrichment_fill_rate", "entropy_gap", "overlap_jaccard")}
+    more = {"avg_length_diff": F.when(F.col("enrichment_column") == _ODD, F.lit(float("nan"))).otherwise(F.round("avg_length_diff", 6)), "description_similarity": F.round("overlap_jaccard", 6), "fuzzy_ratio": F.round(100 * F.col("overlap_master"), 6), "decision": F.when(F.col("n_both") > 0, "Yes").otherwise("No")}
+    return materialize(found.withColumns(six | more), "pair-features")
 
 
 @_query(
@@ -205,7 +215,7 @@ WHERE NOT isnan(avg_length_diff) AND avg_length_diff < 12 AND master_fill_rate >
 AND (master_data_type = enrichment_data_type OR description_similarity > 0.8) AND entropy_gap <= 2 AND master_column <> enrichment_column"""
 )
 def pair_filter(spark, sf_dir):
-    return select.filter_pairs(_features(spark)).select("master_dataset", "enrichment_dataset", "master_column", "enrichment_column")
+    return select.filter_pairs(_features(spark, sf_dir)).select("master_dataset", "enrichment_dataset", "master_column", "enrichment_column")
 
 
 def _mean_sql(name: str, weight: float) -> str:
@@ -220,7 +230,7 @@ s AS (SELECT *, {" + ".join(_mean_sql(n, w) for n, w in (("fuzzy_ratio", 25), ("
 
 @_query(_SCORE_SQL + "SELECT master_column, enrichment_dataset, enrichment_column, round(weighted_score, 6) AS weighted_score FROM s")
 def weighted_score(spark, sf_dir):
-    return select.weighted_score(_features(spark).where("decision = 'Yes'"), Weights()).select("master_column", "enrichment_dataset", "enrichment_column", F.round("weighted_score", 6).alias("weighted_score"))
+    return select.weighted_score(_features(spark, sf_dir).where("decision = 'Yes'"), Weights()).select("master_column", "enrichment_dataset", "enrichment_column", F.round("weighted_score", 6).alias("weighted_score"))
 
 
 _BEST_SQL = """, b1 AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY master_column, enrichment_dataset ORDER BY weighted_score DESC NULLS LAST, enrichment_column) = 1),
@@ -230,28 +240,28 @@ b2 AS (SELECT * FROM b1 QUALIFY row_number() OVER (PARTITION BY enrichment_datas
 
 @_query(_SCORE_SQL + _BEST_SQL + "SELECT master_column, enrichment_dataset, enrichment_column, round(weighted_score, 6) AS weighted_score FROM b2")
 def best_match_reductions(spark, sf_dir):
-    out = select.reduce_matches(select.weighted_score(_features(spark).where("decision = 'Yes'")))
+    out = select.reduce_matches(select.weighted_score(_features(spark, sf_dir).where("decision = 'Yes'")))
     return out.select("master_column", "enrichment_dataset", "enrichment_column", F.round("weighted_score", 6).alias("weighted_score"))
 
 
-_CLUSTER_SQL = """, r AS (SELECT master_column, list(enrichment_column) AS l FROM b2 WHERE enrichment_dataset = 'Master' GROUP BY ALL),
+_CLUSTER_SQL = """, r AS (SELECT master_column, list(enrichment_column) AS l FROM b2 WHERE enrichment_dataset = 'customer' GROUP BY ALL),
 c AS (SELECT b2.*, array_to_string(list_sort(list_distinct(list_append(coalesce(l, []), b2.master_column))), ', ') AS enrichment_candidates FROM b2 LEFT JOIN r USING (master_column))
 """
 
 
 @_query(_SCORE_SQL + _BEST_SQL + _CLUSTER_SQL + "SELECT master_column, enrichment_dataset, enrichment_column, enrichment_candidates FROM c")
 def synonym_clusters(spark, sf_dir):
-    best = select.reduce_matches(select.weighted_score(_features(spark).where("decision = 'Yes'")))
-    return select.synonym_clusters(best).select("master_column", "enrichment_dataset", "enrichment_column", "enrichment_candidates")
+    best = select.reduce_matches(select.weighted_score(_features(spark, sf_dir).where("decision = 'Yes'")))
+    return select.synonym_clusters(best, "customer").select("master_column", "enrichment_dataset", "enrichment_column", "enrichment_candidates")
 
 
 @_query(
-    _SCORE_SQL + _BEST_SQL + _CLUSTER_SQL + """SELECT master_column, enrichment_dataset, enrichment_column, enrichment_candidates, round(weighted_score, 6) AS weighted_score FROM c WHERE enrichment_dataset <> 'Master'
+    _SCORE_SQL + _BEST_SQL + _CLUSTER_SQL + """SELECT master_column, enrichment_dataset, enrichment_column, enrichment_candidates, round(weighted_score, 6) AS weighted_score FROM c WHERE enrichment_dataset <> 'customer'
 QUALIFY row_number() OVER (PARTITION BY enrichment_dataset, enrichment_candidates ORDER BY weighted_score DESC NULLS LAST, master_column, enrichment_column) = 1"""
 )
 def final_column_matches(spark, sf_dir):
     none = spark.createDataFrame([], "master_column string, enrichment_dataset string, enrichment_column string, overlap_master double, overlap_enrichment double")
-    out = select.column_matches(_features(spark), none)
+    out = select.column_matches(_features(spark, sf_dir), none, master="customer")
     return out.select("master_column", "enrichment_dataset", "enrichment_column", "enrichment_candidates", F.round("weighted_score", 6).alias("weighted_score"))
 
 
