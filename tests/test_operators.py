@@ -58,6 +58,15 @@ def test_row_index(spark):
     assert sorted(r.i for r in rows) == list(range(1, 1001)) and all(r.i == r.v + 1 for r in rows)
 
 
+def test_row_index_with_few_keys(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    out = rowmatch.row_index(df, "i", ["k"])
+    rows = out.collect()
+    assert sorted(r.i for r in rows) == list(range(1, 20_001)) and all((r.i <= 10_000) == (r.k == 0) for r in rows)
+    largest = max(r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    assert largest < 9_000  # two keys fill four partitions
+
+
 MAPPING = [("zone", "zone", True), ("town", "city", True), ("org", "name", False)]
 
 
