@@ -61,6 +61,8 @@ class Config:
     #: Rows of each dataset whose values show its types and examples; None: all.
     typing_sample: int | None = 1000
     transform_examples: int = 50
+    #: Steps of a composed transform, beside those that the master's values ask for; 0: transforms come from the catalogue alone.
+    transform_depth: int = 2
     master: str = "Master"
     #: A folder, shared by runs, of what models have said and embedders have made: ``replies`` and ``vectors`` in it. None: nothing is kept.
     store: str | None = None

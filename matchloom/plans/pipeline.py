@@ -10,7 +10,7 @@ from matchloom.config import Config, ModelSettings
 from matchloom.functions.clients import Embedder, HashedNgrams, LanguageModel, connect
 from matchloom.functions.english import probability
 from matchloom.functions.text import quote
-from matchloom.operators import adjudicate, language, pairs, profile, rowmatch, select
+from matchloom.operators import adjudicate, language, pairs, profile, rowmatch, select, transforms
 from matchloom.schemas import CLASSIFIED_PAIRS, COLUMN_MATCHES, JUDGED_MATCHES, METADATA, PAIR_FEATURES, ROW_MATCHES
 from matchloom.sources.intermediate import materialize, scratch
 from matchloom.sources.tables import load_into, namespace, save, with_decision
@@ -36,7 +36,8 @@ def align_columns(datasets: Mapping[str, DataFrame], config: Config | None = Non
 
 
 def prepare_values(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list[tuple[str, str, bool]]], config: Config, client: LanguageModel, detector: Callable[[str], float] | None = probability) -> dict[str, DataFrame]:
-    """Translates the mapped columns and adds the transformed ones; the client chooses the transform of a column by both sides' frequent values.
+    """Translates the mapped columns and adds the transformed ones; the client chooses the transform of a column by both sides' frequent values,
+    from the catalogue and the best program that ``find_transforms`` composes (none with a ``transform_depth`` of 0).
 
     A dataset is written once its columns are translated: nothing later asks the model again. The master's values are counted once for all.
     """
@@ -44,20 +45,27 @@ def prepare_values(datasets: Mapping[str, DataFrame], mapping: Mapping[str, list
     masters = sorted({p[1] for pairs_ in mapping.values() for p in pairs_})
     if not masters:
         return out
-    known = materialize(profile.top_values(profile.value_counts({"m": datasets[config.master].select(*[quote(c) for c in masters])}), config.transform_examples), "master-values")
+    every = materialize(profile.value_counts({"m": datasets[config.master].select(*[quote(c) for c in masters])}), "master-values")
+    known = materialize(profile.top_values(every, config.transform_examples), "master-frequent-values")
     for name, pairs_ in mapping.items():
         for column in dict.fromkeys(p[0] for p in pairs_):
             out[name] = language.translate_column(out[name], column, client, detector)
         out[name] = materialize(out[name], "translated")
         own = profile.value_counts({"e": out[name].select(*[quote(c) for c in dict.fromkeys(p[0] for p in pairs_)])})
         seen = materialize(profile.top_values(own, config.transform_examples).unionByName(known), "frequent-values")
-        hits = language.transform_hits(seen, [(e, m) for e, m, _ in pairs_])
+        wanted = [(e, m) for e, m, _ in pairs_]
+        hits, programs = language.transform_hits(seen, wanted), {}
+        if config.transform_depth:
+            for r in transforms.find_transforms(seen, every, wanted, config.transform_depth).collect():  # one for each mapped pair
+                programs[r.e_column, transforms.label(r.program)] = r.program
+                hits[r.e_column, r.m_column][transforms.label(r.program)] = r.n_found
         top: dict[tuple[str, str], list[str]] = {}
         for r in seen.orderBy("rank").collect():  # at most 50 values for each mapped column
             top.setdefault((r.dataset, r.column_name), []).append(r.value)
         for (column, master_column), n in hits.items():
             chosen = client.choose_transform(top.get(("e", column), []), top.get(("m", master_column), []), n)
-            out[name] = language.transform_column(out[name], column, chosen)
+            program = programs.get((column, chosen)) if chosen not in language.TRANSFORMS else None
+            out[name] = transforms.transform_by(out[name], column, program) if program else language.transform_column(out[name], column, chosen)
     return out
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from matchloom.functions import similarity as sim
 from matchloom.functions.clients import CharacterCounts, HashedNgrams, OfflineModel
 from matchloom.functions.text import evidence, is_ascii_text, normalize
 from matchloom.operators import adjudicate as adj
-from matchloom.operators import language, pairs, profile, quality, rowmatch, select
+from matchloom.operators import language, pairs, profile, quality, rowmatch, select, transforms
 from matchloom.plans import pipeline
 from matchloom.sources.intermediate import materialize
 
@@ -531,6 +532,59 @@ def transform_domain(spark, sf_dir):
     return language.transform_column(_read(spark, sf_dir, "pages").select("page_id", "url"), "url", "domain").select("page_id", F.col("url__TRANSFORMED").alias("domain"))
 
 
+# Pairs of columns that a transform relates, and in SQL the transform that is to be found: its program, and its expression over x.
+_RELATED = {
+    "clients": {"client_id": "client_id", "email": "email", "surname": "lower(split_part(name, ' ', -1))"},
+    "customer": {"c_name": "c_name"},
+    "documents": {"lang": "lang"},
+    "items": {"brand": "brand"},
+    "orders": {"o_custkey": "o_custkey"},
+    "pages": {"url": "url"},
+    "part": {"p_brand": "p_brand"},
+    "supplier": {"s_name": "s_name"},
+    "vendors": {"vendor_id": "vendor_id"},
+}
+_DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
+_PADDED = "CASE WHEN length(x) < 9 THEN lpad(x, 9, '0') ELSE x END"
+_PROGRAMS = {
+    ("customer.c_name", "orders.o_custkey"): ("digits|no_leading_zeros", f"regexp_replace({_DIGITS}, '^0+(.)', '\\1')"),
+    ("supplier.s_name", "vendors.vendor_id"): ("digits|no_leading_zeros", f"regexp_replace({_DIGITS}, '^0+(.)', '\\1')"),
+    ("clients.client_id", "customer.c_name"): ("pad:9|prefix:Customer#", f"'Customer#' || {_PADDED}"),
+    ("vendors.vendor_id", "supplier.s_name"): ("pad:9|prefix:Supplier#", f"'Supplier#' || {_PADDED}"),
+    ("items.brand", "part.p_brand"): ("digits|prefix:Brand#", f"CASE WHEN {_DIGITS} = '' THEN '' ELSE 'Brand#' || {_DIGITS} END"),
+    ("part.p_brand", "items.brand"): ("digits|prefix:B", f"CASE WHEN {_DIGITS} = '' THEN '' ELSE 'B' || {_DIGITS} END"),
+    ("clients.email", "clients.surname"): ("first_by_at|letters", "regexp_replace(trim(split_part(x, '@', 1)), '[^\\p{L}]', '', 'g')"),
+    ("pages.url", "documents.lang"): ("fourth_by_slash", "trim(split_part(x, '/', 4))"),
+}
+
+
+def _programs_sql() -> str:
+    each = []
+    for (e, m), (program, expression) in _PROGRAMS.items():
+        values = {k: f"SELECT value AS x FROM v WHERE dataset = '{k.split('.')[0]}' AND column_name = '{k.split('.')[1]}' AND value IS NOT NULL" for k in (e, m)}
+        each.append(f"SELECT '{e}' AS enrichment_column, '{m}' AS master_column, '{program}' AS program, count(*) AS n_rows, count(CASE WHEN t IN ({values[m]}) THEN 1 END) AS n_found, count(DISTINCT t) AS n_values FROM (SELECT {expression} AS t FROM ({values[e]}))")
+    return f"WITH v AS ({_long_sql(_RELATED)}) " + " UNION ALL ".join(each)
+
+
+@_query(_programs_sql())
+def found_transforms(spark, sf_dir):
+    """The transforms that relate columns of the tables, found from frequent values, and over all rows how many values they turn into one of the master's."""
+    counts = materialize(profile.value_counts(_datasets(spark, sf_dir, _RELATED)), "value-counts")
+    name = F.concat_ws(".", "dataset", "column_name")
+    both = F.explode(F.array(F.lit("e"), F.lit("m")))
+    known = counts.where("value IS NOT NULL").select(name.alias("column_name"), "value", "n")
+    found = transforms.find_transforms(profile.top_values(counts, 50).select(both.alias("dataset"), name.alias("column_name"), "value"), known, list(_PROGRAMS))
+    parts = []
+    for r in found.collect():  # one for each pair
+        rows = known.where(F.col("column_name") == r.e_column).select("n", transforms.run(r.program, F.col("value")).alias("value"))
+        there = known.where(F.col("column_name") == r.m_column).select("value", F.lit(True).alias("there"))
+        counted = rows.join(there, "value", "left").agg(F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("there"), F.col("n"))), F.lit(0)).alias("n_found"), F.count_distinct("value").alias("n_values"))
+        parts.append(counted.select(F.lit(r.e_column).alias("enrichment_column"), F.lit(r.m_column).alias("master_column"), F.lit("|".join(r.program)).alias("program"), "*"))
+    if not parts:
+        return spark.createDataFrame([], "enrichment_column string, master_column string, program string, n_rows long, n_found long, n_values long")
+    return reduce(DataFrame.unionByName, parts)
+
+
 _DESCRIBED_SQL = f"""{_counts_sql(SHARED)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY dataset, column_name ORDER BY n DESC, value) AS rank FROM counts WHERE value IS NOT NULL),
 examples AS (SELECT dataset, column_name, list(value ORDER BY rank) AS l FROM ranked WHERE rank <= 10 GROUP BY ALL),
