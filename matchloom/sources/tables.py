@@ -54,13 +54,42 @@ def load_into(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _beside(table: str, what: str) -> str:
+    return f"{table[:-1]}__{what}`" if table.endswith("`") else f"{table}__{what}"
+
+
+def _switch(spark: SparkSession, table: str, new: str) -> None:
+    """Puts a whole table in the place of another: renames, each of which leaves a state that ``_restore`` mends."""
+    last = _beside(table, "last")
+    spark.sql(f"DROP TABLE IF EXISTS {last}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {last}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {last}")
+
+
+def _restore(spark: SparkSession, table: str) -> None:
+    """After a switch that stopped half-way: the table as it was before."""
+    last = _beside(table, "last")
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(last):
+        spark.sql(f"ALTER TABLE {last} RENAME TO {table}")
+
+
 def save(df: DataFrame, table: str, mode: str = "overwrite", counts: dict[str, int] | None = None) -> DataFrame:
-    """Writes a table and returns it as read back: lineage ends there. ``counts`` gets the rows written by table name, observed as they are written: no second pass."""
-    seen = Observation()
-    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("n"))).write.mode(mode).saveAsTable(table)
+    """Writes a table and returns it as read back: lineage ends there. ``counts`` gets the rows written by table name, observed as they are written: no second pass.
+
+    A table that is there is overwritten by one written beside it, ``<table>__next``, which then takes its name: a write that fails leaves it
+    as it was, and ``df`` may read it.
+    """
+    spark, seen = df.sparkSession, Observation()
+    _restore(spark, table)
+    there = mode == "overwrite" and spark.catalog.tableExists(table)
+    target = _beside(table, "next") if there else table
+    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("n"))).write.mode(mode).saveAsTable(target)
+    if there:
+        _switch(spark, table, target)
     if counts is not None:
         counts[table] = seen.get["n"]
-    return df.sparkSession.table(table)
+    return spark.table(table)
 
 
 #: What a table's loads are written down in, and its rejected rows.
