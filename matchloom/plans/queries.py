@@ -13,7 +13,7 @@ from matchloom.functions import similarity as sim
 from matchloom.functions.clients import CharacterCounts, HashedNgrams, OfflineModel
 from matchloom.functions.text import evidence, is_ascii_text, normalize
 from matchloom.operators import adjudicate as adj
-from matchloom.operators import language, pairs, profile, quality, rowmatch, select, transforms
+from matchloom.operators import detector, language, pairs, profile, quality, rowmatch, select, transforms
 from matchloom.plans import pipeline
 from matchloom.sources.intermediate import materialize
 
@@ -280,6 +280,20 @@ def is_english_fast(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", is_ascii_text(F.col("text")).alias("is_english"))
 
 
+@_query(
+    f"""WITH l AS (SELECT lang, ('0x' || left(md5(doc_id::VARCHAR), 8))::BIGINT AS place, floor(least(0.5, {detector.SAMPLE}::DOUBLE / (SELECT count(lang) FROM documents)) * 4294967296) AS limit_ FROM documents WHERE lang IS NOT NULL)
+SELECT lang, count(*) AS n_rows, true AS accurate FROM l WHERE place >= limit_ GROUP BY lang"""
+)
+def language_accuracy(spark, sf_dir):
+    """Of each language's documents that the detector wasn't fitted on: how many there are, and whether it knows at least 95 in 100."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    share = detector.sample_share(docs, "lang")
+    fitted = detector.load_languages(materialize(detector.fit_languages(docs, "text", "lang", "doc_id", share), "languages"))
+    others = docs.where(F.col("lang").isNotNull() & ~detector.drawn(F.col("doc_id"), share))
+    right = F.count_if(F.col("lang") == detector.language_of(F.col("text"), fitted))
+    return others.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), right.alias("n_right")).select("lang", "n_rows", (F.col("n_right") >= 0.95 * F.col("n_rows")).alias("accurate"))
+
+
 _DICTIONARY = {"de": "German", "fr": "French", "es": "Spanish"}
 
 
