@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from matchloom.llm import archives, features, manifest, minhash, nearest, packing, pii, quality, secrets, sharding, suffixes, tokens, vectors
 
 REVISITS = """
@@ -26,8 +28,11 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, k.b FROM r JOIN b
 m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)
 """
-NEAR_VECTORS = """
-WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+
+
+def _near_vectors_sql(vectors: str) -> str:
+    return f"""
+WITH RECURSIVE {vectors},
 k AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
 r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a),
 m AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
@@ -36,6 +41,11 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 """
 
 
+NEAR_VECTORS = _near_vectors_sql("v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)")
+NEAR_TURNED = _near_vectors_sql("""c AS (SELECT vec_id, label, vec_id % 9 + 1 AS j, len(embedding) AS n, embedding::DOUBLE[] AS e, unnest(range(4)) AS k FROM embeddings),
+v AS (SELECT 4 * vec_id + k AS vec_id, label, list_transform(e, lambda x, i: CASE WHEN k = 1 THEN 2 * x WHEN k = 2 AND i <= j OR k = 3 AND i > n - j THEN 0 ELSE x END) AS v FROM c)""")
+
+
 def _spans_sql(kinds: dict[str, tuple[str, str]]) -> str:
     """CTEs after which ``spans`` has doc_id, kind, rank, s and e: of each kind the matches (m) of its pattern that its condition keeps."""
     text = lambda p: "'" + p.replace("'", "''") + "'"
@@ -139,6 +149,18 @@ SELECT doc_id, h AS leaf, subroot, root, sha256(p) AS proof_sha256, x AS folded_
 MANIFEST = _manifest_sql()
 
 
+def near_turned(spark, sf_dir: str):
+    """Links where there are some: each vector with a longer one of its direction and two that are turned, without its first or its last
+    components (1 to 9 of them), so that some of these link only through the vector itself and some not at all."""
+    v, j = spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 9 + 1
+    none, twice = F.lit(0).cast("float"), F.lit(2).cast("float")
+    first = F.transform("embedding", lambda x, i: F.when(i < j, none).otherwise(x))
+    last = F.transform("embedding", lambda x, i: F.when(i >= F.size("embedding") - j, none).otherwise(x))
+    copies = F.array(F.col("embedding"), F.transform("embedding", lambda x: x * twice), first, last)
+    turned = v.select("vec_id", "label", F.posexplode(copies).alias("k", "embedding")).select((4 * F.col("vec_id") + F.col("k")).alias("vec_id"), "label", "embedding")
+    return vectors.near_vectors(turned)
+
+
 def pii_base(spark, sf_dir: str):
     """What the contract fixes of op5_boosted_pii."""
     return pii.op5_boosted_pii(spark, sf_dir).drop("spans", "n_added")
@@ -169,6 +191,7 @@ def queries() -> dict:
         "op11_dimension_scan": nearest.op11_dimension_scan,
         "op12_feature_table": features.op12_feature_table,
         "op13_merkle_manifest": manifest.op13_merkle_manifest,
+        "near_turned": near_turned,
         "pii_base": pii_base,
         "secret_base": secret_base,
         "quality_base": quality_base,
@@ -176,4 +199,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "op8_revisits": REVISITS, "op12_feature_table": FEATURES, "op13_merkle_manifest": MANIFEST, "pii_base": PII_BASE, "secret_base": SECRET_BASE, "quality_base": QUALITY_BASE}
+    return {"op1_minhash": NEAR_DUPLICATES, "op2_sorted_projections": NEAR_VECTORS, "near_turned": NEAR_TURNED, "op8_revisits": REVISITS, "op12_feature_table": FEATURES, "op13_merkle_manifest": MANIFEST, "pii_base": PII_BASE, "secret_base": SECRET_BASE, "quality_base": QUALITY_BASE}
