@@ -25,6 +25,8 @@ def column_pairs(columns: DataFrame, master: str = "Master") -> DataFrame:
 def overlap(counts: DataFrame, master: str = "Master", pairs: DataFrame | None = None) -> DataFrame:
     """n_master, n_enrichment, n_both (distinct values) and the ratios overlap_master, overlap_enrichment, overlap_jaccard of each pair.
 
+    ``counts`` are of values or of their digests, and are read three times: write them first.
+
     One join on the value for all pairs: both sides hold each distinct value of a column once, so a frequent value is no hot key, and
     partial counts of pairs are made before the last shuffle. Without ``pairs``, those that share no value are left out.
     """
@@ -55,11 +57,12 @@ def gaps(pairs: DataFrame, stats: DataFrame, master: str = "Master") -> DataFram
 def pair_features(datasets: Mapping[str, DataFrame], described: DataFrame, master: str = "Master", counts: DataFrame | None = None) -> DataFrame:
     """All features of all pairs. ``described`` has dataset, column_name, data_type, example_values, description and vector (array<float>).
 
-    ``counts`` are the value counts of all cells where they are there already; else they are made here, and written once.
+    ``counts`` are the value counts of all cells, or of their digests, where they are there already; else digests are counted here, and
+    written once.
     """
     spark = next(iter(datasets.values())).sparkSession
     columns = catalog(spark, datasets)
-    counts = materialize(value_counts(datasets), "value-counts") if counts is None else counts
+    counts = materialize(value_counts(datasets, digests=True), "value-counts") if counts is None else counts
     pairs = column_pairs(columns, master)
     out = gaps(overlap(counts, master, pairs), column_stats(counts, columns), master)
     for side in SIDES:

@@ -28,23 +28,32 @@ def long_values(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def value_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """dataset, column_name, value, n. The one shuffle that all statistics share; partial counts are made before it."""
-    return long_values(datasets).groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("n"))
+def value_counts(datasets: Mapping[str, DataFrame], digests: bool = False) -> DataFrame:
+    """dataset, column_name, value, n. The one shuffle that all statistics share; partial counts are made before it.
+
+    With ``digests``, value is binary and at most 16 bytes, and its text's length beside it: texts of 16 bytes or more are their MD5, shorter
+    ones themselves, so neither is ever the other. That is all that ``column_stats`` and ``overlap`` ask for, however long the texts.
+    """
+    cells = long_values(datasets)
+    if not digests:
+        return cells.groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("n"))
+    short = F.when(F.octet_length("value") < 16, F.col("value").cast("binary")).otherwise(F.unhex(F.md5("value")))
+    return cells.select(*KEYS, short.alias("value"), F.length("value").alias("length")).groupBy(*KEYS, "value").agg(F.max("length").alias("length"), F.count(F.lit(1)).alias("n"))
 
 
 def column_stats(counts: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """n_rows, n_values, n_distinct, fill_rate, avg_length (of distinct values) and entropy (bits) of each column.
 
-    With ``columns`` (a catalog), those of empty datasets are there too, with nulls.
+    With ``columns`` (a catalog), those of empty datasets are there too, with nulls. The counts are of values or of their digests.
     """
+    length = F.col("length") if "length" in counts.columns else F.length("value")
     there = F.col("value").isNotNull()
     n = F.when(there, F.col("n"))
     stats = counts.groupBy(*KEYS).agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(n), F.lit(0)).alias("n_values"),
         F.count("value").alias("n_distinct"),
-        F.avg(F.length("value")).alias("avg_length"),
+        F.avg(length).alias("avg_length"),
         F.sum(n * F.log2(n)).alias("_weighted"),
     )
     values = F.col("n_values").cast("double")

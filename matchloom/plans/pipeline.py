@@ -43,7 +43,8 @@ def align_columns(datasets: Mapping[str, DataFrame], config: Config | None = Non
     steps = steps or Steps(next(iter(datasets.values())).sparkSession)
     inputs = inputs or _inputs(datasets, steps)
     key = steps.key("columns", sorted(inputs.items()), config.num_examples, config.typing_sample, config.models, _told(client), _told(embedder), config.master)
-    counts = steps.table("value-counts", steps.key("value-counts", sorted(inputs.items())), lambda: profile.value_counts(datasets))
+    short = bool(config.typing_sample)  # types and examples of a sample: no other step asks for the texts
+    counts = steps.table("value-counts", steps.key("value-counts", sorted(inputs.items()), short), lambda: profile.value_counts(datasets, short))
     described = steps.table("metadata", steps.key("metadata", key), lambda: language.describe_columns(profile.metadata(datasets, config.num_examples, config.typing_sample, counts), client))
 
     def featured() -> DataFrame:

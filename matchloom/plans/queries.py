@@ -67,7 +67,7 @@ def _counts_sql(columns: dict[str, dict[str, str]]) -> str:
 
 
 def _stats(spark: SparkSession, sf_dir: str, columns: dict[str, dict[str, str]] = PROFILED) -> DataFrame:
-    return profile.column_stats(profile.value_counts(_datasets(spark, sf_dir, columns)))
+    return profile.column_stats(profile.value_counts(_datasets(spark, sf_dir, columns), digests=True))
 
 
 @_query(_counts_sql(PROFILED) + " SELECT dataset, column_name, round(sum(CASE WHEN value IS NULL THEN 0 ELSE n END)::DOUBLE / sum(n), 6) AS fill_rate FROM counts GROUP BY ALL")
@@ -136,7 +136,7 @@ o AS (SELECT a.column_name AS master_column, b.dataset AS enrichment_dataset, b.
 
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _datasets(spark, sf_dir, SHARED)
-    return pairs.overlap(profile.value_counts(data), "customer", pairs.column_pairs(profile.catalog(spark, data), "customer"))
+    return pairs.overlap(materialize(profile.value_counts(data, digests=True), "value-counts"), "customer", pairs.column_pairs(profile.catalog(spark, data), "customer"))
 
 
 @_query(_OVERLAP_SQL + "SELECT master_column, enrichment_dataset, enrichment_column, n_both, round(n_both::DOUBLE / n_master, 6) AS overlap_master, round(n_both::DOUBLE / n_enrichment, 6) AS overlap_enrichment, round(n_both::DOUBLE / (n_master + n_enrichment - n_both), 6) AS overlap_jaccard FROM o")
@@ -154,7 +154,7 @@ FROM a m, a e WHERE m.dataset = 'customer'"""
 def length_diff_entropy_gap(spark, sf_dir):
     data = _datasets(spark, sf_dir, SHARED)
     every = pairs.column_pairs(profile.catalog(spark, data), "customer")
-    out = pairs.gaps(every, profile.column_stats(profile.value_counts(data)), "customer")
+    out = pairs.gaps(every, profile.column_stats(profile.value_counts(data, digests=True)), "customer")
     return out.select("master_column", "enrichment_dataset", "enrichment_column", F.round("avg_length_diff", 5).alias("avg_length_diff"), F.round("entropy_gap", 5).alias("entropy_gap"))
 
 

@@ -36,6 +36,15 @@ def test_pairs(spark, data):
     assert shares["k", "Master", "k"].overlap_jaccard == 1
 
 
+def test_digests_of_values(spark):
+    texts = ["", "a", "fifteen bytes.!", "sixteen bytes..!", "sixteen bytes..?", "é" * 8, "é" * 7, "x" * 5000, "y" * 5000, None, None, "a"]
+    some = {"Master": spark.createDataFrame([(t, "one") for t in texts], "k string, c string"), "Other": spark.createDataFrame([(t,) for t in texts[2:8]] + [("other" * 9,)], "q string"), "Empty": spark.createDataFrame([], "e string")}
+    columns, (whole, short) = profile.catalog(spark, some), (profile.value_counts(some, digests=d) for d in (False, True))
+    assert max(len(r.value) for r in short.where("value IS NOT NULL").collect()) == 16 and short.count() == whole.count()
+    for f in (lambda c: profile.column_stats(c, columns), lambda c: pairs.overlap(c), lambda c: pairs.overlap(c, "Master", pairs.column_pairs(columns))):
+        assert sorted(map(str, f(whole).collect())) == sorted(map(str, f(short).collect()))
+
+
 def test_no_cross_product_of_values(data):
     plan = pairs.overlap(profile.value_counts(data))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
