@@ -46,13 +46,14 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_words": F.size("_words").cast("long"),
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_windows": F.when(F.size("_words") > WINDOW, F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")),
+            "_hashes": F.transform("_words", lambda w: F.xxhash64(w)),
         }
     ).drop("_words", "_lines")
-    out = out.withColumn("_sorted", F.sort_array("_windows"))
-    again = F.exists(F.zip_with("_sorted", F.slice("_sorted", F.lit(2), F.greatest(F.size("_sorted") - 1, F.lit(0))), lambda a, b: a == b), lambda x: F.coalesce(x, F.lit(False)))
+    windows = F.transform(F.sequence(F.lit(1), F.size("_hashes") - (WINDOW - 1)), lambda i: F.xxhash64(*[F.get(F.col("_hashes"), i + (k - 1)) for k in range(WINDOW)]))
+    out = out.withColumn("_windows", F.when(F.size("_hashes") > WINDOW, windows).otherwise(F.array().cast("array<bigint>"))).drop("_hashes")
+    again = F.size(F.array_distinct("_windows")) < F.size("_windows")
     placed = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    out = out.withColumn("_placed", F.when(again, F.array_sort(placed)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))).drop("_sorted", "_windows")
+    out = out.withColumn("_placed", F.when(again, F.array_sort(placed)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))).drop("_windows")
     at = F.col("_placed")
     twice = F.filter(at, lambda x, j: (F.get(at, j - 1)["h"] == x["h"]) | F.coalesce(F.get(at, j + 1)["h"] == x["h"], F.lit(False)))
     out = out.withColumn("_at", F.sort_array(F.transform(twice, lambda x: x["i"]))).drop("_placed")
