@@ -1,9 +1,10 @@
-"""Near-duplicates of embeddings: passes over vectors sorted by random hyperplane codes, windows of neighbours, and verified links."""
+"""Near-duplicates of embeddings: passes over vectors in the order of random hyperplane codes, runs of that order, and verified links."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +15,16 @@ from matchloom.llm.components import connected_components
 from matchloom.llm.shared import materialize, partitions, scratch
 
 COSINE = 0.93
-WINDOW = 48
-#: Vectors whose window is compared in one task, and the least and most vectors of a block when a component is counted.
-SPAN, LEAST, BLOCK = 2048, 64, 1024
+#: Vectors of a run, which are compared with each other whole: so many at most on average over a label, and the most before a run is split,
+#: by so many more bits of the code.
+RUN, MOST, STEP = 2048, 8192, 2
+#: The least and most vectors of a block when a component is counted.
+LEAST, BLOCK = 64, 1024
 #: Share of links at just the limit that a vector may miss in all passes; vectors that may miss more are compared exactly, in blocks of CROWD.
 #: If they are more than CROWDED of a label, all of the label are: there, the codes that seem rare are just those near a plane.
 MISSED, CROWD, CROWDED = 1e-3, 4096, 0.01
-#: Passes that share one sort.
-AT_ONCE = 8
+#: Bits of a code, and passes that share one shuffle.
+BITS, AT_ONCE = 64, 8
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -37,95 +40,132 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def passes_for(rows: int, window: int = WINDOW, cosine: float = COSINE, missed: float = 1e-4) -> int:
-    """So many passes that a pair at just ``cosine`` shares a window in one of them, but for a share of ``missed``.
+def bits_for(rows: int, run: int = RUN) -> int:
+    """Bits of the code that leave ``run`` of so many vectors in a run, or fewer."""
+    return max(1, math.ceil(math.log2(max(2.0, rows / run))))
 
-    Vectors stand within a window where their codes agree in the first log2(rows / window) bits; each bit agrees with the probability
-    1 - angle / pi. The number grows as a power of the rows, about 0.18 at 0.93: 29 for 5e4, 53 for 1e6, 201 for 1e9.
+
+def passes_for(rows: int, run: int = RUN, cosine: float = COSINE, missed: float = 1e-6) -> int:
+    """So many passes that a pair at just ``cosine`` shares a run in one of them, but for a share of ``missed``.
+
+    Vectors of one label, of so many rows, are in one run where their codes agree in the first ``bits_for`` bits; each bit agrees with the
+    probability 1 - angle / pi. The number grows as a power of the rows, about 0.18 at 0.93: 16 for 3e4, 27 for 2e5, 37 for 1e6.
     """
-    agree = (1 - math.acos(cosine) / math.pi) ** max(1.0, math.log2(max(2.0, rows / window)))
+    agree = (1 - math.acos(cosine) / math.pi) ** bits_for(rows, run)
     return max(4, math.ceil(math.log(missed) / math.log1p(-agree)))
 
 
-def _codes(vectors: DataFrame, passes: range, bits: int, seed: int) -> DataFrame:
-    """Each vector once for each pass, with its code: the signs of ``bits`` random projections, most significant first."""
+def _key(label: np.ndarray, bits: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """A number for a run of a label: the first bits of the codes, and how many these are. Two runs that share one are compared as one."""
+    start = np.where(bits > 0, code >> (BITS - np.clip(bits, 1, BITS)).astype(np.uint64), np.uint64(0))
+    mixed = (start + np.uint64(0x9E3779B97F4A7C15) * bits.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9) + label.astype(np.int64).view(np.uint64) * np.uint64(0x94D049BB133111EB)
+    return (mixed ^ (mixed >> np.uint64(31))).view(np.int64)
+
+
+class _Runs:
+    """How each pass cuts the order of its codes into runs: bits by label (others: none, one run) and the runs that were too large, by pass."""
+
+    def __init__(self, bits: dict[int, int], seed: int):
+        self.bits, self.seed = bits, seed
+        self.large: dict[int, np.ndarray] = {}
+
+    def place(self, x: np.ndarray, label: np.ndarray, passes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each pass: the pass, and for each vector its run, the bits that it has, above ``BITS`` where none is small enough, and its splits."""
+        labels, at = np.unique(label, return_inverse=True)
+        first = np.array([self.bits.get(v, 0) for v in labels.tolist()], np.int64)[at]
+        for p in passes:
+            planes = np.random.default_rng((self.seed, p)).standard_normal((x.shape[1], BITS))
+            code = np.packbits(x @ planes > 0, axis=1).view(">u8").ravel().astype(np.uint64)
+            bits, large = first.copy(), self.large.get(p, np.zeros(0, np.int64))
+            key = _key(label, bits, code)
+            while len(large) and (over := np.isin(key, large) & (bits <= BITS)).any():
+                bits[over] += STEP
+                key = np.where(over, _key(label, bits, code), key)
+            yield p, key, bits, (bits - first) // STEP
+
+    def split(self, vectors: DataFrame, passes: range) -> None:
+        """Counts the runs of some passes and splits those of more than ``MOST`` until none is left; only the large ones' numbers are collected."""
+
+        def count(depth: int):
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    if batch.num_rows:
+                        for p, key, bits, splits in self.place(_unit(_rows(batch.column(1))), np.asarray(batch.column(0)), passes):
+                            keys, n = np.unique(key[(bits > 0) & (bits <= BITS) & (splits == depth)], return_counts=True)
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), p, np.int32)), pa.array(keys), pa.array(n.astype(np.int64))], names=["pass", "key", "n"])
+
+            return run
+
+        depth = 0
+        while self.bits:
+            counted = vectors.select("label", "v").mapInArrow(count(depth), "pass int, key long, n long").groupBy("pass", "key").agg(F.sum("n").alias("n"))
+            found = counted.where(F.col("n") > MOST).collect()  # at most one for MOST vectors and pass
+            if not found:
+                return
+            for p in {r["pass"] for r in found}:
+                self.large[p] = np.union1d(self.large.get(p, np.zeros(0, np.int64)), np.array([r.key for r in found if r["pass"] == p], np.int64))
+            depth += 1
+
+
+def _joined(x: np.ndarray, cosine: float) -> np.ndarray:
+    """For each unit vector the first one that it hangs together with."""
+    root = np.arange(len(x))
+    for at in range(0, len(x), 256):
+        i, j = np.nonzero(x[at : at + 256] @ x[at:].T >= cosine)
+        i, j = i + at, j + at
+        while True:
+            a, b = root[i], root[j]
+            some = a != b
+            if not some.any():
+                break
+            i, j, a, b = i[some], j[some], a[some], b[some]
+            up = np.arange(len(x))
+            np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+            while (up[up] != up).any():
+                up = up[up]
+            root = up[root]
+    return root
+
+
+def _pass_links(vectors: DataFrame, passes: range, runs: _Runs, cosine: float) -> DataFrame:
+    """Some passes: each vector goes to its run once for each pass; of a run, each vector with the least one that it hangs together with.
+
+    A label without bits is one run, so the first pass has it whole.
+    """
+    kind = dict(vectors.dtypes)["v"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _unit(_rows(batch.column(2)))
-            for p in passes:
-                planes = np.random.default_rng((seed, p)).standard_normal((x.shape[1], bits))
-                code = np.packbits(x @ planes > 0, axis=1)
-                arrays = [pa.array(np.full(len(x), p, np.int32)), batch.column(1), pa.array([c.tobytes() for c in code], pa.binary()), batch.column(0), batch.column(2)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["pass", "label", "code", "id", "v"])
-
-    return vectors.select("id", "label", "v").mapInArrow(run, f"pass int, label long, code binary, id long, v {dict(vectors.dtypes)['v']}")
-
-
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Of the edges between numbered nodes, those that join something."""
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = find(x), find(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
+            if batch.num_rows:
+                for p, key, bits, _ in runs.place(_unit(_rows(batch.column(2))), np.asarray(batch.column(1)), passes):
+                    keep = pa.array((bits <= BITS) & ((bits > 0) | (p == 0)))
+                    arrays = [pa.array(np.full(len(key), p, np.int32)), batch.column(1), pa.array(key), batch.column(0), batch.column(2)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["pass", "label", "key", "id", "v"]).filter(keep)
 
+    def join(table: pa.Table) -> pa.Table:
+        ids = np.asarray(table.column("id"))
+        order = np.argsort(ids)
+        root = _joined(_unit(_rows(table.column("v").combine_chunks())[order]), cosine)
+        linked = np.nonzero(root != np.arange(len(root)))[0]
+        return pa.table({"a": pa.array(ids[order][linked]), "b": pa.array(ids[order][root[linked]])})
 
-def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bits at the start that rows of bytes have in common."""
-    differ = np.unpackbits(a ^ b, axis=1)
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1])
+    placed = vectors.select("id", "label", "v").mapInArrow(place, f"pass int, label long, key long, id long, v {kind}")
+    return placed.groupBy("pass", "label", "key").applyInArrow(join, "a long, b long").distinct()
 
 
-def _windows(placed: DataFrame, window: int, cosine: float) -> DataFrame:
-    """Links within ``window`` places of each block's order; only as many as its vectors need to hang together.
+def _crowded(vectors: DataFrame, passes: range, runs: _Runs, cosine: float) -> DataFrame:
+    """id and label of the vectors that may miss more than ``MISSED`` of their links, by the bits of their runs."""
+    agree = 1 - math.acos(cosine) / math.pi
 
-    Besides, in rows with ``bits``: the bits of its code that a vector (a) shares with those ``window`` places off, -1 where the label ends
-    before. What agrees with it in more bits than that stands in its window.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                missed = np.zeros(batch.num_rows)
+                for _, _, bits, _ in runs.place(_unit(_rows(batch.column(2))), np.asarray(batch.column(1)), passes):
+                    missed += np.where(bits <= BITS, np.log1p(-np.minimum(agree**bits, 1 - 1e-9)), 0)
+                yield batch.select(["id", "label"]).filter(pa.array(missed > math.log(MISSED)))
 
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(table.column("rank")), kind="stable")
-        ids, label, which = (np.asarray(table.column(c))[order] for c in ("id", "label", "pass"))
-        x = _unit(_rows(table.column("v").combine_chunks())[order])
-        code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-        bits = np.full(len(ids), -1, np.int32)
-        if len(ids) > window:
-            far = np.where(label[:-window] == label[window:], _shared_bits(code[:-window], code[window:]), -1)
-            bits[:-window] = far
-            bits[window:] = np.maximum(bits[window:], far)
-        left, right = [], []
-        for step in range(1, min(window, len(ids) - 1) + 1):
-            near = np.nonzero((np.einsum("ij,ij->i", x[:-step], x[step:]) >= cosine) & (label[:-step] == label[step:]))[0]
-            left.append(near)
-            right.append(near + step)
-        edges = _forest(np.concatenate(left), np.concatenate(right)) if left else []
-        pairs = ids[np.array(edges, dtype=np.int64).reshape(-1, 2)]
-        links = pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "pass": pa.nulls(len(pairs), pa.int32()), "bits": pa.nulls(len(pairs), pa.int32())})
-        return pa.concat_tables([links, pa.table({"a": pa.array(ids), "b": pa.nulls(len(ids), pa.int64()), "pass": pa.array(which), "bits": pa.array(bits)})])
-
-    return placed.groupBy("block").applyInArrow(run, "a long, b long, pass int, bits int")
-
-
-def _crowded(found: DataFrame, cosine: float) -> DataFrame:
-    """The ids of the vectors that may miss more than ``MISSED`` of their links, by the bits that their windows took in each pass."""
-    agree = 1 - math.acos(cosine) / math.pi
-    by_pass = found.where("bits IS NOT NULL").groupBy("a", "pass").agg(F.max("bits").alias("bits"))
-    # where the label ends within the window, the window has all that agrees in none
-    log_missed = F.sum(F.log1p(-F.least(F.pow(F.lit(agree), F.col("bits") + 1), F.lit(1 - 1e-9))))
-    return by_pass.groupBy(F.col("a").alias("id")).agg(log_missed.alias("m")).where(F.col("m") > math.log(MISSED)).select("id")
+    return vectors.select("id", "label", "v").mapInArrow(run, "id long, label long")
 
 
 def _exact_links(vectors: DataFrame, cosine: float) -> DataFrame:
@@ -153,26 +193,6 @@ def _exact_links(vectors: DataFrame, cosine: float) -> DataFrame:
     return tiled.groupBy("label", "d", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def _pass_links(vectors: DataFrame, passes: range, bits: int, window: int, cosine: float, seed: int) -> DataFrame:
-    """Some passes: one sort of all codes, ranks by prefix sums over the sorted partitions, blocks that overlap by a window."""
-    spark = vectors.sparkSession
-    coded = _codes(vectors, passes, bits, seed)
-    order = coded.repartitionByRange(partitions(spark), "pass", "label", "code", "id").sortWithinPartitions("pass", "label", "code", "id")
-    placed = materialize(order.withColumn("at", F.monotonically_increasing_id()), "vector-order")
-    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a number for each partition
-    base, below = [], 0
-    for k in range(max(counts, default=-1) + 1):
-        base.append(below)
-        below += counts.get(k, 0)
-    offsets = F.split(F.lit(",".join(map(str, base or [0]))), ",").cast("array<bigint>")
-    ranked = placed.withColumn("rank", F.get(offsets, part.cast("int")) + inside).drop("at")
-    home = F.floor(F.col("rank") / SPAN)
-    # the first rows of a block also end the block before
-    blocks = F.when((F.col("rank") % SPAN < window) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    return _windows(ranked.withColumn("block", F.explode(blocks)).select("block", "rank", "id", "pass", "code", F.struct("pass", "label").alias("group"), "v").withColumn("label", F.xxhash64("group")).drop("group"), window, cosine)
-
-
 def _count_links(members: DataFrame, cosine: float) -> DataFrame:
     """id and n (weights of the linked others) from tile, i, j, side, root, id, weight, v: products of blocks, no pairs leave a task."""
 
@@ -198,16 +218,18 @@ def _count_links(members: DataFrame, cosine: float) -> DataFrame:
     return members.groupBy("tile", "i", "j").applyInArrow(run, "id long, n long")
 
 
-def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE, window: int = WINDOW, passes: int | None = None, seed: int = 11) -> DataFrame:
+def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE, run: int = RUN, passes: int | None = None, seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, kept: components of vectors of equal label with a cosine of ``cosine`` or more, in doubles, whatever numbers they hold.
 
-    Equal vectors become one, with a weight. Each pass sorts by label and the concatenated bits of random projections and compares each
-    vector with ``window`` neighbours; the links of all passes are united. The number of passes follows from that of the vectors
-    (``passes_for``). A window bounds what a pass compares, not what is found: the links within each component are then counted exactly,
-    in blocks, so a crowd denser than the window keeps all its links. Where vectors of a label share a direction, their codes agree in
-    many bits and a window holds few of those near: vectors whose windows, by the bits they took, may miss more than ``MISSED`` of
-    their links are compared with each other exactly, in blocks, and where they are more than ``CROWDED`` of a label, so are all of it;
-    that takes the square of their number. Only a link outside these that would have joined two components and fell into no window is missed.
+    Vectors of equal direction become one, with a weight. Each pass puts those of a label into the order of the concatenated bits of random
+    projections, cuts it into runs that share their first bits, and compares each vector with all of its run; the links of all passes are
+    united. A vector is shuffled once for each pass, and not at all for a label that is one run. The number of passes follows from that of
+    the vectors of the largest label (``passes_for``). A run bounds what a pass compares, not what is found: the links within each
+    component are then counted exactly, in blocks, so a crowd keeps all its links. Where vectors of a label share a direction, their
+    codes agree in many bits and runs of more than ``MOST`` are split by further bits: vectors whose runs, by the bits they have, may miss
+    more than ``MISSED`` of their links are compared with each other exactly, in blocks, and where they are more than ``CROWDED`` of a
+    label, so are all of it; that takes the square of their number. Only a link outside these that would have joined two components
+    and fell into no run is missed.
 
     Vectors that are null, empty or zero, or hold null or non-finite components, and those with a null label or vec_id, link with nothing
     (component_id is the vec_id). Repeated rows are others to each other: they link, and have one vec_id. Vectors of other lengths than
@@ -219,26 +241,40 @@ def near_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "e
     rows = embeddings.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{label}`").cast("long").alias("label"), F.col(f"`{vector}`").cast(kind).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    rows = rows.withColumns({"fit": fit, "same": F.when(fit, F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("v", lambda x: F.hex(F.encode(x.cast("string"), "utf-8"))), ",")), 256))})
+    # the quotients that _unit takes: equal ones have equal cosines with all others
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    direction = F.array_join(F.transform("v", lambda x: (x.cast("double") / F.col("largest")).cast("string")), ",")
+    rows = rows.withColumns({"fit": fit, "largest": largest})
+    rows = rows.withColumn("same", F.when(F.col("fit"), F.unhex(F.sha2(F.concat_ws(",", F.col("label").cast("string"), direction), 256)))).drop("largest")
     rows = materialize(rows, "vectors")
     with scratch():
         unique = materialize(rows.where("fit").groupBy("same").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors-unique")
-        found_all = None
-        for d, n in [(r.d, r.n) for r in unique.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()]:  # a row for each length
-            own, todo = unique.where(F.size("v") == d), passes or passes_for(n, window, cosine)
+        links, crowd = [], []
+        for d in [r.d for r in unique.select(F.size("v").alias("d")).distinct().collect()]:  # a row for each length
+            own = unique.where(F.size("v") == d)
+            counts = {r.label: r["count"] for r in own.groupBy("label").count().where(F.col("count") > MOST).collect()}  # at most one for MOST vectors
+            runs = _Runs({k: bits_for(n, run) for k, n in counts.items()}, seed)
+            todo = (passes or passes_for(max(counts.values()), run, cosine)) if counts else 1
             for at in range(0, todo, AT_ONCE):
+                some = range(at, min(at + AT_ONCE, todo))
+                runs.split(own, some)
                 with scratch():
-                    found = materialize(_pass_links(own, range(at, min(at + AT_ONCE, todo)), 64, window, cosine, seed), "vector-links", outlive=True)
-                found_all = found if found_all is None else found_all.unionByName(found)
-        found_all = found_all if found_all is not None else spark.createDataFrame([], "a long, b long, pass int, bits int")
-        links = found_all.where("bits IS NULL").select("a", "b")
-        roots = connected_components(links)
-        dense = materialize(unique.select("id", "label", "v").join(_crowded(found_all, cosine).withColumn("dense", F.lit(1)), "id", "left"), "vector-dense")
-        share = dense.groupBy("label").agg((F.count("dense") > CROWDED * F.count(F.lit(1))).alias("whole"))
-        crowd = dense.join(share, "label").where("whole OR dense = 1").join(roots, "id", "left").select("id", "label", "v", F.coalesce("root", "id").alias("root"))
-        more = materialize(_exact_links(materialize(crowd, "vector-crowd"), cosine), "vector-more")
-        if not more.isEmpty():
-            roots = connected_components(links.unionByName(more))
+                    links.append(materialize(_pass_links(own, some, runs, cosine), "vector-links", outlive=True))
+            if not counts:
+                continue
+            missing = materialize(_crowded(own, range(todo), runs, cosine), "vector-crowded")
+            many = {r.label: r["count"] for r in missing.groupBy("label").count().collect()}  # labels with bits only
+            if many:
+                whole = [k for k, n in many.items() if n > CROWDED * counts[k]]
+                few = own.join(missing.select("id"), "id", "left_semi")
+                crowd.append(own.where(F.col("label").isin(whole)).unionByName(few.where(~F.col("label").isin(whole))) if whole else few)
+        found = reduce(DataFrame.union, links) if links else spark.createDataFrame([], "a long, b long")
+        roots = connected_components(found)
+        if crowd:
+            among = reduce(DataFrame.unionByName, crowd).join(roots, "id", "left").select("id", "label", "v", F.coalesce("root", "id").alias("root"))
+            more = materialize(_exact_links(materialize(among, "vector-crowd"), cosine), "vector-more")
+            if not more.isEmpty():
+                roots = connected_components(found.unionByName(more))
         sizes = materialize(roots.groupBy("root").agg(F.count(F.lit(1)).alias("c")), "vector-sizes")
         members = sizes.agg(F.sum("c")).first()[0] or 0
         inside = roots.join(sizes, "root").join(unique.select("id", "weight", "v"), "id")

@@ -181,6 +181,28 @@ def test_vectors_of_a_crowded_label(spark):
     assert want.sum() > 400 and got == dict(enumerate(want.tolist()))
 
 
+def test_vectors_move_once_for_a_pass(spark, monkeypatch):
+    """Passes write no vectors, and runs that are too large are split: links and components are those of all pairs."""
+    r = np.random.default_rng(8)
+    x = np.repeat(r.standard_normal((500, 32)), 3, axis=0) + 0.12 * r.standard_normal((1500, 32))
+    rows = [(i, v.tolist(), i // 750) for i, v in enumerate(x.astype(np.float32))]
+    written, splits, plain = {}, [], vectors.materialize
+
+    def noted(df, name, **kw):
+        out = plain(df, name, **kw)
+        if "v" in out.columns:
+            written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(vectors, "materialize", noted)
+    monkeypatch.setattr(vectors, "MOST", 256, raising=False)
+    monkeypatch.setattr(vectors, "_exact_links", lambda df, cosine: splits.append(df.count()) or spark.createDataFrame([], "a long, b long"))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {a.vec_id: (a.n_links, a.component_id) for a in vectors.near_vectors(df, passes=60).collect()}
+    assert got == brute_links(rows) and sum(n > 0 for n, _ in got.values()) > 900
+    assert sum(written.values()) <= 2 * len(rows) and not any(splits)
+
+
 def test_more_passes_for_more_rows():
     assert vectors.passes_for(10**9) > vectors.passes_for(10**5) > vectors.passes_for(1000)
 
