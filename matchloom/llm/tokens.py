@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -19,8 +20,8 @@ _CUT = re.compile("(?= [^\\s\x85᠎​﻿])")
 _ODD = re.compile(" (?:[\\s\x85᠎​﻿]|\\Z)")
 
 _MARKS = ".,!?;:&%$*#"
-#: Bytes of text that are encoded at once.
-SLICE = 2 << 20
+#: Bytes of text that are encoded at once: each different word of them is looked up once.
+SLICE = 8 << 20
 
 
 def byte_table() -> list[str]:
@@ -117,19 +118,27 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = []
-        for x in texts:  # the first piece has no space before it and may be empty
-            if _ODD.search(x):
-                first, *rest = _CUT.split(x)
-                split.append([first, *[y[1:] for y in rest]])
-            else:
-                split.append(x.split(" "))
-        head = [s[0] for s in split]
-        for s in split:
-            del s[0]
-        large = self._learn(set().union(*split), set(head))
-        get = self.spaced.__getitem__
-        out = [self.bare[h] + b"".join(map(get, s)) for h, s in zip(head, split, strict=True)]
+        if not texts:
+            return []
+        odd = {i: _CUT.split(x) for i, x in enumerate(texts) if _ODD.search(x)}
+        split = pc.split_pattern(pa.array([x if i not in odd else "" for i, x in enumerate(texts)], pa.string()), " ")
+        numbered = split.values.dictionary_encode()  # each different word of all texts is looked up once
+        words, at, first = numbered.dictionary.to_pylist(), np.array(numbered.indices, dtype=np.int64), np.asarray(split.offsets)
+        head = [words[k] for k in at[first[:-1]].tolist()]  # the first piece has no space before it and may be empty
+        at[first[:-1]] = len(words) + np.arange(len(texts))
+        inside = np.zeros(len(words) + len(texts), bool)
+        inside[at] = True
+        spaced = {w for w, here in zip(words, inside[: len(words)].tolist(), strict=True) if here}
+        large = self._learn(spaced.union(*[[y[1:] for y in s[1:]] for s in odd.values()]), {*head, *[s[0] for s in odd.values()]})
+        found = [self.spaced[w] if here else b"" for w, here in zip(words, inside[: len(words)].tolist(), strict=True)] + [self.bare[h] for h in head]
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        n = counts[at]
+        ends = np.cumsum(n)
+        take = np.repeat((np.cumsum(counts) - counts)[at] - ends + n, n) + np.arange(ends[-1])
+        ids, cut = np.frombuffer(b"".join(found), dtype="<u4")[take].tobytes(), (4 * ends[first[1:] - 1]).tolist()
+        out = [ids[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+        for i, (h, *rest) in odd.items():
+            out[i] = self.bare[h] + b"".join([self.spaced[y[1:]] for y in rest])
         for known, words in zip((self.spaced, self.bare), large, strict=True):
             for w in words:
                 del known[w]

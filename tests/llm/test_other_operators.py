@@ -117,6 +117,23 @@ def check_packing(rows, ids_of, length=2048):
         assert at == len(ids)
 
 
+def test_words_are_looked_up_once(encoding):
+    class Counted(dict):
+        n = 0
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return super().__getitem__(key)
+
+    bpe = tokens.ByteBpe(VOCABULARY)
+    texts = ["one two, thrée  four " * 50, "", "one", " two two", "two\n\n one \x85 x" + " two" * 2000, "one two three four five " + " ".join(["three.", "four\ttwo"] * 1500)]
+    bpe.encode(texts)
+    bpe.spaced = Counted(bpe.spaced)
+    got = [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(texts)]
+    assert got == [encoding.encode_ordinary(x) for x in texts] and bpe.encode([]) == []
+    assert Counted.n < 2500  # texts with odd spaces are looked up word by word
+
+
 def test_packing(spark, docs, encoding):
     some = [x for x in docs if x[0] is not None and x[1] != "again"]
     check_packing(packing.pieces(frame(spark, some), VOCABULARY).collect(), {d: [*encoding.encode_ordinary(t or ""), 1] for d, t in some})
