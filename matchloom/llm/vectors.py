@@ -168,6 +168,25 @@ def _crowded(vectors: DataFrame, passes: range, runs: _Runs, cosine: float) -> D
     return vectors.select("id", "label", "v").mapInArrow(run, "id long, label long")
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Of the edges between numbered nodes, those that join something."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(x), find(y)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
 def _exact_links(vectors: DataFrame, cosine: float) -> DataFrame:
     """Links between different roots among all vectors (id, root, label, v) of a label, in tiles of blocks; as many as join something."""
 

@@ -220,6 +220,23 @@ def test_vectors_move_once_for_a_pass(spark, monkeypatch):
     assert sum(written.values()) <= 2 * len(rows) and not any(splits)
 
 
+def test_vectors_of_a_crowded_label_over_runs(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    shared = unit(r.standard_normal(64))
+    side = lambda n: unit((x := r.standard_normal((n, 64))) - (x @ shared)[:, None] * shared)
+    x = 0.85**0.5 * shared + 0.15**0.5 * side(3000)
+    near = unit(x[:300] + 0.37 * side(300))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, near]).astype(np.float32))]
+    v = unit(np.array([a for _, a, _ in rows], float))
+    want = (v @ v.T >= 0.93).sum(axis=1) - 1
+    exact, plain = [], vectors._exact_links
+    monkeypatch.setattr(vectors, "MOST", 1024, raising=False)
+    monkeypatch.setattr(vectors, "_exact_links", lambda df, cosine: exact.append(df.count()) or plain(df, cosine))
+    got = {a.vec_id: a.n_links for a in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert exact == [len(rows)] and want.sum() > 300 and got == dict(enumerate(want.tolist()))
+
+
 def test_more_passes_for_more_rows():
     assert vectors.passes_for(10**9) > vectors.passes_for(10**5) > vectors.passes_for(1000)
 
