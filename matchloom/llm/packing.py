@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchloom.llm.shared import materialize, only, slices, strings
+from matchloom.llm.shared import materialize, only, slices
 from matchloom.llm.tokens import SLICE, load
 
 #: The id that ends each document.
@@ -27,13 +28,13 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
         from pyspark import TaskContext
 
         bpe, part, total = load(vocabulary), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = pa.scalar(np.array([end_id], dtype="<u4").tobytes(), pa.large_binary())
         for batch in slices(batches, limit=SLICE):
-            found = [x + end for x in bpe.encode(strings(batch.column(1)))]
-            counts = np.array([len(x) // 4 for x in found], dtype=np.int64)
+            found = pc.binary_join_element_wise(bpe.encode_column(batch.column(1)), end, pa.scalar(b"", pa.large_binary()))
+            counts = np.asarray(pc.binary_length(found), dtype=np.int64) // 4
             before = total + np.cumsum(counts) - counts
             total += int(counts.sum())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), pa.array(counts), pa.array(np.full(len(found), part, np.int64)), pa.array(before)], names=["doc_id", "ids", "n_ids", "part", "before"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), found.cast(pa.binary()), pa.array(counts), pa.array(np.full(len(found), part, np.int64)), pa.array(before)], names=["doc_id", "ids", "n_ids", "part", "before"])
 
     return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids binary, n_ids long, part long, before long")
 

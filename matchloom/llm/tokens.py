@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from matchloom.llm.shared import only, slices, strings
+from matchloom.llm.shared import only, slices, text_bytes
 
-#: A space before a character that every engine takes for no white space: pieces never reach across it from the left.
-_CUT = re.compile("(?= [^\\s\x85᠎​﻿])")
-_ODD = re.compile(" (?:[\\s\x85᠎​﻿]|\\Z)")
-
-_MARKS = ".,!?;:&%$*#"
+#: Kinds of bytes. A byte that is of no kind is left to the tokenizer's own pattern, with what stands about it.
+_SPACE, _BREAK, _LETTER, _DIGIT, _MARK, _QUOTE = range(1, 7)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x21:0x7F] = _MARK
+_KINDS[[*b"0123456789"]] = _DIGIT
+_KINDS[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = _LETTER
+_KINDS[[*b" \n'"]] = _SPACE, _BREAK, _QUOTE
 #: Bytes of text that are encoded at once: each different word of them is looked up once.
 SLICE = 8 << 20
 
@@ -32,117 +32,128 @@ def byte_table() -> list[str]:
     return [chars[b] if b in chars else chr(next(rest)) for b in range(256)]
 
 
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8. Both bytes of U+00C0 to U+017F and U+0400 to U+047F are letters, the signs U+00D7 and U+00F7 apart."""
+    kinds = _KINDS[raw]
+    high = np.flatnonzero(raw >= 0x80)
+    lead = raw[high]
+    high = high[((lead >= 0xC3) & (lead <= 0xC5)) | (lead == 0xD0) | (lead == 0xD1)]
+    high = high[(raw[high] != 0xC3) | ((raw[high + 1] != 0x97) & (raw[high + 1] != 0xB7))]
+    kinds[high] = kinds[high + 1] = _LETTER
+    return kinds
+
+
+def _starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places where the splitting pattern of byte-level BPE surely begins a piece: where letters, digits and marks follow one another or a line
+    ends or begins, and at the last white space before one of them. Not after a quote, which may begin a contraction, and not between marks."""
+    kinds = _kinds(raw)
+    left, right, here = kinds[:-1], kinds[1:], np.ones(len(raw), bool)
+    shown = right >= _LETTER
+    here[1:] = (left != right) & (left >= _LETTER) & (left != _QUOTE) & (right >= _BREAK) & ~((left == _MARK) & (right == _QUOTE)) | (left == _BREAK) & shown
+    before = ((left == _SPACE) | (left == _BREAK)) & shown
+    first = offsets[:-1][offsets[:-1] < len(raw)]
+    before[first[first > 0] - 1] = False  # white space that ends a text has nothing after it
+    here[:-1] |= before
+    here[first] = True
+    return np.flatnonzero(here)
+
+
 class ByteBpe:
-    """A vocabulary file of the tokenizers library. Encodes each different word of a worker once and keeps its ids, in two generations.
+    """A vocabulary file of the tokenizers library. Encodes each different piece of a worker once and keeps its ids, in two generations.
 
-    A text is cut before each space that a word follows; the splitting pattern of byte-level BPE never joins across such a place,
-    so the ids of the words in turn are the ids of the text. What is kept is bounded by bytes: a generation ends at ``keep`` bytes, as
-    counted by ``ENTRY``, and words of more than ``LONG`` characters (texts without spaces, base64) are never kept.
+    Texts are cut where a piece of the splitting pattern surely begins, so the ids of what lies between in turn are the ids of the text.
+    Of that, what is letters, digits or marks throughout, with or without a space before it, is one piece and needs the merges alone; the
+    rest takes the tokenizer's own pattern. What is kept is bounded by bytes: a generation ends at ``keep`` bytes, as counted by ``ENTRY``,
+    and pieces of more than ``LONG`` bytes (texts without spaces, base64) are never kept.
     """
 
-    #: Bytes that an entry takes besides its letters and ids, and the most characters of a word that is kept.
-    ENTRY, LONG = 220, 48
+    #: Bytes that an entry takes besides its letters and ids, the most bytes of a piece that is kept, and the pieces of a call.
+    ENTRY, LONG, CALL = 160, 48, 4000
 
-    def __init__(self, path: str, keep: int = 48 << 20):
+    def __init__(self, path: str, keep: int = 64 << 20):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merger = Tokenizer(self.tokenizer.model)  # the merges alone, for words that are letters throughout and so one piece
+        self.merger = Tokenizer(self.tokenizer.model)  # the merges alone
         self.merger.pre_tokenizer = WhitespaceSplit()
         self.table = byte_table()
+        self.table[10] = " "  # between words, none of which has a line end
         self.tokenizer.encode_special_tokens = True
         self.keep, self.held = keep, 0
-        self.spaced: dict[str, bytes] = {}  # words with a space before them, named without it
-        self.older: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}  # those without
+        self.spaced: dict[bytes, bytes] = {}  # pieces, most of them words with the space before them
+        self.older: dict[bytes, bytes] = {}
         back = {c: b for b, c in enumerate(byte_table())}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.pieces = [added[i].encode() if i in added else bytes(back[c] for c in self.tokenizer.id_to_token(i) or "") for i in range(size)]
         self.digits = [str(i) for i in range(size)]
 
-    def _add(self, known: dict[str, bytes], words: list[str], space: str, letters: bool = False) -> None:
-        """Many words as one text: its ids are cut where the bytes of the words end. Without a space between, each word is a text."""
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            if space:
-                if letters:
-                    one, text = self.merger, " ".join([self.table[32] + (w if w.isascii() else w.encode().decode("latin-1").translate(self.table)) for w in some])
-                else:
-                    one, text = self.tokenizer, space + space.join(some)
-                ids = np.asarray(one.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-                ends = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) + 1 for w in some])) + 1).tolist()
-                raw = ids.tobytes()
-                known.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-            else:
-                found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-                known.update((w, np.asarray(f.ids, dtype="<u4").tobytes()) for w, f in zip(some, found, strict=True))
-
-    def _keep(self, words) -> None:
-        """Counts what words take: a character's bytes and ids are about 8."""
-        self.held += 8 * sum(map(len, words)) + len(words) * self.ENTRY
-
-    def _learn(self, spaced: set[str], bare: set[str]) -> tuple[list[str], list[str]]:
-        """Fills in what is missing, and tells which words are not to be kept. A letter and a mark after it are never one token's, so a word's
-        last marks are taken off first."""
-        if self.held > self.keep:  # words of the last generation stay at hand, and come over when they are met again
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        """Words that are one piece each, as one text: its ids are cut where the bytes of the words end."""
+        text = b"\n".join(words).decode("latin-1").translate(self.table)
+        ids = np.asarray(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in words])) + 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _split(self, words: list[bytes]) -> list[bytes]:
+        """Words that the pattern may split, each as a text."""
+        return [np.asarray(f.ids, dtype="<u4").tobytes() for f in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
+    def _keep(self, words: list[bytes], found: list[bytes]) -> None:
+        self.spaced.update(zip(words, found, strict=True))
+        self.held += sum(map(len, words)) + sum(map(len, found)) + len(words) * self.ENTRY
+        if self.held > self.keep:  # pieces of the last generation stay at hand, and come over when they are met again
             self.older, self.spaced, self.held = self.spaced, {}, 0
-            self.bare.clear()
-        new, tails = spaced.difference(self.spaced), bare.difference(self.bare)
-        if again := self.older.keys() & new:
-            new -= again
-            self.spaced.update(zip(again, map(self.older.__getitem__, again), strict=True))
-            self._keep(again)
-        large = [w for w in new if len(w) > self.LONG], [w for w in tails if len(w) > self.LONG]
-        for known, words, space in ((self.spaced, large[0], " "), (self.bare, large[1], "")):
-            for w in words:  # one after the other: a call's memory follows the longest word, not their number
-                self._add(known, [w], space)
-        new.difference_update(large[0])
-        tails.difference_update(large[1])
-        letters = {w for w in new if w.isalpha()}
-        new -= letters
-        parts = [(w, core) for w in new if w[-1:] in _MARKS and (core := w.rstrip(_MARKS)) and core[-1].isalpha()]
-        cores = {core for _, core in parts}.difference(self.spaced)
-        new.difference_update(w for w, _ in parts)
-        letters |= (alike := {c for c in cores if c.isalpha()})
-        new |= cores - alike
-        self._add(self.spaced, list(letters), " ", letters=True)
-        self._add(self.spaced, list(new), " ")
-        tails |= {w[len(core) :] for w, core in parts}.difference(self.bare)
-        self._add(self.bare, list(tails), "")
-        self.spaced.update((w, self.spaced[core] + self.bare[w[len(core) :]]) for w, core in parts)
-        for words in (letters, new, tails, [w for w, _ in parts]):
-            self._keep(words)
-        return large
+
+    def _ids(self, words: pa.LargeBinaryArray) -> list[bytes]:
+        """The ids of different words."""
+        raw, offsets = text_bytes(words)
+        letters, ends = raw.tobytes(), offsets.tolist()
+        names = [letters[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        found = list(map(self.spaced.get, names))
+        new = [i for i, x in enumerate(found) if x is None]
+        again = [i for i in new if names[i] in self.older]
+        for i in again:
+            found[i] = self.older[names[i]]
+        for at in range(0, len(again), self.CALL):
+            some = again[at : at + self.CALL]
+            self._keep([names[i] for i in some], [found[i] for i in some])
+        kinds = _kinds(raw)
+        mixed = (kinds < _LETTER) | (kinds == _QUOTE)
+        mixed[offsets[:-1]] &= kinds[offsets[:-1]] != _SPACE
+        one = np.add.reduceat(mixed, offsets[:-1], dtype=np.int64) == 0
+        new = np.array([i for i in new if found[i] is None], dtype=np.int64)
+        large = np.diff(offsets)[new] > self.LONG
+        for i in new[large].tolist():  # one after the other: a call's memory follows the longest word, not their number
+            found[i] = (self._merged if one[i] else self._split)([names[i]])[0]
+        for encode, which in ((self._merged, one[new]), (self._split, ~one[new])):
+            some = new[which & ~large].tolist()
+            for at in range(0, len(some), self.CALL):
+                part = [names[i] for i in some[at : at + self.CALL]]
+                ids = encode(part)
+                for i, x in zip(some[at : at + self.CALL], ids, strict=True):
+                    found[i] = x
+                self._keep(part, ids)
+        return found
+
+    def encode_column(self, texts: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of each text (null: empty) as little-endian unsigned 32-bit numbers. Each different piece of all texts is looked up once."""
+        texts.validate(full=True)  # UTF-8 throughout
+        raw, offsets = text_bytes(texts)
+        if not len(raw):
+            return pa.array([b""] * len(texts), pa.large_binary())
+        starts = _starts(raw, offsets)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)])
+        numbered = pieces.dictionary_encode()
+        ids = pa.array(self._ids(numbered.dictionary), pa.large_binary()).take(numbered.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends[np.searchsorted(starts, offsets)]), ids.buffers()[2]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if not texts:
-            return []
-        odd = {i: _CUT.split(x) for i, x in enumerate(texts) if _ODD.search(x)}
-        split = pc.split_pattern(pa.array([x if i not in odd else "" for i, x in enumerate(texts)], pa.string()), " ")
-        numbered = split.values.dictionary_encode()  # each different word of all texts is looked up once
-        words, at, first = numbered.dictionary.to_pylist(), np.array(numbered.indices, dtype=np.int64), np.asarray(split.offsets)
-        head = [words[k] for k in at[first[:-1]].tolist()]  # the first piece has no space before it and may be empty
-        at[first[:-1]] = len(words) + np.arange(len(texts))
-        inside = np.zeros(len(words) + len(texts), bool)
-        inside[at] = True
-        spaced = {w for w, here in zip(words, inside[: len(words)].tolist(), strict=True) if here}
-        large = self._learn(spaced.union(*[[y[1:] for y in s[1:]] for s in odd.values()]), {*head, *[s[0] for s in odd.values()]})
-        found = [self.spaced[w] if here else b"" for w, here in zip(words, inside[: len(words)].tolist(), strict=True)] + [self.bare[h] for h in head]
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        n = counts[at]
-        ends = np.cumsum(n)
-        take = np.repeat((np.cumsum(counts) - counts)[at] - ends + n, n) + np.arange(ends[-1])
-        ids, cut = np.frombuffer(b"".join(found), dtype="<u4")[take].tobytes(), (4 * ends[first[1:] - 1]).tolist()
-        out = [ids[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
-        for i, (h, *rest) in odd.items():
-            out[i] = self.bare[h] + b"".join([self.spaced[y[1:]] for y in rest])
-        for known, words in zip((self.spaced, self.bare), large, strict=True):
-            for w in words:
-                del known[w]
-        return out
+        return self.encode_column(pa.array(texts, pa.large_string())).to_pylist()
 
     def offsets(self, ids: bytes) -> np.ndarray:
         """Where each token's bytes end in the UTF-8 bytes of the text; tokens may end inside a character."""
@@ -182,7 +193,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
         for batch in slices(batches, limit=SLICE):
-            found = bpe.encode(strings(batch.column(1)))
+            found = bpe.encode_column(batch.column(1)).to_pylist()
             counts = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
             ids = np.frombuffer(b"".join(found), dtype="<i4")
             ends = np.concatenate([bpe.offsets(x) for x in found]) if found else np.zeros(0, np.int64)
@@ -220,7 +231,7 @@ def digest_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
         digits, pieces = bpe.digits.__getitem__, bpe.pieces.__getitem__
         for batch in slices(batches, limit=SLICE):
             counts, of_ids, of_bytes, of_ends = [], [], [], []
-            for raw in bpe.encode(strings(batch.column(1))):
+            for raw in bpe.encode_column(batch.column(1)).to_pylist():
                 ids = np.frombuffer(raw, dtype="<u4").tolist()
                 counts.append(len(ids))
                 of_ends.append(zlib.crc32(bpe.offsets(raw).astype("<u4").tobytes()))

@@ -134,6 +134,21 @@ def test_words_are_looked_up_once(encoding):
     assert Counted.n < 2500  # texts with odd spaces are looked up word by word
 
 
+def test_pieces_are_kept_once_whatever_stands_beside_them(encoding):
+    bpe, words = tokens.ByteBpe(VOCABULARY), [a + b for a in "blé tres Жур zwölf".split() for b in "ion ung ando".split()]
+    texts = [f"{a}.\n{b} ({a}-{b}), {a}12{b}\n" for a in words for b in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(texts)] == [encoding.encode_ordinary(x) for x in texts]
+    assert len(bpe.spaced) + len(bpe.older) < 60  # 144 texts; 12 words, with and without a space, and what stands between
+
+
+def test_texts_are_cut_only_where_pieces_begin(encoding):
+    r, whole = random.Random(7), tokens.load(VOCABULARY).tokenizer
+    some = [*" \n\t'", " ", "\n", "'", "'s", "'ll", "'RE", "ab", "Z", "12", "½", "٣", ".", "--", "«", "×", "÷", "é", "ſ", "ŉ", "Ж", "ѿ", "Ѐ", "҂", "e\u0301", "\u0301", "\x85", "\xa0", "\x1c", "\x00", "\u2003", "\u3000", "\ufeff", "好", "😀", "<|endoftext|>"]
+    texts = ["".join(r.choice(some) for _ in range(r.randint(0, 9))) for _ in range(20_000)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in tokens.ByteBpe(VOCABULARY, keep=100_000).encode(texts)]
+    assert got == [encoding.encode_ordinary(x) for x in texts] == [x.ids for x in whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def test_packing(spark, docs, encoding):
     some = [x for x in docs if x[0] is not None and x[1] != "again"]
     check_packing(packing.pieces(frame(spark, some), VOCABULARY).collect(), {d: [*encoding.encode_ordinary(t or ""), 1] for d, t in some})
