@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -20,7 +21,11 @@ _KINDS[0x21:0x7F] = _MARK
 _KINDS[[*b"0123456789"]] = _DIGIT
 _KINDS[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = _LETTER
 _KINDS[[*b" \n'"]] = _SPACE, _BREAK, _QUOTE
-#: Bytes of text that are encoded at once: each different word of them is looked up once.
+#: A space before a character that every engine takes for no white space: pieces never reach across it from the left.
+_WORD = re.compile(" [^\\s\x85\u180e\u200b\ufeff]")
+#: The others of U+0080 and more, in UTF-8: those of two bytes and of three, as numbers.
+_WHITE = [[int.from_bytes(c.encode()) for c in map(chr, span) if not _WORD.match(" " + c)] for span in (range(0x80, 0x800), [*range(0x800, 0xD800), *range(0xE000, 0x10000)])]
+#: Bytes of text that are encoded at once: each different piece of them is looked up once.
 SLICE = 8 << 20
 
 
@@ -45,12 +50,15 @@ def _kinds(raw: np.ndarray) -> np.ndarray:
 
 def _starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places where the splitting pattern of byte-level BPE surely begins a piece: where letters, digits and marks follow one another or a line
-    ends or begins, and at the last white space before one of them. Not after a quote, which may begin a contraction, and not between marks."""
+    ends or begins, and at the last white space before one of them, or a space before any character that shows. Not after a quote, which may begin a contraction, and not between marks."""
     kinds = _kinds(raw)
     left, right, here = kinds[:-1], kinds[1:], np.ones(len(raw), bool)
     shown = right >= _LETTER
     here[1:] = (left != right) & (left >= _LETTER) & (left != _QUOTE) & (right >= _BREAK) & ~((left == _MARK) & (right == _QUOTE)) | (left == _BREAK) & shown
     before = ((left == _SPACE) | (left == _BREAK)) & shown
+    at = np.flatnonzero((left == _SPACE) & (raw[1:] >= 0x80))
+    two = raw[at + 1].astype(np.int64) << 8 | raw[at + 2]
+    before[at[~np.isin(two, _WHITE[0]) & ~np.isin(two << 8 | raw[np.minimum(at + 3, len(raw) - 1)], _WHITE[1])]] = True
     first = offsets[:-1][offsets[:-1] < len(raw)]
     before[first[first > 0] - 1] = False  # white space that ends a text has nothing after it
     here[:-1] |= before
@@ -89,17 +97,25 @@ class ByteBpe:
         self.pieces = [added[i].encode() if i in added else bytes(back[c] for c in self.tokenizer.id_to_token(i) or "") for i in range(size)]
         self.digits = [str(i) for i in range(size)]
 
-    def _merged(self, words: list[bytes]) -> list[bytes]:
-        """Words that are one piece each, as one text: its ids are cut where the bytes of the words end."""
-        text = b"\n".join(words).decode("latin-1").translate(self.table)
-        ids = np.asarray(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _parted(self, tokenizer, text: str, words: list[bytes]) -> list[bytes]:
+        """The ids of a text of many words, cut where the bytes of the words end."""
+        ids = np.asarray(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in words])) + 4).tolist()
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        """Words that are one piece each."""
+        return self._parted(self.merger, b"\n".join(words).decode("latin-1").translate(self.table), words)
+
     def _split(self, words: list[bytes]) -> list[bytes]:
-        """Words that the pattern may split, each as a text."""
-        return [np.asarray(f.ids, dtype="<u4").tobytes() for f in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        """Words that the pattern may split: those with a space before them as one text, each of the others as a text."""
+        joined = [w for w in words if _WORD.match(w.decode())]
+        found = dict(zip(joined, self._parted(self.tokenizer, b"".join(joined).decode(), joined), strict=True)) if joined else {}
+        alone = [w for w in words if w not in found]
+        ids = self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
+        found.update((w, np.asarray(f.ids, dtype="<u4").tobytes()) for w, f in zip(alone, ids, strict=True))
+        return [found[w] for w in words]
 
     def _keep(self, words: list[bytes], found: list[bytes]) -> None:
         self.spaced.update(zip(words, found, strict=True))

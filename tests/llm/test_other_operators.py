@@ -141,6 +141,13 @@ def test_pieces_are_kept_once_whatever_stands_beside_them(encoding):
     assert len(bpe.spaced) + len(bpe.older) < 60  # 144 texts; 12 words, with and without a space, and what stands between
 
 
+def test_words_of_other_scripts_are_kept_once(encoding):
+    bpe, words = tokens.ByteBpe(VOCABULARY), "λόγος και हिन्दी भाषा كتاب «mot “quote”".split()
+    texts = [f"{a} {b} {c}" for a in words for b in words for c in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(texts)] == [encoding.encode_ordinary(x) for x in texts]
+    assert len(bpe.spaced) + len(bpe.older) < 30  # 343 texts of 7 words
+
+
 def test_texts_are_cut_only_where_pieces_begin(encoding):
     r, whole = random.Random(7), tokens.load(VOCABULARY).tokenizer
     some = [*" \n\t'", " ", "\n", "'", "'s", "'ll", "'RE", "ab", "Z", "12", "½", "٣", ".", "--", "«", "×", "÷", "é", "ſ", "ŉ", "Ж", "ѿ", "Ѐ", "҂", "e\u0301", "\u0301", "\x85", "\xa0", "\x1c", "\x00", "\u2003", "\u3000", "\ufeff", "好", "😀", "<|endoftext|>"]
