@@ -133,6 +133,16 @@ def test_suffixes(spark, corpus):
     assert suffixes.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_suffixes_of_copies_shuffle_no_text(spark, corpus):
+    rows = [(i + 1000 * k, t) for k in range(3) for i, t in corpus] + [(None, corpus[4][1]), (4, corpus[4][1]), (1004, corpus[4][1]), (5000, corpus[4][1][20:] + "y"), (5001, "s" * 49), (5002, "s" * 49)]
+    random.Random(3).shuffle(rows)
+    out = suffixes.remove_repeats(frame(spark, rows).withColumn("at", F.timestamp_seconds(F.col("doc_id"))))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, sum(s.e - s.s for s in r.removed), len(r.removed), bytes(r.kept)) for r in got) == removed(rows)
+    assert all(r.n == "x" and (r.at is None) == (r.doc_id is None) for r in got)
+
+
 def test_halves_of_two_characters_make_no_third():
     raw = "aéxxжb€c".encode()
     cut = raw.index(b"\xa9"), raw.index(b"\xb6")  # from inside é to inside ж
